@@ -1,0 +1 @@
+"""No streaming operators: loads are batch runs, month by month, oldest first."""
