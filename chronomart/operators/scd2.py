@@ -17,13 +17,12 @@ from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from chronomart.functions import classify
 from chronomart.functions.values import row_hash, utc_now
 from chronomart.operators import joins, reshape
-from chronomart.schemas import DIM_CUSTOMER, OPEN_END, VERSION_SPAN
+from chronomart.schemas import DIM_CUSTOMER, OPEN_END, VERSION_SPAN, struct
 from chronomart.sources.seeds import Calendar, Month, inline_table
 
 DIM_COLUMNS = [c for c in DIM_CUSTOMER.names if c != "created_at"]
@@ -36,7 +35,7 @@ def surrogate_key(client: Column, version: Column) -> Column:
 
 def closing_periods(spark: SparkSession, calendar: Calendar) -> DataFrame:
     """Constant table: a month, and the last valid month of a version it ends."""
-    schema = T.StructType.fromDDL("date_key int, closes_at int")
+    schema = struct(("date_key", "int", False), ("closes_at", "int", False))
     return inline_table(spark, schema, [(k, calendar.closing(k)) for k in calendar.keys])
 
 

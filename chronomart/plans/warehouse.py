@@ -16,14 +16,17 @@ from pyspark.sql import types as T
 
 from chronomart.functions.values import new_batch_id, utc_now
 from chronomart.operators import audit, facts, quality, reshape, scd2
-from chronomart.schemas import LOAD_BATCH, QUALITY_RESULT, TABLES
+from chronomart.schemas import LOAD_BATCH, QUALITY_RESULT, TABLES, struct
 from chronomart.sources import seeds, staging
 from chronomart.sources.seeds import Calendar
 from chronomart.sources.storage import Layout
 
 STORED = ["credit_clients", "dim_customer", "fact_monthly_statement", "fact_default_outcome"]
-PUBLISHED = T.StructType.fromDDL(
-    "table_name string, version string, buckets int, published_at timestamp"
+PUBLISHED = struct(
+    ("table_name", "string", False),
+    ("version", "string", False),
+    ("buckets", "int", False),
+    ("published_at", "timestamp", False),
 )
 
 
@@ -147,7 +150,7 @@ class Warehouse:
         batch_id = batch_id or new_batch_id()
         source_rows = source.count() if source_rows is None else source_rows
         before = dict(self.versions)
-        self._log_batch(batch_id, source_name, source_rows, "RUNNING")
+        self.log_batch(batch_id, source_name, source_rows, "RUNNING")
         try:
             self.stage(source, batch_id)
             if by_month:
@@ -163,14 +166,14 @@ class Warehouse:
             self.publish()
         except Exception as error:
             self.versions = before
-            self._log_batch(batch_id, source_name, source_rows, "FAILED", str(error)[:400])
+            self.log_batch(batch_id, source_name, source_rows, "FAILED", str(error)[:400])
             raise
-        self._log_batch(batch_id, source_name, source_rows, "SUCCEEDED")
+        self.log_batch(batch_id, source_name, source_rows, "SUCCEEDED")
         return report
 
     # ── logs ─────────────────────────────────────────────────────────────
 
-    def _log_batch(
+    def log_batch(
         self, batch_id: str, source_name: str, source_rows: int, status: str, message: str | None = None
     ) -> None:
         values = {
@@ -220,9 +223,14 @@ def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
-DICTIONARY = T.StructType.fromDDL(
-    "table_name string, column_id int, column_name string, data_type string, "
-    "nullable string, key_role string, reference string"
+DICTIONARY = struct(
+    ("table_name", "string", False),
+    ("column_id", "int", False),
+    ("column_name", "string", False),
+    ("data_type", "string", False),
+    ("nullable", "string", False),
+    ("key_role", "string", False),
+    ("reference", "string", False),
 )
 
 

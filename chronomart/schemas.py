@@ -22,13 +22,26 @@ BILL_COLUMNS = [f"bill_amt{i}" for i in range(1, MONTHS + 1)]
 PAID_COLUMNS = [f"pay_amt{i}" for i in range(1, MONTHS + 1)]
 
 
-def _struct(*columns: tuple[str, str, bool]) -> T.StructType:
-    return T.StructType(
-        [T.StructField(name, T.DataType.fromDDL(ddl), nullable) for name, ddl, nullable in columns]
-    )
+_TYPES = {
+    "bigint": T.LongType(),
+    "int": T.IntegerType(),
+    "smallint": T.ShortType(),
+    "boolean": T.BooleanType(),
+    "string": T.StringType(),
+    "binary": T.BinaryType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "decimal(12,2)": T.DecimalType(12, 2),
+    "decimal(14,2)": T.DecimalType(14, 2),
+}
+
+
+def struct(*columns: tuple[str, str, bool]) -> T.StructType:
+    """Schema from (name, type, nullable), usable before a session exists."""
+    return T.StructType([T.StructField(name, _TYPES[kind], nullable) for name, kind, nullable in columns])
 
 
-SOURCE = _struct(
+SOURCE = struct(
     ("client_id", "bigint", False),
     ("limit_bal", "decimal(12,2)", True),
     ("sex", "smallint", True),
@@ -43,14 +56,14 @@ SOURCE = _struct(
 
 STG_CREDIT_CLIENTS = T.StructType(
     SOURCE.fields[:-1]
-    + _struct(
+    + struct(
         ("default_next_month", "boolean", True),
         ("load_batch_id", "string", False),
         ("loaded_at", "timestamp", False),
     ).fields
 )
 
-DIM_DATE = _struct(
+DIM_DATE = struct(
     ("date_key", "int", False),
     ("year_num", "smallint", False),
     ("month_num", "smallint", False),
@@ -60,25 +73,25 @@ DIM_DATE = _struct(
     ("source_month_ix", "smallint", False),
 )
 
-DIM_SEX = _struct(
+DIM_SEX = struct(
     ("sex_key", "smallint", False), ("sex_code", "smallint", False), ("sex_desc", "string", False)
 )
 
-DIM_EDUCATION = _struct(
+DIM_EDUCATION = struct(
     ("education_key", "smallint", False),
     ("education_code", "smallint", False),
     ("education_desc", "string", False),
     ("is_documented", "boolean", False),
 )
 
-DIM_MARRIAGE = _struct(
+DIM_MARRIAGE = struct(
     ("marriage_key", "smallint", False),
     ("marriage_code", "smallint", False),
     ("marriage_desc", "string", False),
     ("is_documented", "boolean", False),
 )
 
-DIM_PAYMENT_STATUS = _struct(
+DIM_PAYMENT_STATUS = struct(
     ("pay_status_key", "smallint", False),
     ("pay_status_code", "smallint", False),
     ("documented_desc", "string", True),
@@ -87,7 +100,7 @@ DIM_PAYMENT_STATUS = _struct(
     ("delinquent_months", "smallint", True),
 )
 
-DIM_CUSTOMER = _struct(
+DIM_CUSTOMER = struct(
     ("customer_sk", "bigint", False),
     ("client_id", "bigint", False),
     ("limit_bal", "decimal(12,2)", False),
@@ -105,7 +118,7 @@ DIM_CUSTOMER = _struct(
     ("created_at", "timestamp", False),
 )
 
-FACT_MONTHLY_STATEMENT = _struct(
+FACT_MONTHLY_STATEMENT = struct(
     ("statement_sk", "bigint", False),
     ("customer_sk", "bigint", False),
     ("date_key", "int", False),
@@ -117,7 +130,7 @@ FACT_MONTHLY_STATEMENT = _struct(
     ("load_batch_id", "string", False),
 )
 
-FACT_DEFAULT_OUTCOME = _struct(
+FACT_DEFAULT_OUTCOME = struct(
     ("outcome_sk", "bigint", False),
     ("customer_sk", "bigint", False),
     ("date_key", "int", False),
@@ -126,7 +139,7 @@ FACT_DEFAULT_OUTCOME = _struct(
     ("load_batch_id", "string", False),
 )
 
-QUALITY_RULE = _struct(
+QUALITY_RULE = struct(
     ("rule_id", "int", False),
     ("rule_code", "string", False),
     ("target_object", "string", False),
@@ -134,7 +147,7 @@ QUALITY_RULE = _struct(
     ("description", "string", False),
 )
 
-QUALITY_RESULT = _struct(
+QUALITY_RESULT = struct(
     ("result_id", "bigint", False),
     ("rule_id", "int", False),
     ("load_batch_id", "string", False),
@@ -144,7 +157,7 @@ QUALITY_RESULT = _struct(
     ("sample_detail", "string", True),
 )
 
-LOAD_BATCH = _struct(
+LOAD_BATCH = struct(
     ("load_batch_id", "string", False),
     ("started_at", "timestamp", False),
     ("finished_at", "timestamp", True),
