@@ -1,13 +1,13 @@
 """Loading a warehouse: stage, dimension, facts, audit, gate, publish.
 
-Every load writes new table versions next to the published ones; a row in the
-publish log makes them visible, and only after the audits passed.
+Every load writes new table versions next to the published ones; rows in the
+publish log make them visible, and only after the audits passed.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +26,8 @@ PUBLISHED = struct(
     ("table_name", "string", False),
     ("version", "string", False),
     ("buckets", "int", False),
+    ("partition_spec", "string", True),
+    ("location", "string", True),
     ("published_at", "timestamp", False),
 )
 
@@ -41,12 +43,13 @@ class Warehouse:
     def open(cls, spark: SparkSession, root: str, calendar: Calendar | None = None) -> Warehouse:
         """The last published state of the warehouse under ``root``."""
         log = Layout(root).read_log(spark, "published", PUBLISHED)
-        last = log.groupBy("table_name").agg(
-            F.max_by(F.struct("version", "buckets"), "published_at").alias("last")
-        )
-        rows = last.select("table_name", "last.*").collect()  # one row per table
+        last = log.agg(F.max("published_at").alias("published_at"))
+        rows = log.join(last, "published_at").collect()  # one row per table and partition
         warehouse = cls(spark, Layout(root, rows[0].buckets), calendar)
         warehouse.versions = {r.table_name: r.version for r in rows}
+        for name, version in warehouse.versions.items():
+            parts = {r.partition_spec: r.location for r in rows if r.table_name == name and r.location}
+            warehouse.layout.read(spark, name, version, parts)
         return warehouse
 
     # ── tables ───────────────────────────────────────────────────────────
@@ -71,6 +74,14 @@ class Warehouse:
         self.versions[name] = version
         return stored
 
+    def _store_changes(
+        self, df: DataFrame, name: str, carry: Callable[[dict[str, str]], bool]
+    ) -> DataFrame:
+        version = uuid.uuid4().hex[:12]
+        stored = self.layout.write_changes(df, name, version, self.versions[name], carry)
+        self.versions[name] = version
+        return stored
+
     # ── loads ────────────────────────────────────────────────────────────
 
     def stage(self, source: DataFrame, batch_id: str) -> DataFrame:
@@ -95,20 +106,34 @@ class Warehouse:
         months = [m.key for m in self.calendar.observed]
         first = months[0] if first is None else self.calendar.observed_month(first).key
         stg = staging.batch(self.table("credit_clients"), batch_id)
-        if "dim_customer" in self.versions:
-            dim = scd2.rewind(self.table("dim_customer"), first, self.calendar)
-        else:
-            empty = scd2.stamped(scd2.build_from_staging(stg, self.calendar))
-            dim = empty.filter(F.lit(False))
         for month in months[months.index(first):]:
-            snapshot = reshape.snapshot(stg, self.calendar, month)
-            dim = self._store(scd2.apply(dim, snapshot, month, self.calendar), "dim_customer")
-            statements = facts.statements(stg, dim, self.calendar, month)
-            if "fact_monthly_statement" in self.versions:
-                version = self.versions["fact_monthly_statement"]
-                self.layout.replace_month(statements, "fact_monthly_statement", version, month)
-            else:
-                self._store(statements, "fact_monthly_statement")
+            self._load_month(stg, month)
+
+    def _load_month(self, stg: DataFrame, month: int) -> None:
+        """Only versions still valid the month before, and that month's facts, are rewritten."""
+        previous = self.calendar.previous(month)
+        snapshot = reshape.snapshot(stg, self.calendar, month)
+        base = self.versions.get("dim_customer") if previous else None
+        if base is None:
+            nothing = scd2.stamped(scd2.build_from_staging(stg, self.calendar)).filter(F.lit(False))
+            dim = self._store(scd2.apply(nothing, snapshot, month, self.calendar), "dim_customer")
+        else:
+            affected = self.table("dim_customer").filter(F.col("valid_to_date") >= previous)
+            before = scd2.rewind(affected, month, self.calendar)
+            dim = self._store_changes(
+                scd2.apply(before, snapshot, month, self.calendar),
+                "dim_customer",
+                carry=lambda part: int(part["valid_to_date"]) < previous,
+            )
+        statements = facts.statements(stg, dim, self.calendar, month)
+        if "fact_monthly_statement" in self.versions:
+            self._store_changes(
+                statements,
+                "fact_monthly_statement",
+                carry=lambda part: int(part["date_key"]) != month,
+            )
+        else:
+            self._store(statements, "fact_monthly_statement")
 
     def load_outcomes(self, batch_id: str) -> None:
         """Full replace of the outcome fact."""
@@ -129,9 +154,11 @@ class Warehouse:
 
     def publish(self) -> None:
         """Make the current table versions the ones :meth:`open` finds."""
-        schema = T.StructType(PUBLISHED.fields[:-1])
-        rows = [(name, version, self.layout.buckets) for name, version in self.versions.items()]
-        log = seeds.inline_table(self.spark, schema, rows)
+        rows = []
+        for name, version in self.versions.items():
+            parts = self.layout.locations(self.spark, name, version) or {None: None}
+            rows += [(name, version, self.layout.buckets, *part) for part in parts.items()]
+        log = seeds.inline_table(self.spark, T.StructType(PUBLISHED.fields[:-1]), rows)
         self.layout.append_log(log.withColumn("published_at", F.current_timestamp()), "published")
 
     def full_refresh(

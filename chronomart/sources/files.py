@@ -10,6 +10,8 @@ from pyspark.sql.window import Window
 from chronomart import schemas
 from chronomart.sources import storage
 
+BROADCAST_ROWS = 200_000  # at most some ten megabytes of block or partition starts
+
 
 def read_snapshot_csv(
     spark: SparkSession, path: str, schema: T.StructType = schemas.SOURCE, key: str = "client_id"
@@ -28,13 +30,31 @@ def read_snapshot_csv(
     return raw.select(*schema.names)
 
 
-def number_file_rows(df: DataFrame, key: str) -> DataFrame:
-    """Add ``key`` = 1, 2, 3 ... in file order to a frame read straight from files.
+def _number(within: DataFrame, groups: list[str], key: str, columns: list[str]) -> DataFrame:
+    """Number rows that carry ``_row``, rising inside each of the ordered ``groups``.
 
-    Rows are numbered inside their file block; a block starts where the blocks
-    before it end.  Only the block counts (one row per input split) go through
-    the running sum.
+    Only one count per group (a file block or a partition) goes through the
+    running sum.  The starts are broadcast when they are few enough.
     """
+    in_order = Window.orderBy(*groups).rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        within.groupBy(*groups)
+        .agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
+        .select(
+            *groups,
+            (F.coalesce(F.sum("_rows").over(in_order), F.lit(0)) - F.col("_first")).alias("_shift"),
+        )
+        .checkpoint()
+    )
+    side = F.broadcast(starts) if starts.count() <= BROADCAST_ROWS else starts
+    return within.join(side, groups).select(
+        (F.col("_row") + F.col("_shift") + 1).alias(key), *columns
+    )
+
+
+def number_file_rows(df: DataFrame, key: str) -> DataFrame:
+    """Add ``key`` = 1, 2, 3 ... in file order to a frame read straight from files."""
+    storage.shared_folder(df.sparkSession)
     within = df.withColumns(
         {
             "_file": F.col("_metadata.file_path"),
@@ -42,44 +62,21 @@ def number_file_rows(df: DataFrame, key: str) -> DataFrame:
             "_row": F.monotonically_increasing_id(),
         }
     )
-    in_order = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (
-        within.groupBy("_file", "_start")
-        .agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
-        .select(
-            "_file",
-            "_start",
-            (F.coalesce(F.sum("_rows").over(in_order), F.lit(0)) - F.col("_first")).alias("_shift"),
-        )
-    )
-    return within.join(blocks, ["_file", "_start"]).select(
-        (F.col("_row") + F.col("_shift") + 1).alias(key), *df.columns
-    )
+    return _number(within, ["_file", "_start"], key, df.columns)
 
 
 def number_rows(df: DataFrame, key: str, order_by: list[str | Column]) -> DataFrame:
     """Add ``key`` = 1, 2, 3 ... in the given order, without a single-task sort.
 
-    The range-sorted rows are checkpointed, so both passes see the same
-    partitions; only one count per partition goes through the running sum.
+    The range-sorted rows are checkpointed, so that counting and numbering see
+    the same partitions.
     """
     storage.shared_folder(df.sparkSession)
     ordered = df.orderBy(*order_by).checkpoint()
     within = ordered.withColumns(
         {"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}
     )
-    in_order = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
-        within.groupBy("_part")
-        .agg(F.count("*").alias("_rows"), F.min("_row").alias("_first"))
-        .select(
-            "_part",
-            (F.coalesce(F.sum("_rows").over(in_order), F.lit(0)) - F.col("_first")).alias("_shift"),
-        )
-    )
-    return within.join(parts, "_part").select(
-        (F.col("_row") + F.col("_shift") + 1).alias(key), *df.columns
-    )
+    return _number(within, ["_part"], key, df.columns)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -3,8 +3,12 @@
 Tables are Parquet in the shared folder the session names in
 ``spark.checkpoint.dir``.  Tables that carry a client are bucketed by
 ``client_id`` so that joins, windows and aggregates per client find their rows
-co-located; facts are also partitioned by month and the customer dimension by
-its current flag, so month and current-version filters prune whole folders.
+co-located.  Statements are partitioned by month, and the customer dimension by
+its current flag and the month a version ended, so month, current-version and
+point-in-time filters prune whole folders.
+
+A new version of a partitioned table writes only the partitions that change;
+the others are carried over by pointing the new version at the files in place.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +25,10 @@ from pyspark.sql.types import StructType
 from chronomart.schemas import TABLES
 
 CLIENT = "client_id"
-PARTITIONS = {"dim_customer": ["is_current"], "fact_monthly_statement": ["date_key"]}
+PARTITIONS = {
+    "dim_customer": ["is_current", "valid_to_date"],
+    "fact_monthly_statement": ["date_key"],
+}
 BUCKETED = {
     "credit_clients",
     "dim_customer",
@@ -55,6 +63,11 @@ def bucket_count(input_bytes: int) -> int:
     return min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(input_bytes / BUCKET_BYTES)))
 
 
+def _partition(spec: str) -> str:
+    """``a=1/b=2`` -> ``a = '1', b = '2'``."""
+    return ", ".join("{} = '{}'".format(*part.split("=")) for part in spec.split("/"))
+
+
 @dataclass(frozen=True)
 class Layout:
     """Paths, catalog names and bucket count of one warehouse."""
@@ -73,7 +86,13 @@ class Layout:
         return f"cm_{self.root.rsplit('/', 1)[-1]}_{table}_{version}"
 
     def by_client(self, df: DataFrame) -> DataFrame:
-        """Place rows by client, one task per bucket."""
+        """Place rows by client, one task per bucket.
+
+        A rebalance lets the adaptive planner split a partition that is too
+        large (a bucket may consist of several files) and join small ones.
+        """
+        if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+            return df.hint("rebalance", self.buckets, CLIENT)
         return df.repartition(self.buckets, CLIENT)
 
     def write(self, df: DataFrame, table: str, version: str) -> DataFrame:
@@ -91,37 +110,66 @@ class Layout:
         writer.option("path", self.path(table, version)).format("parquet").saveAsTable(name)
         return self.read(df.sparkSession, table, version)
 
-    def read(self, spark: SparkSession, table: str, version: str) -> DataFrame:
+    def write_changes(
+        self, df: DataFrame, table: str, version: str, base: str, carry: Callable[[dict[str, str]], bool]
+    ) -> DataFrame:
+        """A new version from changed rows ``df`` and the ``base`` partitions to ``carry``.
+
+        ``df`` holds all rows of the partitions that are not carried.
+        """
+        spark = df.sparkSession
+        kept = {
+            spec: location
+            for spec, location in self.locations(spark, table, base).items()
+            if carry(dict(part.split("=") for part in spec.split("/")))
+        }
+        name = self.catalog_name(table, version)
+        self._create(spark, table, version, name)
+        df.select(*spark.table(name).columns).write.option("compression", "zstd").insertInto(name)
+        self._add(spark, name, kept)
+        return self.read(spark, table, version)
+
+    def locations(self, spark: SparkSession, table: str, version: str) -> dict[str, str]:
+        """Folder of every partition (one per month, or per month a version ended)."""
+        if table not in PARTITIONS:
+            return {}
+        self.read(spark, table, version)
+        name = self.catalog_name(table, version)
+        found = {}
+        for (spec,) in spark.sql(f"SHOW PARTITIONS {name}").collect():
+            described = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({_partition(spec)})")
+            found[spec] = described.filter("col_name = 'Location'").first().data_type
+        return found
+
+    def read(
+        self, spark: SparkSession, table: str, version: str, locations: dict[str, str] | None = None
+    ) -> DataFrame:
         """A stored version with its declared column order; registered on first use."""
-        schema = TABLES[table].schema
         name = self.catalog_name(table, version)
         if not spark.catalog.tableExists(name):
-            self._register(spark, table, version, name, schema)
-        return spark.table(name).select(*schema.names)
+            self._create(spark, table, version, name)
+            self._add(spark, name, locations or {})
+        return spark.table(name).select(*TABLES[table].schema.names)
 
-    def _register(self, spark: SparkSession, table: str, version: str, name: str, schema: StructType) -> None:
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    def _create(self, spark: SparkSession, table: str, version: str, name: str) -> None:
+        columns = ", ".join(
+            f"{f.name} {f.dataType.simpleString()}" for f in TABLES[table].schema
+        )
         folders = PARTITIONS.get(table, [])
         partitioned = f"PARTITIONED BY ({', '.join(folders)})" if folders else ""
         clustered = f"CLUSTERED BY ({CLIENT}) INTO {self.buckets} BUCKETS" if table in BUCKETED else ""
-        location = self.path(table, version)
         spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} {clustered} LOCATION '{location}'"
+            f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} {clustered} "
+            f"LOCATION '{self.path(table, version)}'"
         )
-        if folders:
-            spark.catalog.recoverPartitions(name)
 
-    def replace_month(self, df: DataFrame, table: str, version: str, date_key: int) -> None:
-        """Replace one month's folder, also when ``df`` is empty."""
-        spark = df.sparkSession
-        name = self.catalog_name(table, version)
-        columns = [c for c in spark.table(name).columns if c != "date_key"]
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {name} PARTITION (date_key = {int(date_key)}) "
-            f"SELECT {', '.join(columns)} FROM {{month}}",
-            month=df.filter(df.date_key == date_key),
+    @staticmethod
+    def _add(spark: SparkSession, name: str, locations: dict[str, str]) -> None:
+        parts = " ".join(
+            f"PARTITION ({_partition(spec)}) LOCATION '{at}'" for spec, at in locations.items()
         )
-        spark.catalog.refreshTable(name)
+        if parts:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
 
     # Small logs: append-only, so a row is either there or not.
 
