@@ -24,37 +24,41 @@ USE_BAND_LAST = "90%+"
 USE_BAND_NO_LIMIT = "無額度"
 
 
-def age_band(age: Column) -> Column:
-    """Ten-year band; an unknown age lands in the last band."""
-    first, *rest = AGE_BANDS
-    band = F.when(age < first[0], first[1])
-    for upper, label in rest:
-        band = band.when(age < upper, label)
-    return band.otherwise(AGE_BAND_LAST)
+def _banded(bands: list[tuple], last: str, below: str) -> str:
+    cases = " ".join(f"WHEN {below.format(upper=upper)} THEN '{label}'" for upper, label in bands)
+    return f"{cases} ELSE '{last}'"
 
 
-def risk_tier(pay_code: Column, bill: Column, limit: Column) -> Column:
+def age_band(age: str) -> Column:
+    """Ten-year band of a column; an unknown age lands in the last band."""
+    return F.expr(f"CASE {_banded(AGE_BANDS, AGE_BAND_LAST, age + ' < {upper}')} END")
+
+
+def risk_tier_sql(pay_code: str, bill: str, limit: str) -> str:
     """HIGH / MEDIUM / LOW from the month's payment code and credit use.
 
     Use is compared as ``bill > limit * 0.90``, which is exact in decimals and
     needs no division.
     """
-    overused = (limit > 0) & (bill > limit * F.lit(MEDIUM_ABOVE_USE))
+    overused = f"{limit} > 0 AND {bill} > {limit} * {MEDIUM_ABOVE_USE}"
     return (
-        F.when(pay_code >= HIGH_FROM_CODE, "HIGH")
-        .when((pay_code == MEDIUM_CODE) | overused, "MEDIUM")
-        .otherwise("LOW")
+        f"CASE WHEN {pay_code} >= {HIGH_FROM_CODE} THEN 'HIGH' "
+        f"WHEN {pay_code} = {MEDIUM_CODE} OR ({overused}) THEN 'MEDIUM' ELSE 'LOW' END"
     )
 
 
-def use_band(total_bill: Column, total_limit: Column) -> Column:
+def risk_tier(pay_code: str, bill: str, limit: str) -> Column:
+    return F.expr(risk_tier_sql(pay_code, bill, limit))
+
+
+def use_band(total_bill: str, total_limit: str) -> Column:
     """Band of ``total_bill / total_limit``, compared by cross-multiplying."""
-    bill = F.when(total_limit < 0, -total_bill).otherwise(total_bill)
-    limit = F.abs(total_limit)
-    band = F.when(total_limit == 0, USE_BAND_NO_LIMIT)
-    for upper, label in USE_BANDS:
-        band = band.when(bill < limit * F.lit(upper), label)
-    return band.otherwise(USE_BAND_LAST)
+    bill = f"IF({total_limit} < 0, -{total_bill}, {total_bill})"
+    below = f"{bill} < abs({total_limit}) * {{upper}}"
+    return F.expr(
+        f"CASE WHEN {total_limit} = 0 THEN '{USE_BAND_NO_LIMIT}' "
+        f"{_banded(USE_BANDS, USE_BAND_LAST, below)} END"
+    )
 
 
 def use_band_order(band: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronomart.functions import classify
@@ -26,12 +26,12 @@ def unpivot(
     measures: dict[str, str] = MEASURES,
 ) -> DataFrame:
     """One row per input row and month, in a single pass over the input."""
-    cells: list[Column] = []
-    for m in months:
-        cells.append(F.lit(m.key))
-        cells.extend(F.col(pattern.format(m.ordinal)) for pattern in measures.values())
-    stacked = F.stack(F.lit(len(months)), *cells).alias("date_key", *measures)
-    return wide.select(*keep, stacked)
+    cells = [
+        ", ".join([str(m.key), *[pattern.format(m.ordinal) for pattern in measures.values()]])
+        for m in months
+    ]
+    names = ", ".join(["date_key", *measures])
+    return wide.selectExpr(*keep, f"stack({len(months)}, {', '.join(cells)}) AS ({names})")
 
 
 def resolve_codes(stg: DataFrame, spark: SparkSession | None = None) -> DataFrame:
@@ -52,10 +52,8 @@ def resolve_codes(stg: DataFrame, spark: SparkSession | None = None) -> DataFram
 def with_bands(months: DataFrame) -> DataFrame:
     return months.withColumns(
         {
-            "age_band": classify.age_band(F.col("age")),
-            "risk_tier": classify.risk_tier(
-                F.col("pay_code"), F.col("bill_amount"), F.col("limit_bal")
-            ),
+            "age_band": classify.age_band("age"),
+            "risk_tier": classify.risk_tier("pay_code", "bill_amount", "limit_bal"),
         }
     )
 

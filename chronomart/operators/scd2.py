@@ -12,8 +12,6 @@ Three ways to the same rows:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,58 +58,52 @@ def stamped(dim: DataFrame) -> DataFrame:
 def versioned_months(
     wide: DataFrame,
     calendar: Calendar,
-    per_month: Callable[[Month], dict[str, Column]],
+    per_month: Callable[[Month], dict[str, str]],
     tracked: Sequence[str],
     keep: Sequence[str],
 ) -> DataFrame:
     """One row per client and month with its version, found inside the wide row.
 
-    ``per_month`` gives the month's columns and ``tracked`` names those whose
-    change opens a version (a column that does not vary by month cannot change
-    within a row).  Adds ``date_key``, ``version_num``, ``opens`` (the month
-    opens its version) and ``valid_to_date``.  No shuffle.
+    ``per_month`` gives the month's columns as SQL and ``tracked`` names those
+    whose change opens a version (a column that does not vary by month cannot
+    change within a row).  Adds ``date_key``, ``version_num``, ``opens`` (the
+    month opens its version) and ``valid_to_date``.  No shuffle.
     """
     months = calendar.observed
     steps = range(len(months))
     cells = [per_month(m) for m in months]
     names = list(cells[0])
-    monthly = [n for n in tracked if n in names]
 
-    def cell(i: int, name: str) -> Column:
-        return F.col(f"_m{i}_{name}")
+    def opens(i: int) -> str:
+        changed = [f"NOT _m{i}_{n} <=> _m{i - 1}_{n}" for n in tracked if n in names]
+        return f"{' OR '.join(changed) if i else 'true'} AS _o{i}"
 
-    def differs(i: int) -> Column:
-        return reduce(or_, [~cell(i, n).eqNullSafe(cell(i - 1, n)) for n in monthly])
+    def version(i: int) -> str:
+        return " + ".join(f"int(_o{j})" for j in range(i + 1)) + f" AS _v{i}"
 
-    opens = {f"_o{i}": differs(i) if i else F.lit(True) for i in steps}
-    versions = {
-        f"_v{i}": reduce(add, [F.col(f"_o{j}").cast("int") for j in range(i + 1)]) for i in steps
-    }
+    def valid_to(i: int) -> str:
+        closing = [f"WHEN _o{j} THEN {calendar.closing(months[j].key)}" for j in steps if j > i]
+        return f"CASE {' '.join(closing)} ELSE {OPEN_END} END" if closing else str(OPEN_END)
 
-    def valid_to(i: int) -> Column:
-        changes = [F.when(F.col(f"_o{j}"), calendar.closing(months[j].key)) for j in steps if j > i]
-        return F.coalesce(*changes, F.lit(OPEN_END))
-
-    rows: list[Column] = []
-    for i, m in enumerate(months):
-        rows += [F.lit(m.key), F.col(f"_v{i}"), F.col(f"_o{i}"), valid_to(i)]
-        rows += [cell(i, n) for n in names]
-    found = (
-        wide.withColumns({f"_m{i}_{n}": c for i in steps for n, c in cells[i].items()})
-        .withColumns(opens)
-        .withColumns(versions)
-    )
-    return found.select(
-        *keep,
-        F.stack(F.lit(len(months)), *rows).alias(
-            "date_key", "version_num", "opens", "valid_to_date", *names
-        ),
+    row = [
+        ", ".join([str(m.key), f"_v{i}", f"_o{i}", valid_to(i), *[f"_m{i}_{n}" for n in names]])
+        for i, m in enumerate(months)
+    ]
+    return (
+        wide.selectExpr(*keep, *[f"{c} AS _m{i}_{n}" for i in steps for n, c in cells[i].items()])
+        .selectExpr("*", *[opens(i) for i in steps])
+        .selectExpr("*", *[version(i) for i in steps])
+        .selectExpr(
+            *keep,
+            f"stack({len(months)}, {', '.join(row)}) "
+            f"AS (date_key, version_num, opens, valid_to_date, {', '.join(names)})",
+        )
     )
 
 
-def _month_columns(m: Month) -> dict[str, Column]:
-    columns = {n: F.col(pattern.format(m.ordinal)) for n, pattern in reshape.MEASURES.items()}
-    tier = classify.risk_tier(columns["pay_code"], columns["bill_amount"], F.col("limit_bal"))
+def _month_columns(m: Month) -> dict[str, str]:
+    columns = {n: pattern.format(m.ordinal) for n, pattern in reshape.MEASURES.items()}
+    tier = classify.risk_tier_sql(columns["pay_code"], columns["bill_amount"], "limit_bal")
     return {"risk_tier": tier} | columns
 
 
@@ -132,7 +124,7 @@ def build_from_staging(stg: DataFrame, calendar: Calendar) -> DataFrame:
     return as_dimension(
         opened.withColumns(
             {
-                "age_band": classify.age_band(F.col("age")),
+                "age_band": classify.age_band("age"),
                 "row_hash": row_hash(*[F.col(c) for c in reshape.TRACKED]),
             }
         ).withColumnRenamed("date_key", "valid_from_date")

@@ -111,7 +111,7 @@ def default_rate_by_band(fact: DataFrame, outcome: DataFrame) -> DataFrame:
         F.sum("bill_amount").alias("bill"), F.sum("credit_limit").alias("limit")
     )
     return (
-        use.select("client_id", classify.use_band(F.col("bill"), F.col("limit")).alias("use_band"))
+        use.select("client_id", classify.use_band("bill", "limit").alias("use_band"))
         .join(outcome.select("client_id", "is_default"), "client_id")
         .groupBy("use_band")
         .agg(F.count("*").alias("customers"), F.sum(F.col("is_default").cast("int")).alias("defaults"))

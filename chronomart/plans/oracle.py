@@ -268,11 +268,12 @@ def _constraint_audit() -> str:
         spec = TABLES[name]
         for column in spec.not_null:
             add(name, "NOT NULL", column, "count(*)", f"count(*) - count({column})")
-        if spec.key_owner:
+        if spec.key_formula:
             pk = spec.primary_key[0]
-            owner = spec.key_owner.replace("div", "//")
-            add(name, "KEY OWNER", pk, "count(*)", f"count(*) FILTER (WHERE {owner} <> client_id)")
-            add(name, "PRIMARY KEY", pk, "count(*)", f"count(*) - count(DISTINCT {pk})")
+            add(name, "KEY FORMULA", pk, "count(*)", f"count(*) FILTER (WHERE {pk} <> {spec.key_formula})")
+        if spec.key_from not in spec.unique and spec.key_from:
+            add(name, "PRIMARY KEY", ",".join(spec.key_from), "count(*)",
+                f"count(*) - count(DISTINCT {spec.primary_key[0]})")
         for keys in spec.unique:
             add(name, "UNIQUE", ",".join(keys), "count(*)", f"count(*) - count(DISTINCT ({', '.join(keys)}))")
         for keys in spec.current_unique:

@@ -96,7 +96,7 @@ def unpivot_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star.staged(spark, sf_dir).select(
-        "client_id", "age", classify.age_band(F.col("age")).alias("age_band")
+        "client_id", "age", classify.age_band("age").alias("age_band")
     )
 
 

@@ -45,13 +45,19 @@ def input_state(spark: SparkSession, sf_dir: str) -> tuple:
     )
 
 
+def fresh_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """An empty warehouse laid out for the size of the input."""
+    _, size, _ = input_state(spark, sf_dir)
+    buckets = bucket_count(size or 0, spark.sparkContext.defaultParallelism)
+    return Warehouse(spark, Layout.fresh(spark, buckets))
+
+
 def load(spark: SparkSession, sf_dir: str) -> Warehouse:
     """Stage and load a fresh warehouse (audits are run separately)."""
-    _, size, _ = input_state(spark, sf_dir)
-    warehouse = Warehouse(spark, Layout.fresh(spark, bucket_count(size or 0)))
-    warehouse.stage(source(spark, sf_dir), staging.HISTORY_BATCH)
-    warehouse.load_all(staging.HISTORY_BATCH)
-    return warehouse
+    loaded = fresh_warehouse(spark, sf_dir)
+    loaded.stage(source(spark, sf_dir), staging.HISTORY_BATCH)
+    loaded.load_all(staging.HISTORY_BATCH)
+    return loaded
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

@@ -149,8 +149,8 @@ class Warehouse:
         self.layout.replace_batch(quality.as_stored(results), "quality_result")
         return quality.report(self.quality_results(batch_id))
 
-    def constraints(self) -> DataFrame:
-        return audit.audit(self.tables(), STORED)
+    def constraints(self, covered: audit.Covered = frozenset()) -> DataFrame:
+        return audit.audit(self.tables(), STORED, covered)
 
     def publish(self) -> None:
         """Make the current table versions the ones :meth:`open` finds."""
@@ -188,7 +188,7 @@ class Warehouse:
             else:
                 self.load_all(batch_id)
             report = self.check(batch_id, source_rows)
-            audit.enforce(self.constraints())
+            audit.enforce(self.constraints(audit.COVERED_BY_RULES))
             quality.gate(report)
             self.publish()
         except Exception as error:

@@ -173,8 +173,8 @@ class Table:
     """One warehouse table: its layer, schema and declared keys.
 
     ``current_unique`` lists keys that must be unique among current versions,
-    ``checks`` maps a column to its allowed values, and ``key_owner`` is the
-    client that a generated primary key carries inside.
+    ``checks`` maps a column to its allowed values.  A generated primary key is
+    a function of other columns: ``key_formula`` of ``key_from``.
     """
 
     layer: str
@@ -185,7 +185,8 @@ class Table:
     current_unique: tuple[tuple[str, ...], ...] = ()
     foreign_keys: dict[str, str] = field(default_factory=dict)
     checks: dict[str, tuple[str, ...]] = field(default_factory=dict)
-    key_owner: str = ""
+    key_from: tuple[str, ...] = ()
+    key_formula: str = ""
 
     @property
     def not_null(self) -> list[str]:
@@ -218,7 +219,8 @@ TABLES: dict[str, Table] = {
                 "education_key": "dim_education.education_key",
                 "marriage_key": "dim_marriage.marriage_key",
             },
-            key_owner=f"customer_sk div {VERSION_SPAN}",
+            key_from=("client_id", "version_num"),
+            key_formula=f"client_id * {VERSION_SPAN} + version_num",
         ),
         Table(
             "dw",
@@ -231,7 +233,8 @@ TABLES: dict[str, Table] = {
                 "date_key": "dim_date.date_key",
                 "pay_status_key": "dim_payment_status.pay_status_key",
             },
-            key_owner=f"statement_sk div {MONTH_SPAN}",
+            key_from=("client_id", "date_key"),
+            key_formula=f"client_id * {MONTH_SPAN} + date_key",
         ),
         Table(
             "dw",
@@ -243,7 +246,8 @@ TABLES: dict[str, Table] = {
                 "customer_sk": "dim_customer.customer_sk",
                 "date_key": "dim_date.date_key",
             },
-            key_owner="outcome_sk",
+            key_from=("client_id",),
+            key_formula="client_id",
         ),
         Table(
             "dq", "quality_rule", QUALITY_RULE, ("rule_id",), (("rule_code",),),

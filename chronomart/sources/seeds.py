@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, timedelta
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -176,27 +177,33 @@ def inline_table(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -
     return spark.sql(f"SELECT {casts} FROM VALUES {values} AS seed({names})")
 
 
+@lru_cache(maxsize=8)
 def dim_date(spark: SparkSession, calendar: Calendar | None = None) -> DataFrame:
     months = (calendar or Calendar.starting()).months
     return inline_table(spark, schemas.DIM_DATE, [m.row() for m in months])
 
 
+@lru_cache(maxsize=8)
 def dim_sex(spark: SparkSession) -> DataFrame:
     return inline_table(spark, schemas.DIM_SEX, SEX)
 
 
+@lru_cache(maxsize=8)
 def dim_education(spark: SparkSession) -> DataFrame:
     return inline_table(spark, schemas.DIM_EDUCATION, EDUCATION)
 
 
+@lru_cache(maxsize=8)
 def dim_marriage(spark: SparkSession) -> DataFrame:
     return inline_table(spark, schemas.DIM_MARRIAGE, MARRIAGE)
 
 
+@lru_cache(maxsize=8)
 def dim_payment_status(spark: SparkSession) -> DataFrame:
     return inline_table(spark, schemas.DIM_PAYMENT_STATUS, PAYMENT_STATUS)
 
 
+@lru_cache(maxsize=8)
 def quality_rule(spark: SparkSession) -> DataFrame:
     return inline_table(spark, schemas.QUALITY_RULE, QUALITY_RULES)
 

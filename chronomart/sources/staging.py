@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronomart import schemas
@@ -17,16 +17,14 @@ HISTORY_SOURCE = "order history"
 
 def stage(source: DataFrame, batch_id: str) -> DataFrame:
     """Project the source columns in order, cast them and stamp the batch."""
-    columns = [
-        F.col(f.name).cast(f.dataType)
+    typed = [
+        f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in schemas.STG_CREDIT_CLIENTS
         if f.name in schemas.SOURCE.names
     ]
-    return source.select(
-        *columns,
-        F.col("default").cast("int").cast("boolean").alias("default_next_month"),
-        F.lit(batch_id).alias("load_batch_id"),
-        utc_now().alias("loaded_at"),
+    outcome = "CAST(CAST(default AS int) AS boolean) AS default_next_month"
+    return source.selectExpr(*typed, outcome).withColumns(
+        {"load_batch_id": F.lit(batch_id), "loaded_at": utc_now()}
     )
 
 
@@ -34,22 +32,11 @@ def batch(stg: DataFrame, batch_id: str) -> DataFrame:
     return stg.filter(F.col("load_batch_id") == batch_id)
 
 
-def _year_measures(orders_in: Column, amount: Column, paid: Column, status: Column, i: int) -> list[Column]:
-    return [
-        F.count_if(orders_in).alias(f"n_{i}"),
-        F.count_if(orders_in & (status == "P")).alias(f"np_{i}"),
-        F.count_if(orders_in & (status == "F")).alias(f"nf_{i}"),
-        F.sum(F.when(orders_in, amount)).alias(f"bill_amt{i}"),
-        F.sum(F.when(orders_in, paid)).alias(f"pay_amt{i}"),
-    ]
-
-
-def source_from_order_history(customer: DataFrame, orders: DataFrame) -> DataFrame:
-    """Source snapshot derived from customers and their yearly orders.
+def yearly_orders(orders: DataFrame) -> DataFrame:
+    """Orders per client and year: total, late and paid-off counts, billed and paid amounts.
 
-    Each year of orders plays one month.  Orders are reduced to one row per
-    client with map-side partial sums before anything is shuffled, so a client
-    holding a large share of all orders costs no more than any other.
+    Reduced map-side before the shuffle, so a client with a large share of all
+    orders arrives as one row per task and year.
     """
     amount = F.col("o_totalprice").cast("decimal(14,2)")
     status = F.col("o_orderstatus")
@@ -58,47 +45,58 @@ def source_from_order_history(customer: DataFrame, orders: DataFrame) -> DataFra
         .when((status == "O") & (F.col("o_orderpriority") == "1-URGENT"), -amount)
         .otherwise(F.lit(0).cast("decimal(14,2)"))
     )
-    year = F.year("o_orderdate")
-    ordinals = range(1, schemas.MONTHS + 1)
-    measures = [
-        m
-        for i in ordinals
-        for m in _year_measures(F.coalesce(year == OUTCOME_YEAR - i, F.lit(False)), amount, paid, status, i)
-    ]
-    history = (
-        orders.groupBy((F.col("o_custkey") + 1).alias("client_id"))
-        .agg(*measures, F.count_if((year == OUTCOME_YEAR) & (status == "P")).alias("late_after"))
-    )
-    key = F.col("c_custkey")
-    clients = customer.select(
-        (key + 1).alias("client_id"),
-        (F.greatest(F.col("c_acctbal").cast("decimal(12,2)"), F.lit(0).cast("decimal(12,2)")) * 200)
-        .cast("decimal(12,2)")
-        .alias("limit_bal"),
-        (1 + key % 2).cast("smallint").alias("sex"),
-        (F.col("c_nationkey") % 7).cast("smallint").alias("education"),
-        (F.floor(key / 2) % 4).cast("smallint").alias("marriage"),
-        (21 + (key * 7) % 50).cast("smallint").alias("age"),
+    return orders.groupBy(
+        (F.col("o_custkey") + 1).alias("client_id"), F.year("o_orderdate").alias("yr")
+    ).agg(
+        F.count("*").alias("n"),
+        F.count_if(status == "P").alias("late"),
+        F.count_if(status == "F").alias("paid_off"),
+        F.sum(amount).cast("decimal(14,2)").alias("bill"),
+        F.sum(paid).cast("decimal(14,2)").alias("paid"),
     )
 
-    def pay_code(i: int) -> Column:
-        n, late, paid_off = (F.coalesce(F.col(f"{p}_{i}"), F.lit(0)) for p in ("n", "np", "nf"))
-        return (
-            F.when(n == 0, -2)
-            .when((late == 0) & (paid_off == 0), -1)
-            .otherwise(F.least(late, F.lit(9)))
-            .cast("smallint")
-            .alias(f"pay_{i}")
-        )
 
-    def money(name: str) -> Column:
-        return F.coalesce(F.col(name).cast("decimal(14,2)"), F.lit(0).cast("decimal(14,2)")).alias(name)
+def source_from_order_history(customer: DataFrame, orders: DataFrame) -> DataFrame:
+    """Source snapshot derived from customers and their yearly orders.
 
-    return clients.join(history, "client_id", "left").select(
+    Each year of orders plays one month.  The few yearly rows of a client are
+    brought together by client and turned into columns in place; the join to
+    the customers reuses that partitioning.
+    """
+    measures = ("n", "late", "paid_off", "bill", "paid")
+    years = {f"_{i}": OUTCOME_YEAR - i for i in range(1, schemas.MONTHS + 1)} | {"_after": OUTCOME_YEAR}
+    history = (
+        yearly_orders(orders)
+        .filter(F.col("yr").isin(list(years.values())))
+        .repartition("client_id")
+        .groupBy("client_id")
+        .agg(
+            *[
+                F.expr(f"max(CASE WHEN yr = {year} THEN {m} END) AS {m}{suffix}")
+                for suffix, year in years.items()
+                for m in measures
+                if suffix != "_after" or m == "late"
+            ]
+        )
+    )
+    clients = customer.selectExpr(
+        "c_custkey + 1 AS client_id",
+        "CAST(greatest(CAST(c_acctbal AS decimal(12,2)), 0) * 200 AS decimal(12,2)) AS limit_bal",
+        "CAST(1 + c_custkey % 2 AS smallint) AS sex",
+        "CAST(c_nationkey % 7 AS smallint) AS education",
+        "CAST(c_custkey div 2 % 4 AS smallint) AS marriage",
+        "CAST(21 + c_custkey * 7 % 50 AS smallint) AS age",
+    )
+    ordinals = range(1, schemas.MONTHS + 1)
+    return clients.join(history, "client_id", "left").selectExpr(
         "client_id",
         *schemas.ATTRIBUTE_COLUMNS,
-        *[pay_code(i) for i in ordinals],
-        *[money(c) for c in schemas.BILL_COLUMNS],
-        *[money(c) for c in schemas.PAID_COLUMNS],
-        (F.coalesce(F.col("late_after"), F.lit(0)) > 0).cast("smallint").alias("default"),
+        *[
+            f"CAST(CASE WHEN n_{i} IS NULL THEN -2 WHEN late_{i} = 0 AND paid_off_{i} = 0 THEN -1 "
+            f"ELSE least(late_{i}, 9) END AS smallint) AS pay_{i}"
+            for i in ordinals
+        ],
+        *[f"coalesce(bill_{i}, CAST(0 AS decimal(14,2))) AS bill_amt{i}" for i in ordinals],
+        *[f"coalesce(paid_{i}, CAST(0 AS decimal(14,2))) AS pay_amt{i}" for i in ordinals],
+        "CAST(coalesce(late_after, 0) > 0 AS smallint) AS default",
     )

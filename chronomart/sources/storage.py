@@ -35,8 +35,8 @@ BUCKETED = {
     "fact_monthly_statement",
     "fact_default_outcome",
 }
-BUCKET_BYTES = 256 << 20
-MIN_BUCKETS = 8
+BUCKET_BYTES = 1 << 30  # input behind one bucket: its staged clients make a file of about 100 MB
+SPREAD_BYTES = 4 << 20  # smaller inputs are spread over the cores in pieces of this size
 MAX_BUCKETS = 100_000
 
 
@@ -58,9 +58,11 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def bucket_count(input_bytes: int) -> int:
-    """Buckets so that one bucket of the staged clients stays near ``BUCKET_BYTES``."""
-    return min(MAX_BUCKETS, max(MIN_BUCKETS, math.ceil(input_bytes / BUCKET_BYTES)))
+def bucket_count(input_bytes: int, cores: int) -> int:
+    """Buckets for an input: of limited size, but enough of them to use the cores."""
+    by_size = math.ceil(input_bytes / BUCKET_BYTES)
+    by_cores = min(cores, math.ceil(input_bytes / SPREAD_BYTES))
+    return max(1, min(MAX_BUCKETS, max(by_size, by_cores)))
 
 
 def _partition(spec: str) -> str:
@@ -73,10 +75,10 @@ class Layout:
     """Paths, catalog names and bucket count of one warehouse."""
 
     root: str
-    buckets: int = MIN_BUCKETS
+    buckets: int = 1
 
     @classmethod
-    def fresh(cls, spark: SparkSession, buckets: int = MIN_BUCKETS) -> Layout:
+    def fresh(cls, spark: SparkSession, buckets: int = 1) -> Layout:
         return cls(f"{shared_folder(spark)}/chronomart/{uuid.uuid4().hex}", buckets)
 
     def path(self, table: str, version: str) -> str:
