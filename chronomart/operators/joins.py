@@ -14,8 +14,8 @@ from chronomart.functions.values import guarded_ratio
 def lookup(df: DataFrame, dim: DataFrame, code: str, dim_code: str, key: str) -> DataFrame:
     """Inner join ``df.code`` to a constant dimension, adding its ``key``.
 
-    The dimension is an inline table whose exact size Catalyst knows, so the
-    broadcast is its own decision and no hint is given.
+    The dimension is one of the inline tables, which are broadcast; large code
+    tables belong into a plain join.
     """
     side = dim.select(F.col(dim_code).alias("_code"), F.col(key))
     return df.join(side, F.col(code) == F.col("_code"), "inner").drop("_code")

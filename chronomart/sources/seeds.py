@@ -1,8 +1,8 @@
 """Calendar, code dimensions and the quality-rule registry.
 
 All of them are constants of at most twelve rows (the calendar: one row per
-month), built as inline ``VALUES`` so that Catalyst knows their exact size and
-broadcasts them without a hint.
+month), built as inline ``VALUES``.  Their size is fixed by this module, so the
+dimensions carry a broadcast hint wherever they are joined.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from datetime import date, timedelta
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronomart import schemas
@@ -170,11 +171,11 @@ def _literal(value: object) -> str:
 
 
 def inline_table(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:
-    """A constant table as a local relation with the declared types."""
+    """A constant table as a local relation with the declared types, broadcast in joins."""
     values = ", ".join("(" + ", ".join(map(_literal, row)) + ")" for row in rows)
     names = ", ".join(schema.names)
     casts = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
-    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS seed({names})")
+    return F.broadcast(spark.sql(f"SELECT {casts} FROM VALUES {values} AS seed({names})"))
 
 
 @lru_cache(maxsize=8)
