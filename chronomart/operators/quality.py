@@ -134,7 +134,7 @@ def fact_rules(fact: DataFrame, expected_rows: int, months: int) -> DataFrame:
          text("預期 ", F.lit(expected), " 列，實際 ", facts, " 列")),
         (10, facts, F.col("negative"), text("最小繳款金額：", F.col("lowest"))),
         (11, facts, F.col("over"),
-         text("最大超額比：", F.round("use", 2).cast("decimal(29,15)"))),
+         text("最大超額比：", F.round("use", 2).cast("decimal(38,15)"))),
     )
 
 

@@ -15,6 +15,7 @@ from chronomart.functions import classify
 from chronomart.functions.values import month_date, percentage, quotient
 from chronomart.operators import joins
 from chronomart.sources import seeds
+from chronomart.sources.files import write_csv
 from chronomart.sources.seeds import Calendar
 
 # Report headings of the four analysis questions.
@@ -207,6 +208,26 @@ def quality_results(report: DataFrame) -> DataFrame:
     )
 
 
+def extracts(tables: dict[str, DataFrame], report: DataFrame, calendar: Calendar) -> dict[str, DataFrame]:
+    """The five extracts by name, each of one grain."""
+    fact, dim, outcome = (
+        tables[n] for n in ("fact_monthly_statement", "dim_customer", "fact_default_outcome")
+    )
+    return {
+        "risk_tier_by_month": risk_tier_by_month(fact, dim, calendar),
+        "tier_migration": tier_migration(fact, dim),
+        "default_by_tier": default_by_tier(outcome, dim),
+        "version_counts": version_counts(dim),
+        "quality_results": quality_results(report),
+    }
+
+
+def export(frames: dict[str, DataFrame], path: str) -> None:
+    """Write every frame as a CSV directory below ``path``."""
+    for name, df in frames.items():
+        write_csv(df.coalesce(1), f"{path}/{name}")  # a few rows per code and month
+
+
 # ── calculated fields on the extracts ────────────────────────────────────────
 
 

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from chronomart.plans.warehouse import Warehouse
 from chronomart.sources import staging
-from chronomart.sources.storage import Layout, bucket_count
+from chronomart.sources.storage import Layout, bucket_count, size_shuffles
 
 _loaded: dict[tuple, Warehouse] = {}
 _audited: set[str] = set()  # roots of loaded warehouses whose rules have run
+_sized: set[tuple[str, str]] = set()  # (session, folder) whose shuffles are sized
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _sized:
+        size_shuffles(spark, input_state(spark, sf_dir)[1] or 0)
+        _sized.add(key)
     return staging.source_from_order_history(
         table(spark, sf_dir, "customer"), table(spark, sf_dir, "orders")
     )

@@ -1,6 +1,8 @@
 """Declared schemas and key metadata of the warehouse tables.
 
-``client_id`` is a bigint: at the intended volumes a 32-bit key would run out.
+``client_id`` is a bigint and amounts are decimal(18,2): at the intended volumes
+a 32-bit key would run out, and so would fourteen digits for a client that holds
+a large share of all amounts.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ _TYPES = {
     "date": T.DateType(),
     "timestamp": T.TimestampType(),
     "decimal(12,2)": T.DecimalType(12, 2),
-    "decimal(14,2)": T.DecimalType(14, 2),
+    "decimal(18,2)": T.DecimalType(18, 2),
 }
 
 
@@ -49,8 +51,8 @@ SOURCE = struct(
     ("marriage", "smallint", True),
     ("age", "smallint", True),
     *[(c, "smallint", True) for c in PAY_COLUMNS],
-    *[(c, "decimal(14,2)", True) for c in BILL_COLUMNS],
-    *[(c, "decimal(14,2)", True) for c in PAID_COLUMNS],
+    *[(c, "decimal(18,2)", True) for c in BILL_COLUMNS],
+    *[(c, "decimal(18,2)", True) for c in PAID_COLUMNS],
     ("default", "smallint", True),
 )
 
@@ -124,8 +126,8 @@ FACT_MONTHLY_STATEMENT = struct(
     ("date_key", "int", False),
     ("pay_status_key", "smallint", False),
     ("client_id", "bigint", False),
-    ("bill_amount", "decimal(14,2)", False),
-    ("payment_amount", "decimal(14,2)", False),
+    ("bill_amount", "decimal(18,2)", False),
+    ("payment_amount", "decimal(18,2)", False),
     ("credit_limit", "decimal(12,2)", False),
     ("load_batch_id", "string", False),
 )

@@ -51,8 +51,8 @@ def yearly_orders(orders: DataFrame) -> DataFrame:
         F.count("*").alias("n"),
         F.count_if(status == "P").alias("late"),
         F.count_if(status == "F").alias("paid_off"),
-        F.sum(amount).cast("decimal(14,2)").alias("bill"),
-        F.sum(paid).cast("decimal(14,2)").alias("paid"),
+        F.sum(amount).cast("decimal(18,2)").alias("bill"),
+        F.sum(paid).cast("decimal(18,2)").alias("paid"),
     )
 
 
@@ -96,7 +96,7 @@ def source_from_order_history(customer: DataFrame, orders: DataFrame) -> DataFra
             f"ELSE least(late_{i}, 9) END AS smallint) AS pay_{i}"
             for i in ordinals
         ],
-        *[f"coalesce(bill_{i}, CAST(0 AS decimal(14,2))) AS bill_amt{i}" for i in ordinals],
-        *[f"coalesce(paid_{i}, CAST(0 AS decimal(14,2))) AS pay_amt{i}" for i in ordinals],
+        *[f"coalesce(bill_{i}, CAST(0 AS decimal(18,2))) AS bill_amt{i}" for i in ordinals],
+        *[f"coalesce(paid_{i}, CAST(0 AS decimal(18,2))) AS pay_amt{i}" for i in ordinals],
         "CAST(coalesce(late_after, 0) > 0 AS smallint) AS default",
     )

@@ -38,6 +38,7 @@ BUCKETED = {
 BUCKET_BYTES = 1 << 30  # input behind one bucket: its staged clients make a file of about 100 MB
 SPREAD_BYTES = 4 << 20  # smaller inputs are spread over the cores in pieces of this size
 MAX_BUCKETS = 100_000
+SHUFFLE_BYTES = 128 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -65,6 +66,17 @@ def bucket_count(input_bytes: int, cores: int) -> int:
     return max(1, min(MAX_BUCKETS, max(by_size, by_cores)))
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Raise (never lower) the shuffle partitions so that one holds about ``SHUFFLE_BYTES``.
+
+    The adaptive planner joins partitions that turn out small.
+    """
+    setting = "spark.sql.shuffle.partitions"
+    wanted = math.ceil(input_bytes / SHUFFLE_BYTES)
+    if wanted > int(spark.conf.get(setting)):
+        spark.conf.set(setting, wanted)
+
+
 def _partition(spec: str) -> str:
     """``a=1/b=2`` -> ``a = '1', b = '2'``."""
     return ", ".join("{} = '{}'".format(*part.split("=")) for part in spec.split("/"))

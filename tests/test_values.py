@@ -41,7 +41,7 @@ def test_risk_tier_edges(spark):
     ]
     data = [(c, None if b is None else Decimal(b), None if x is None else Decimal(x)) for c, b, x, _ in cases]
     found = rows(
-        spark, "code smallint, bill decimal(14,2), lim decimal(12,2)", data,
+        spark, "code smallint, bill decimal(18,2), lim decimal(12,2)", data,
         classify.risk_tier("code", "bill", "lim"),
     )
     assert found == [c[3] for c in cases]
@@ -92,7 +92,7 @@ def test_percentages_round_half_up(spark):
 def test_guarded_ratio(spark):
     data = [(Decimal(5), Decimal(2)), (Decimal(5), Decimal(0)), (Decimal(5), Decimal(-1))]
     found = rows(
-        spark, "n decimal(14,2), d decimal(12,2)", data, values.guarded_ratio(F.col("n"), F.col("d"))
+        spark, "n decimal(18,2), d decimal(12,2)", data, values.guarded_ratio(F.col("n"), F.col("d"))
     )
     assert found == [Decimal("2.5"), None, None]
 
