@@ -7,6 +7,8 @@ change identify the input, so changed files are loaded again.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from chronomart.sources.storage import Layout, bucket_count, size_shuffles
 
 _loaded: dict[tuple, Warehouse] = {}
 _audited: set[str] = set()  # roots of loaded warehouses whose rules have run
+_loading = threading.Lock()
 _sized: set[tuple[str, str]] = set()  # (session, folder) whose shuffles are sized
 
 
@@ -68,9 +71,10 @@ def load(spark: SparkSession, sf_dir: str) -> Warehouse:
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The loaded warehouse of this session and input."""
     key = (spark.sparkContext.applicationId, sf_dir, *input_state(spark, sf_dir))
-    if key not in _loaded:
-        _loaded[key] = load(spark, sf_dir)
-    return _loaded[key]
+    with _loading:
+        if key not in _loaded:
+            _loaded[key] = load(spark, sf_dir)
+        return _loaded[key]
 
 
 def source_rows(spark: SparkSession, sf_dir: str) -> int:
