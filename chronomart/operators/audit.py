@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronomart.operators import joins
@@ -30,20 +30,14 @@ class ConstraintError(RuntimeError):
         self.violations = violations
 
 
-def _row(table: str, kind: str, constrained: str, checked: Column, failed: Column) -> list[Column]:
-    zero = F.lit(0)
-    return [
-        F.lit(table),
-        F.lit(kind),
-        F.lit(constrained),
-        F.coalesce(checked, zero).cast("bigint"),
-        F.coalesce(failed, zero).cast("bigint"),
-    ]
-
-
-def _rows(totals: DataFrame, rows: list[list[Column]]) -> DataFrame:
-    cells = [c for row in rows for c in row]
-    return totals.select(F.stack(F.lit(len(rows)), *cells).alias(*COLUMNS))
+def _rows(totals: DataFrame, table: str, rows: list[tuple[str, str, str, str]]) -> DataFrame:
+    """One-row ``totals`` -> result rows from (kind, constrained, checked, failed), counts as SQL."""
+    cells = ", ".join(
+        f"'{table}', '{kind}', '{constrained}', "
+        f"bigint(coalesce({checked}, 0)), bigint(coalesce({failed}, 0))"
+        for kind, constrained, checked, failed in rows
+    )
+    return totals.selectExpr(f"stack({len(rows)}, {cells}) AS ({', '.join(COLUMNS)})")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -59,22 +53,16 @@ def check_unique(df: DataFrame, table: str, keys: list[str], kind: str = "UNIQUE
     totals = (
         df.groupBy(*keys)
         .agg(F.count("*").alias("n"))
-        .agg(F.sum("n").alias("n"), F.sum(F.col("n") - 1).alias("surplus"))
+        .selectExpr("sum(n) AS n", "sum(n - 1) AS surplus")
     )
-    return _rows(totals, [_row(table, kind, ",".join(keys), F.col("n"), F.col("surplus"))])
+    return _rows(totals, table, [(kind, ",".join(keys), "n", "surplus")])
 
 
-def check_rows(df: DataFrame, table: str, conditions: list[tuple[str, str, Column]]) -> DataFrame:
-    """Row conditions ``(kind, constrained, violated)``, all counted in one pass."""
-    totals = df.agg(
-        F.count("*").alias("n"),
-        *[F.count_if(bad).alias(f"bad_{i}") for i, (_, _, bad) in enumerate(conditions)],
-    )
-    rows = [
-        _row(table, kind, constrained, F.col("n"), F.col(f"bad_{i}"))
-        for i, (kind, constrained, _) in enumerate(conditions)
-    ]
-    return _rows(totals, rows)
+def check_rows(df: DataFrame, table: str, conditions: list[tuple[str, str, str]]) -> DataFrame:
+    """Row conditions ``(kind, constrained, violated as SQL)``, all counted in one pass."""
+    violated = [f"count_if({bad}) AS bad_{i}" for i, (_, _, bad) in enumerate(conditions)]
+    rows = [(kind, name, "n", f"bad_{i}") for i, (kind, name, _) in enumerate(conditions)]
+    return _rows(df.selectExpr("count(*) AS n", *violated), table, rows)
 
 
 def check_reference(child: DataFrame, table: str, column: str, parent: DataFrame, key: str) -> DataFrame:
@@ -82,9 +70,7 @@ def check_reference(child: DataFrame, table: str, column: str, parent: DataFrame
     totals = joins.orphan_totals(
         child.filter(F.col(column).isNotNull()), parent.select(F.col(key).alias(column)), column
     )
-    return _rows(
-        totals, [_row(table, "FOREIGN KEY", column, F.col("rows_checked"), F.col("rows_failed"))]
-    )
+    return _rows(totals, table, [("FOREIGN KEY", column, "rows_checked", "rows_failed")])
 
 
 def check_code_references(
@@ -96,18 +82,16 @@ def check_code_references(
     most the product of the dimensions' sizes to look up.
     """
     combos = child.groupBy(*parents).agg(F.count("*").alias("n"))
+    totals, rows = [], []
     for column, (parent, key) in parents.items():
         known = parent.select(F.col(key).alias("_key"), F.lit(True).alias(f"known_{column}"))
         combos = combos.join(known, F.col(column) == F.col("_key"), "left").drop("_key")
-    totals, rows = [], []
-    for column in parents:
-        given = F.col(column).isNotNull()
         totals += [
-            F.sum(F.when(given, F.col("n"))).alias(f"n_{column}"),
-            F.sum(F.when(given & F.col(f"known_{column}").isNull(), F.col("n"))).alias(f"bad_{column}"),
+            f"sum(n) FILTER (WHERE {column} IS NOT NULL) AS n_{column}",
+            f"sum(n) FILTER (WHERE {column} IS NOT NULL AND known_{column} IS NULL) AS bad_{column}",
         ]
-        rows.append(_row(table, "FOREIGN KEY", column, F.col(f"n_{column}"), F.col(f"bad_{column}")))
-    return _rows(combos.agg(*totals), rows)
+        rows.append(("FOREIGN KEY", column, f"n_{column}", f"bad_{column}"))
+    return _rows(combos.selectExpr(*totals), table, rows)
 
 
 def audit_table(spec: Table, tables: dict[str, DataFrame], covered: Covered = frozenset()) -> DataFrame:
@@ -123,11 +107,14 @@ def audit_table(spec: Table, tables: dict[str, DataFrame], covered: Covered = fr
     def wanted(kind: str, constrained: str) -> bool:
         return (spec.name, kind, constrained) not in covered
 
-    conditions = [("NOT NULL", c, F.col(c).isNull()) for c in spec.not_null]
-    conditions += [("CHECK", c, ~F.col(c).isin(*allowed)) for c, allowed in spec.checks.items()]
+    conditions = [("NOT NULL", c, f"{c} IS NULL") for c in spec.not_null]
+    conditions += [
+        ("CHECK", c, f"{c} NOT IN ({', '.join(repr(v) for v in allowed)})")
+        for c, allowed in spec.checks.items()
+    ]
     if spec.key_formula:
         (pk,) = spec.primary_key
-        conditions.append(("KEY FORMULA", pk, F.expr(f"{pk} <> {spec.key_formula}")))
+        conditions.append(("KEY FORMULA", pk, f"{pk} <> {spec.key_formula}"))
     parts.append(check_rows(df, spec.name, conditions))
 
     unique = list(spec.unique)

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chronomart.functions import classify
-from chronomart.functions.values import guarded_ratio, text, utc_now
+from chronomart.functions.values import guarded_ratio, utc_now
 from chronomart.operators import joins
 from chronomart.schemas import QUALITY_RESULT
 from chronomart.sources import seeds
@@ -30,35 +30,33 @@ class QualityGateError(RuntimeError):
         self.failed = failed
 
 
-def _zero(total: Column) -> Column:
-    return F.coalesce(total, F.lit(0)).cast("bigint")
+def _results(totals: DataFrame, *rules: tuple[int, str, str, str]) -> DataFrame:
+    """One-row ``totals`` -> (rule_id, rows_checked, rows_failed, sample_detail) rows.
 
-
-def _results(totals: DataFrame, *rules: tuple[int, Column, Column, Column]) -> DataFrame:
-    """One-row ``totals`` -> (rule_id, rows_checked, rows_failed, sample_detail) rows."""
-    cells: list[Column] = []
-    for rule_id, checked, failed, detail in rules:
-        cells += [F.lit(rule_id), _zero(checked), _zero(failed), F.left(detail, F.lit(DETAIL_LENGTH))]
-    return totals.select(
-        F.stack(F.lit(len(rules)), *cells).alias(
-            "rule_id", "rows_checked", "rows_failed", "sample_detail"
-        )
+    Counts and detail are given as SQL over ``totals``; a missing total counts 0.
+    """
+    cells = ", ".join(
+        f"{rule_id}, bigint(coalesce({checked}, 0)), bigint(coalesce({failed}, 0)), "
+        f"left({detail}, {DETAIL_LENGTH})"
+        for rule_id, checked, failed, detail in rules
     )
+    names = "rule_id, rows_checked, rows_failed, sample_detail"
+    return totals.selectExpr(f"stack({len(rules)}, {cells}) AS ({names})")
+
+
+# The details below are fixed texts.
 
 
 def staging_rules(stg: DataFrame, batch_id: str, expected_rows: int) -> DataFrame:
     per_client = batch(stg, batch_id).groupBy("client_id").agg(F.count("*").alias("n"))
-    totals = per_client.agg(
-        _zero(F.sum("n")).alias("staged"),
-        F.sum(F.col("n") - 1).alias("surplus"),
-        F.count_if(F.col("n") > 1).alias("repeated"),
+    totals = per_client.selectExpr(
+        "coalesce(sum(n), 0) AS staged", "sum(n - 1) AS surplus", "count_if(n > 1) AS repeated"
     )
-    staged = F.col("staged")
     return _results(
         totals,
-        (1, staged, F.abs(staged - expected_rows),
-         text("來源 ", F.lit(expected_rows), " 列，暫存區 ", staged, " 列")),
-        (2, staged, F.col("surplus"), text("重複 client_id 數：", F.col("repeated"))),
+        (1, "staged", f"abs(staged - {expected_rows})",
+         f"concat('來源 {expected_rows} 列，暫存區 ', staged, ' 列')"),
+        (2, "staged", "surplus", "concat('重複 client_id 數：', repeated)"),
     )
 
 
@@ -82,29 +80,27 @@ def undocumented_codes(dim_customer: DataFrame) -> DataFrame:
         .groupBy("education_code", "education_documented")
         .agg(
             F.sum("n").alias("customers"),
-            F.sum(F.when(F.col("marriage_documented").isNotNull(), F.col("n"))).alias("with_marriage"),
-            F.sum(F.when(~F.col("marriage_documented"), F.col("n"))).alias("marriage_undocumented"),
+            F.expr("sum(n) FILTER (WHERE marriage_documented IS NOT NULL)").alias("with_marriage"),
+            F.expr("sum(n) FILTER (WHERE NOT marriage_documented)").alias("marriage_undocumented"),
         )
     )
 
 
 def code_rules(dim_customer: DataFrame) -> DataFrame:
-    per_code = undocumented_codes(dim_customer)
-    known, undocumented = F.col("education_code").isNotNull(), ~F.col("education_documented")
-    label = F.when(undocumented, text("碼", F.col("education_code"), "=", F.col("customers"), "筆"))
-    totals = per_code.withColumn("label", label).agg(
-        F.sum(F.when(known, F.col("customers"))).alias("with_education"),
-        F.sum(F.when(undocumented, F.col("customers"))).alias("education_undocumented"),
-        F.expr("listagg(label, '　') WITHIN GROUP (ORDER BY education_code)").alias("labels"),
-        F.sum("with_marriage").alias("with_marriage"),
-        _zero(F.sum("marriage_undocumented")).alias("marriage_undocumented"),
+    totals = undocumented_codes(dim_customer).selectExpr(
+        "sum(customers) FILTER (WHERE education_code IS NOT NULL) AS with_education",
+        "sum(customers) FILTER (WHERE NOT education_documented) AS education_undocumented",
+        "listagg(IF(education_documented, NULL, concat('碼', education_code, '=', customers, '筆')), '　') "
+        "WITHIN GROUP (ORDER BY education_code) AS labels",
+        "sum(with_marriage) AS with_marriage",
+        "coalesce(sum(marriage_undocumented), 0) AS marriage_undocumented",
     )
     return _results(
         totals,
-        (3, F.col("with_education"), F.col("education_undocumented"),
-         text("未定義碼值分布：", F.col("labels"))),
-        (4, F.col("with_marriage"), F.col("marriage_undocumented"),
-         text("未定義碼值筆數：", F.col("marriage_undocumented"))),
+        (3, "with_education", "education_undocumented",
+         "concat('未定義碼值分布：', coalesce(labels, ''))"),
+        (4, "with_marriage", "marriage_undocumented",
+         "concat('未定義碼值筆數：', marriage_undocumented)"),
     )
 
 
@@ -112,64 +108,54 @@ def fact_rules(fact: DataFrame, expected_rows: int, months: int) -> DataFrame:
     """Grain, row count, negative payments and bills over the limit in one pass."""
     per_grain = fact.groupBy("client_id", "date_key").agg(
         F.count("*").alias("n"),
-        F.count_if(F.col("payment_amount") < 0).alias("negative"),
+        F.expr("count_if(payment_amount < 0)").alias("negative"),
         F.min("payment_amount").alias("lowest"),
-        F.count_if(F.col("bill_amount") > F.col("credit_limit")).alias("over"),
+        F.expr("count_if(bill_amount > credit_limit)").alias("over"),
         F.max(guarded_ratio(F.col("bill_amount"), F.col("credit_limit"))).alias("use"),
     )
-    totals = per_grain.agg(
-        _zero(F.sum("n")).alias("facts"),
-        F.sum(F.col("n") - 1).alias("surplus"),
-        F.count_if(F.col("n") > 1).alias("repeated"),
-        F.sum("negative").alias("negative"),
-        F.min("lowest").alias("lowest"),
-        F.sum("over").alias("over"),
-        F.max("use").alias("use"),
+    totals = per_grain.selectExpr(
+        "coalesce(sum(n), 0) AS facts",
+        "sum(n - 1) AS surplus",
+        "count_if(n > 1) AS repeated",
+        "sum(negative) AS negative",
+        "min(lowest) AS lowest",
+        "sum(over) AS over",
+        "max(use) AS use",
     )
-    facts, expected = F.col("facts"), expected_rows * months
+    expected = expected_rows * months
     return _results(
         totals,
-        (5, facts, F.col("surplus"), text("違反粒度的組合數：", F.col("repeated"))),
-        (7, facts, F.abs(facts - expected),
-         text("預期 ", F.lit(expected), " 列，實際 ", facts, " 列")),
-        (10, facts, F.col("negative"), text("最小繳款金額：", F.col("lowest"))),
-        (11, facts, F.col("over"),
-         text("最大超額比：", F.round("use", 2).cast("decimal(38,15)"))),
+        (5, "facts", "surplus", "concat('違反粒度的組合數：', repeated)"),
+        (7, "facts", f"abs(facts - {expected})", f"concat('預期 {expected} 列，實際 ', facts, ' 列')"),
+        (10, "facts", "negative", "concat('最小繳款金額：', coalesce(string(lowest), ''))"),
+        (11, "facts", "over",
+         "concat('最大超額比：', coalesce(string(CAST(round(use, 2) AS decimal(38,15))), ''))"),
     )
 
 
 def orphan_rules(fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     totals = joins.orphan_totals(fact, dim_customer, "customer_sk")
-    return _results(
-        totals, (6, F.col("rows_checked"), F.col("rows_failed"), F.lit("孤兒 customer_sk 筆數"))
-    )
+    return _results(totals, (6, "rows_checked", "rows_failed", "'孤兒 customer_sk 筆數'"))
 
 
 def version_rules(dim_customer: DataFrame) -> DataFrame:
-    pairs = joins.overlap_counts(dim_customer, "client_id", "valid_from_date", "valid_to_date").agg(
-        F.sum("intervals").alias("versions"), _zero(F.sum("overlapping_pairs")).alias("pairs")
-    )
+    pairs = joins.overlap_counts(
+        dim_customer, "client_id", "valid_from_date", "valid_to_date"
+    ).selectExpr("sum(intervals) AS versions", "coalesce(sum(overlapping_pairs), 0) AS pairs")
     current = (
         dim_customer.groupBy("client_id")
         .agg(F.count_if("is_current").alias("current"))
-        .agg(F.count("client_id").alias("clients"), F.count_if(F.col("current") != 1).alias("bad"))
+        .selectExpr("count(client_id) AS clients", "count_if(current <> 1) AS bad")
     )
-    return _results(
-        pairs, (8, F.col("versions"), F.col("pairs"), text("重疊版本組數：", F.col("pairs")))
-    ).unionByName(
-        _results(
-            current,
-            (9, F.col("clients"), F.col("bad"), text("當前版本數 <> 1 的客戶數：", F.col("bad"))),
-        )
+    return _results(pairs, (8, "versions", "pairs", "concat('重疊版本組數：', pairs)")).unionByName(
+        _results(current, (9, "clients", "bad", "concat('當前版本數 <> 1 的客戶數：', bad)"))
     )
 
 
 def outcome_rules(outcome: DataFrame, expected_rows: int) -> DataFrame:
-    outcomes = F.col("outcomes")
     return _results(
-        outcome.agg(F.count("*").alias("outcomes")),
-        (12, F.lit(expected_rows), F.abs(F.lit(expected_rows) - outcomes),
-         text("違約結果列數：", outcomes)),
+        outcome.selectExpr("count(*) AS outcomes"),
+        (12, str(expected_rows), f"abs({expected_rows} - outcomes)", "concat('違約結果列數：', outcomes)"),
     )
 
 

@@ -97,7 +97,7 @@ class Layout:
         return f"{self.root}/{table}/{version}"
 
     def catalog_name(self, table: str, version: str) -> str:
-        return f"cm_{self.root.rsplit('/', 1)[-1]}_{table}_{version}"
+        return f"cm_{table}_{version}"  # versions are unique
 
     def by_client(self, df: DataFrame) -> DataFrame:
         """Place rows by client, one task per bucket.
