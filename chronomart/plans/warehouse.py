@@ -6,8 +6,8 @@ publish log make them visible, and only after the audits passed.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,37 +19,43 @@ from chronomart.operators import audit, facts, quality, reshape, scd2
 from chronomart.schemas import LOAD_BATCH, QUALITY_RESULT, TABLES, struct
 from chronomart.sources import seeds, staging
 from chronomart.sources.seeds import Calendar
-from chronomart.sources.storage import Layout
+from chronomart.sources.storage import Layout, Version
 
 STORED = ["credit_clients", "dim_customer", "fact_monthly_statement", "fact_default_outcome"]
 PUBLISHED = struct(
     ("table_name", "string", False),
     ("version", "string", False),
     ("buckets", "int", False),
-    ("partition_spec", "string", True),
-    ("location", "string", True),
+    ("carried_partition", "string", True),
+    ("carried_from", "string", True),
     ("published_at", "timestamp", False),
 )
 
 
+def _together(*steps: Callable[[], object]) -> list[object]:
+    """Run independent steps side by side; an error of any is raised once all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, layout: Layout, calendar: Calendar | None = None):
         self.spark = spark
         self.layout = layout
         self.calendar = calendar or Calendar.starting()
-        self.versions: dict[str, str] = {}
+        self.versions: dict[str, Version] = {}
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, calendar: Calendar | None = None) -> Warehouse:
         """The last published state of the warehouse under ``root``."""
         log = Layout(root).read_log(spark, "published", PUBLISHED)
         last = log.agg(F.max("published_at").alias("published_at"))
-        rows = log.join(last, "published_at").collect()  # one row per table and partition
+        rows = log.join(last, "published_at").collect()  # one row per table and carried partition
         warehouse = cls(spark, Layout(root, rows[0].buckets), calendar)
-        warehouse.versions = {r.table_name: r.version for r in rows}
-        for name, version in warehouse.versions.items():
-            parts = {r.partition_spec: r.location for r in rows if r.table_name == name and r.location}
-            warehouse.layout.read(spark, name, version, parts)
+        for row in rows:
+            version = warehouse.versions.setdefault(row.table_name, Version(row.version))
+            if row.carried_partition:
+                version.carried[row.carried_partition] = row.carried_from
         return warehouse
 
     # ── tables ───────────────────────────────────────────────────────────
@@ -69,18 +75,14 @@ class Warehouse:
         return constant | {name: self.table(name) for name in self.versions}
 
     def _store(self, df: DataFrame, name: str) -> DataFrame:
-        version = uuid.uuid4().hex[:12]
-        stored = self.layout.write(df, name, version)
-        self.versions[name] = version
-        return stored
+        self.versions[name] = self.layout.write(df, name)
+        return self.table(name)
 
     def _store_changes(
         self, df: DataFrame, name: str, carry: Callable[[dict[str, str]], bool]
     ) -> DataFrame:
-        version = uuid.uuid4().hex[:12]
-        stored = self.layout.write_changes(df, name, version, self.versions[name], carry)
-        self.versions[name] = version
-        return stored
+        self.versions[name] = self.layout.write_changes(df, name, self.versions[name], carry)
+        return self.table(name)
 
     # ── loads ────────────────────────────────────────────────────────────
 
@@ -90,10 +92,18 @@ class Warehouse:
         return self._store(self.layout.by_client(staged), "credit_clients")
 
     def load_all(self, batch_id: str) -> None:
-        """All observed months at once from staging, without a further shuffle."""
+        """All observed months at once from staging, without a further shuffle.
+
+        Dimension and statements do not need each other, so they are written
+        side by side.
+        """
         stg = staging.batch(self.table("credit_clients"), batch_id)
-        self._store(scd2.stamped(scd2.build_from_staging(stg, self.calendar)), "dim_customer")
-        self._store(facts.statements_from_staging(stg, self.calendar), "fact_monthly_statement")
+        dim = scd2.stamped(scd2.build_from_staging(stg, self.calendar))
+        statements = facts.statements_from_staging(stg, self.calendar)
+        _together(
+            lambda: self._store(dim, "dim_customer"),
+            lambda: self._store(statements, "fact_monthly_statement"),
+        )
         self.load_outcomes(batch_id)
 
     def load_months(self, batch_id: str, first: int | None = None) -> None:
@@ -154,10 +164,11 @@ class Warehouse:
 
     def publish(self) -> None:
         """Make the current table versions the ones :meth:`open` finds."""
-        rows = []
-        for name, version in self.versions.items():
-            parts = self.layout.locations(self.spark, name, version) or {None: None}
-            rows += [(name, version, self.layout.buckets, *part) for part in parts.items()]
+        rows = [
+            (name, version.id, self.layout.buckets, *part)
+            for name, version in self.versions.items()
+            for part in version.carried.items() or [(None, None)]
+        ]
         log = seeds.inline_table(self.spark, T.StructType(PUBLISHED.fields[:-1]), rows)
         self.layout.append_log(log.withColumn("published_at", F.current_timestamp()), "published")
 
@@ -187,8 +198,10 @@ class Warehouse:
                 self.load_outcomes(batch_id)
             else:
                 self.load_all(batch_id)
-            report = self.check(batch_id, source_rows)
-            audit.enforce(self.constraints(audit.COVERED_BY_RULES))
+            constraints = self.constraints(audit.COVERED_BY_RULES)
+            report, _ = _together(
+                lambda: self.check(batch_id, source_rows), lambda: audit.enforce(constraints)
+            )
             quality.gate(report)
             self.publish()
         except Exception as error:

@@ -17,7 +17,7 @@ import math
 import tempfile
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -82,6 +82,18 @@ def _partition(spec: str) -> str:
     return ", ".join("{} = '{}'".format(*part.split("=")) for part in spec.split("/"))
 
 
+@dataclass(frozen=True)
+class Version:
+    """One stored, immutable state of a table.
+
+    ``carried`` names the partitions whose files belong to an earlier version
+    (partition -> folder); all others are below the version's own folder.
+    """
+
+    id: str = field(default_factory=lambda: uuid.uuid4().hex[:16])
+    carried: dict[str, str] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Layout:
     """Paths, catalog names and bucket count of one warehouse."""
@@ -93,11 +105,11 @@ class Layout:
     def fresh(cls, spark: SparkSession, buckets: int = 1) -> Layout:
         return cls(f"{shared_folder(spark)}/chronomart/{uuid.uuid4().hex}", buckets)
 
-    def path(self, table: str, version: str) -> str:
-        return f"{self.root}/{table}/{version}"
+    def path(self, table: str, version: Version) -> str:
+        return f"{self.root}/{table}/{version.id}"
 
-    def catalog_name(self, table: str, version: str) -> str:
-        return f"cm_{table}_{version}"  # versions are unique
+    def catalog_name(self, table: str, version: Version) -> str:
+        return f"cm_{table}_{version.id}"
 
     def by_client(self, df: DataFrame) -> DataFrame:
         """Place rows by client, one task per bucket.
@@ -109,12 +121,13 @@ class Layout:
             return df.hint("rebalance", self.buckets, CLIENT)
         return df.repartition(self.buckets, CLIENT)
 
-    def write(self, df: DataFrame, table: str, version: str) -> DataFrame:
-        """Write a new version of ``table`` and return it as stored.
+    def write(self, df: DataFrame, table: str) -> Version:
+        """Write ``df`` as a new version of ``table``.
 
         Rows keep the placement they arrive with: a task writes one file per
         bucket and folder it holds rows of.
         """
+        version = Version()
         writer = df.write.mode("overwrite").option("compression", "zstd")
         if table in PARTITIONS:
             writer = writer.partitionBy(*PARTITIONS[table])
@@ -122,50 +135,46 @@ class Layout:
             writer = writer.bucketBy(self.buckets, CLIENT)
         name = self.catalog_name(table, version)
         writer.option("path", self.path(table, version)).format("parquet").saveAsTable(name)
-        return self.read(df.sparkSession, table, version)
+        return version
 
     def write_changes(
-        self, df: DataFrame, table: str, version: str, base: str, carry: Callable[[dict[str, str]], bool]
-    ) -> DataFrame:
+        self, df: DataFrame, table: str, base: Version, carry: Callable[[dict[str, str]], bool]
+    ) -> Version:
         """A new version from changed rows ``df`` and the ``base`` partitions to ``carry``.
 
         ``df`` holds all rows of the partitions that are not carried.
         """
         spark = df.sparkSession
         kept = {
-            spec: location
-            for spec, location in self.locations(spark, table, base).items()
+            spec: folder
+            for spec, folder in self.partitions(spark, table, base).items()
             if carry(dict(part.split("=") for part in spec.split("/")))
         }
+        version = Version(carried=kept)
         name = self.catalog_name(table, version)
-        self._create(spark, table, version, name)
+        self._create(spark, table, version)
         df.select(*spark.table(name).columns).write.option("compression", "zstd").insertInto(name)
         self._add(spark, name, kept)
-        return self.read(spark, table, version)
+        return version
 
-    def locations(self, spark: SparkSession, table: str, version: str) -> dict[str, str]:
+    def partitions(self, spark: SparkSession, table: str, version: Version) -> dict[str, str]:
         """Folder of every partition (one per month, or per month a version ended)."""
-        if table not in PARTITIONS:
-            return {}
         self.read(spark, table, version)
-        name = self.catalog_name(table, version)
-        found = {}
-        for (spec,) in spark.sql(f"SHOW PARTITIONS {name}").collect():
-            described = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({_partition(spec)})")
-            found[spec] = described.filter("col_name = 'Location'").first().data_type
-        return found
-
-    def read(
-        self, spark: SparkSession, table: str, version: str, locations: dict[str, str] | None = None
-    ) -> DataFrame:
-        """A stored version with its declared column order; registered on first use."""
+        own = self.path(table, version)
+        specs = spark.sql(f"SHOW PARTITIONS {self.catalog_name(table, version)}").collect()
+        return {spec: version.carried.get(spec, f"{own}/{spec}") for (spec,) in specs}
+
+    def read(self, spark: SparkSession, table: str, version: Version) -> DataFrame:
+        """A stored version with its declared column order; registered if the catalog lacks it."""
         name = self.catalog_name(table, version)
         if not spark.catalog.tableExists(name):
-            self._create(spark, table, version, name)
-            self._add(spark, name, locations or {})
+            self._create(spark, table, version)
+            if table in PARTITIONS:
+                spark.catalog.recoverPartitions(name)
+                self._add(spark, name, version.carried)
         return spark.table(name).select(*TABLES[table].schema.names)
 
-    def _create(self, spark: SparkSession, table: str, version: str, name: str) -> None:
+    def _create(self, spark: SparkSession, table: str, version: Version) -> None:
         columns = ", ".join(
             f"{f.name} {f.dataType.simpleString()}" for f in TABLES[table].schema
         )
@@ -173,14 +182,14 @@ class Layout:
         partitioned = f"PARTITIONED BY ({', '.join(folders)})" if folders else ""
         clustered = f"CLUSTERED BY ({CLIENT}) INTO {self.buckets} BUCKETS" if table in BUCKETED else ""
         spark.sql(
-            f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} {clustered} "
-            f"LOCATION '{self.path(table, version)}'"
+            f"CREATE TABLE {self.catalog_name(table, version)} ({columns}) USING parquet "
+            f"{partitioned} {clustered} LOCATION '{self.path(table, version)}'"
         )
 
     @staticmethod
-    def _add(spark: SparkSession, name: str, locations: dict[str, str]) -> None:
+    def _add(spark: SparkSession, name: str, folders: dict[str, str]) -> None:
         parts = " ".join(
-            f"PARTITION ({_partition(spec)}) LOCATION '{at}'" for spec, at in locations.items()
+            f"PARTITION ({_partition(spec)}) LOCATION '{folder}'" for spec, folder in folders.items()
         )
         if parts:
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")

@@ -60,11 +60,11 @@ def test_reload_from_a_month_is_idempotent(spark, monthly):
     wh.load_months(staging.HISTORY_BATCH, 200507)
     assert wh.versions["dim_customer"] != old["dim_customer"]
     assert contents(wh) == before
-    carried = wh.layout.locations(spark, "fact_monthly_statement", wh.versions["fact_monthly_statement"])
-    kept = monthly.layout.locations(
-        spark, "fact_monthly_statement", monthly.versions["fact_monthly_statement"]
+    now, then = (
+        w.layout.partitions(spark, "fact_monthly_statement", w.versions["fact_monthly_statement"])
+        for w in (wh, monthly)
     )
-    same = {spec for spec in carried if carried[spec] == kept[spec]}
+    same = {spec for spec in now if now[spec] == then[spec]}
     assert same == {"date_key=200504", "date_key=200505", "date_key=200506"}
     assert contents(monthly) == before  # the published versions are untouched
 
