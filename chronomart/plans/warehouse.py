@@ -91,12 +91,24 @@ class Warehouse:
         staged = staging.stage(source, batch_id)
         return self._store(self.layout.by_client(staged), "credit_clients")
 
+    def require_unique_clients(self, batch_id: str) -> None:
+        """Refuse a batch that holds a client twice before anything is joined by client.
+
+        Read as plain files: a bucketed read would bring all rows of a repeated
+        client into one task, whereas here they are counted where they lie.
+        """
+        files = self.layout.path("credit_clients", self.versions["credit_clients"])
+        stg = self.spark.read.schema(TABLES["credit_clients"].schema).parquet(files)
+        rows = staging.batch(stg, batch_id)
+        audit.enforce(audit.check_unique(rows, "credit_clients", ["client_id"]))
+
     def load_all(self, batch_id: str) -> None:
         """All observed months at once from staging, without a further shuffle.
 
         Dimension and statements do not need each other, so they are written
         side by side.
         """
+        self.require_unique_clients(batch_id)
         stg = staging.batch(self.table("credit_clients"), batch_id)
         dim = scd2.stamped(scd2.build_from_staging(stg, self.calendar))
         statements = facts.statements_from_staging(stg, self.calendar)
@@ -113,6 +125,7 @@ class Warehouse:
         back to before that month, so months that were loaded before may be
         loaded again with corrected data.
         """
+        self.require_unique_clients(batch_id)
         months = [m.key for m in self.calendar.observed]
         first = months[0] if first is None else self.calendar.observed_month(first).key
         stg = staging.batch(self.table("credit_clients"), batch_id)

@@ -131,6 +131,16 @@ def test_failed_batch_is_logged_and_not_published(spark):
     assert "FACT_ROWCOUNT" in messages["short"] and "client_id" in messages["twice"]
 
 
+def test_repeated_client_is_refused_before_any_join(spark):
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    rows = [client(1) for _ in range(50)] + [client(i) for i in range(2, 100)]
+    wh.stage(source(spark, rows), "b")
+    for load in (wh.load_all, wh.load_months):
+        with pytest.raises(audit.ConstraintError, match="client_id UNIQUE: 49"):
+            load("b")
+    assert set(wh.versions) == {"credit_clients"}
+
+
 def test_identities(loaded):
     fact, dim, outcome = (loaded.table(n) for n in ("fact_monthly_statement", "dim_customer", "fact_default_outcome"))
     counts = marts.version_counts(dim).collect()
