@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import bpe, mixing
+from chronomart.llm import bpe, mixing, simhash, topk
 from chronomart.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,20 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLE["op2_topk"] = topk.SQL
+
+
+@registered
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.withColumn("fingerprint", simhash.as_hex(F.col("fingerprint")))
+
+
 @registered
 def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
