@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import bpe, mixing, simhash, topk
+from chronomart.llm import bpe, digest, mixing, simhash, topk
 from chronomart.llm.common import table, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.as_hex(F.col("fingerprint")))
 
 
+@registered
+def op7_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.compare_neighbours(table(spark, sf_dir, "documents"))
+
+
 @registered
 def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
