@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import bpe, digest, mixing, simhash, topk
-from chronomart.llm.common import table, word_count
+from chronomart.llm import bpe, digest, mixing, reshard, simhash, topk
+from chronomart.llm.common import table, text_of, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -58,6 +58,26 @@ def op7_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+#: The query's new shards, and the old layout it starts from: whole sources, so one is very large.
+SHARDS = 40
+ROW_BYTES = 16
+
+
+@registered
+def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        F.octet_length(text_of()).cast("long").alias("bytes"),
+        F.crc32(text_of().cast("binary")).alias("text_crc32"),
+        F.pmod(F.crc32(text_of("source").cast("binary")), F.lit(SHARDS)).cast("int").alias("layout"),
+    )
+    plan = reshard.reshard(docs, F.col("layout"), F.col("bytes") + ROW_BYTES, SHARDS)
+    return plan.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    )
+
+
 @registered
 def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
