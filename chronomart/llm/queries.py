@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import bpe, digest, mixing, reshard, simhash, topk
+from chronomart.llm import bpe, digest, mixing, pii, reshard, simhash, topk
 from chronomart.llm.common import table, text_of, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,21 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", simhash.as_hex(F.col("fingerprint")))
 
 
+#: The key of the registered query; a real run passes its own.
+PSEUDONYM_KEY = "registered-query"
+
+
+@registered
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, PSEUDONYM_KEY, spans="spans").select(
+        "doc_id",
+        "text",
+        F.size("spans").cast("long").alias("n_replaced"),
+        F.array_join(F.array_sort(F.array_distinct("spans.kind")), ",").alias("kinds"),
+    )
+
+
 @registered
 def op7_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_neighbours(table(spark, sf_dir, "documents"))
