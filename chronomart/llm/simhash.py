@@ -95,10 +95,10 @@ def split(points: np.ndarray) -> tuple[np.uint64, int] | None:
     for i in np.linspace(0, len(points) - 1, 9, dtype=int):
         d = distances(points, points[i])
         radius = int(np.median(d))
-        if d.max() == radius:
-            radius = int(d[d < radius].max(initial=-1))
-        if radius >= 0:
+        if radius < d.max():
             return points[i], radius
+        if (d < radius).any():
+            return points[i], int(d[d < radius].max())
     return None
 
 
