@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import bpe, digest, mixing, pii, reshard, simhash, topk
+from chronomart.llm import bpe, digest, labelled, mixing, pii, quality, reshard, simhash, topk, toxicity
 from chronomart.llm.common import table, text_of, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,40 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Held-out folds, and the score from which a document counts as label 1.
+QUALITY_FOLDS, QUALITY_HELD_OUT = 5, 0
+THRESHOLD = 0.3
+
+
+@registered
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    fold = labelled.remainder(F.col("doc_id"), QUALITY_FOLDS)
+    rules = quality.train(docs, labels, fold != QUALITY_HELD_OUT)
+    return quality.scored(docs, rules, ["doc_id"]).select(
+        "doc_id",
+        (fold == QUALITY_HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+TOXIC_FOLDS, TOXIC_HELD_OUT = 4, 2
+
+
+@registered
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    fold = labelled.remainder(F.col("doc_id"), TOXIC_FOLDS)
+    model = toxicity.train(docs, labels, fold != TOXIC_HELD_OUT)
+    return toxicity.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        (fold == TOXIC_HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 @registered
 def op7_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_neighbours(table(spark, sf_dir, "documents"))
