@@ -21,6 +21,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -140,7 +141,8 @@ class Encoder:
     """Encodes blocks of texts; keeps what it has folded."""
 
     def __init__(self, ranks: Ranks) -> None:
-        self.ranks, self.find = ranks, regex.compile(ranks.pattern).findall
+        pattern = regex.compile(ranks.pattern)
+        self.ranks, self.find, self.match = ranks, pattern.findall, pattern.match
         self.reset()
 
     def reset(self) -> None:
@@ -148,18 +150,23 @@ class Encoder:
         self.ids = np.zeros(0, np.int32)
         self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, and the offsets of each text's."""
+    def encode_pieces(self, texts: Iterable[list[str]]) -> list[np.ndarray]:
+        """The numbers of each text's pieces in ``known``; pieces not met before are folded."""
         if len(self.known) > KNOWN_PIECES:
             self.reset()
         before, number = len(self.known), self.known.__getitem__
-        pieces = [np.fromiter(map(number, self.find(t or "")), dtype=np.int32) for t in texts]
-        new = [w.encode() for w in list(self.known)[before:]]
+        numbers = [np.fromiter(map(number, pieces), dtype=np.int32) for pieces in texts]
+        new = [w.encode() for w in islice(self.known, before, None)]
         if new:
             ids, counts = fold(new, self.ranks)
             self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(counts) - counts]
             self.counts = np.r_[self.counts, counts]
             self.ids = np.r_[self.ids, ids]
+        return numbers
+
+    def encode(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and the offsets of each text's."""
+        pieces = self.encode_pieces(self.find(t or "") for t in texts)
         every = np.concatenate(pieces) if pieces else np.zeros(0, np.int32)
         lengths = self.counts[every]
         ends = np.cumsum(lengths)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import bpe, digest, labelled, mixing, pii, quality, reshard, simhash, topk, toxicity
+from chronomart.llm import bpe, digest, labelled, mixing, pii, quality, reshard, simhash, tokencount, topk, toxicity
 from chronomart.llm.common import table, text_of, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,6 +107,27 @@ def op7_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_neighbours(table(spark, sf_dir, "documents"))
 
 
+@registered
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every text, then after a deletion, an insertion and a replacement in it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", text_of().alias("text"))
+    kept = tokencount.trees(docs, vocabulary())
+    quarter = lambda k: F.floor(F.length("text") * k / 4)
+    shouted = F.upper(F.substring("text", (quarter(3) + 1).cast("int"), F.lit(30)))
+    edits = [(quarter(1), 12, F.lit("")), (quarter(2), 0, F.substring("text", 1, 24)), (quarter(3), 30, shouted)]
+    structs = [F.struct(a.alias("start"), F.lit(r).cast("long").alias("removed"), i.alias("inserted")) for a, r, i in edits]
+    before = F.aggregate("piece_tokens", F.lit(0).cast("long"), lambda a, x: a + x)
+    rows = kept.withColumns({"edits": F.array(*structs).cast(tokencount.EDITS), "before": before})
+    return tokencount.apply_edits(rows, vocabulary()).select(
+        "doc_id",
+        F.col("before").alias("n_tokens"),
+        F.col("n_tokens").alias("edited_tokens"),
+        F.size("piece_sizes").cast("long").alias("edited_pieces"),
+        "reencoded",
+        F.sha2(F.col("text").cast("binary"), 256).alias("edited_sha256"),
+    )
+
+
 #: The query's new shards, and the old layout it starts from: whole sources, so one is very large.
 SHARDS = 40
 ROW_BYTES = 16
