@@ -27,11 +27,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with pseudonyms in the place of personal data.
-
-    ``n_chars`` is kept as given: it describes the original text.
-    """
-    return pii.pseudonymize(docs, PSEUDONYM_KEY)
+    """Documents with pseudonyms in the place of personal data; ``n_chars`` follows where it was the text's length."""
+    (before,) = fresh(docs, "before")
+    new = pii.pseudonymize(docs.withColumn(before, F.length("text")), PSEUDONYM_KEY)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("n_chars") == F.col(before), F.length("text")).otherwise(F.col("n_chars"))
+        new = new.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return new.drop(before)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
