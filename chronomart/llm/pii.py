@@ -38,14 +38,18 @@ PATTERNS = {
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "secret": rf"(?<![A-Za-z]){_SECRET}[0-9A-Za-z+/_-]{{8,}}+",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
-    "date": rf"(?<!\d){_YEAR}-{_MONTH}-{_DAY}(?!\d)|(?<!\d){_DAY}([./]){_MONTH}\1{_YEAR}(?!\d)",
+    "date": rf"(?<!\d){_YEAR}-{_MONTH}-{_DAY}(?!\d)|(?<!\d){_DAY}(?<dot>[./]){_MONTH}\k<dot>{_YEAR}(?!\d)",
     "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])",
     "phone": r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)"
     r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}+|(?: \d{4}){3,7}+(?: \d{1,3})?)(?![A-Za-z0-9])",
-    "card": r"(?<![\d-])(?:\d{13,19}|\d{4}([ -])\d{4}\2\d{4}\2\d{1,7}|\d{4}([ -])\d{6}\3\d{5})(?!\d)",
+    "card": r"(?<![\d-])(?:\d{13,19}|\d{4}(?<four>[ -])\d{4}\k<four>\d{4}\k<four>\d{1,7}|\d{4}(?<six>[ -])\d{6}\k<six>\d{5})(?!\d)",
 }
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+_LETTERS, _NUMBERS = ("email", "key", "secret", "iban"), ("ip", "date", "ssn", "phone", "card")
+#: All of them; inside a word two tests are enough to go on.
+ANY = r"(?<!\p{L})(?:%s)|(?=[\d+(])(?:%s)" % tuple(
+    "|".join(f"(?:{PATTERNS[k]})" for k in kinds) for kinds in (_LETTERS, _NUMBERS)
+)
 
 
 def let(value: Column, use) -> Column:  # noqa: ANN001
@@ -107,19 +111,21 @@ def permute_digits(digits: Column, key: str, kind: str) -> Column:
     )
 
 
-def permute_letters(value: Column, key: str, kind: str) -> Column:
+def permute_letters(value: Column, key: str, kind: str, hexadecimal: bool = False) -> Column:
     """A string whose digits and Latin letters change within their alphabets; the rest stays.
 
-    Hexadecimal values have one alphabet of 16.
+    With ``hexadecimal``, letters of a value that has none beyond f (in one case)
+    stay within a to f.  Two values can only meet there: one with and one without
+    a letter beyond f.
     """
-    alphabets = [F.lit("0123456789"), F.lit("abcdefghijklmnopqrstuvwxyz"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ")]
-    small, large = F.lit("0123456789abcdef"), F.lit("0123456789ABCDEF")
+    small, large = F.lit("abcdefghijklmnopqrstuvwxyz"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    if hexadecimal:
+        small = F.when(value.rlike("^[0-9a-f]+$"), "abcdef").otherwise(small)
+        large = F.when(value.rlike("^[0-9A-F]+$"), "ABCDEF").otherwise(large)
 
     def alphabet(c: Column) -> Column:
-        own = F.when(value.rlike("^[0-9a-f]+$"), small).when(value.rlike("^[0-9A-F]+$"), large)
-        for a in alphabets:
-            own = own.when(F.instr(a, c) > 0, a)
-        return own
+        own = F.when(c.rlike("^[0-9]$"), "0123456789")
+        return own.when(c.rlike("^[a-z]$"), small).when(c.rlike("^[A-Z]$"), large)
 
     def add(part: Column, other: Column, step: Column) -> Column:
         def char(c: Column, i: Column) -> Column:
@@ -258,7 +264,7 @@ def email(value: Column, key: str) -> Column:
 def secret(value: Column, key: str) -> Column:
     """The name before the value stays."""
     name = F.regexp_extract(value, f"^({_SECRET})", 1)
-    return F.concat(name, permute_letters(F.substring(value, F.length(name) + 1, F.length(value)), key, "secret"))
+    return F.concat(name, permute_letters(F.substring(value, F.length(name) + 1, F.length(value)), key, "secret", hexadecimal=True))
 
 
 def access_key(value: Column, key: str) -> Column:
@@ -287,27 +293,40 @@ def pseudonymize(df: DataFrame, key: str, text: str = "text", spans: str | None
     Candidates that are not valid stay as they are.  Null texts stay null and
     have no spans.  Row order, repeated rows and other columns are kept.
     """
-    parts, made = fresh(df, "parts", "made")
+    (made,) = fresh(df, "made")
     body = F.col(text).cast("string")
+    no_spans = F.array().cast("array<struct<kind:string,pseudonym:string,start:int>>")
 
     def replaced(value: Column) -> Column:
         def by_kind(kind: Column) -> Column:
             new = F.lit(None).cast("string")
             for name, permuted in FORMATS.items():
                 new = F.when(kind == name, permuted(value, key)).otherwise(new)
-            return let(new, lambda n: F.struct(
-                F.when(n.isNotNull(), kind).alias("kind"), F.coalesce(n, value).alias("text")))
+            return let(
+                new, lambda n: F.struct(F.when(n.isNotNull(), kind).alias("kind"), F.coalesce(n, value).alias("text"))
+            )
 
         return let(kind_of(value), by_kind)
 
-    found = F.transform(F.regexp_extract_all(body, F.lit(ANY), F.lit(0)), replaced)
-    rows = df.withColumns({parts: F.split(body, ANY, -1), made: found})
-    pieces = F.transform(parts, lambda p, i: F.concat(p, F.coalesce(F.get(F.col(made), i)["text"], F.lit(""))))
-    result = rows.withColumn(text, F.array_join(pieces, ""))
+    def joined(row: Column) -> Column:
+        pieces = F.transform(row["parts"], lambda p, i: F.concat(p, F.coalesce(F.get(row["new"], i)["text"], F.lit(""))))
+        start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("i"), no_spans.alias("spans"))
+
+        def step(state: Column, new: Column) -> Column:
+            at = state["at"] + F.length(F.get(row["parts"], state["i"]))
+            span = F.struct(new["kind"].alias("kind"), new["text"].alias("pseudonym"), at.alias("start"))
+            grown = F.when(new["kind"].isNull(), state["spans"]).otherwise(F.array_append(state["spans"], span))
+            return F.struct((at + F.length(new["text"])).alias("at"), (state["i"] + 1).alias("i"), grown.alias("spans"))
+
+        found = F.aggregate(row["new"], start, step, lambda state: state["spans"]) if spans else no_spans
+        return F.struct(F.array_join(pieces, "").alias("text"), found.alias("spans"))
+
+    def rewritten(found: Column) -> Column:
+        # Few texts have a candidate; only those are split.
+        row = F.struct(F.split(body, ANY, -1).alias("parts"), F.transform(found, replaced).alias("new"))
+        return F.when(F.size(found) > 0, let(row, joined)).otherwise(F.struct(body.alias("text"), no_spans.alias("spans")))
+
+    result = df.withColumn(made, let(F.regexp_extract_all(body, F.lit(ANY), F.lit(0)), rewritten))
     if spans:
-        starts = lambda i: F.aggregate(
-            F.slice(pieces, F.lit(1), i), F.length(F.get(F.col(parts), i)), lambda a, p: a + F.length(p)
-        )
-        every = F.transform(made, lambda m, i: F.struct(m["kind"].alias("kind"), m["text"].alias("pseudonym"), starts(i).alias("start")))
-        result = result.withColumn(spans, F.coalesce(F.filter(every, lambda s: s["kind"].isNotNull()), F.array().cast("array<struct<kind:string,pseudonym:string,start:int>>")))
-    return result.drop(parts, made)
+        result = result.withColumn(spans, F.coalesce(F.col(made)["spans"], no_spans))
+    return result.withColumn(text, F.col(made)["text"]).drop(made)
