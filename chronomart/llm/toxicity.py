@@ -152,17 +152,18 @@ def posterior(fires: np.ndarray, given: np.ndarray) -> np.ndarray:
 
 def regress(x: np.ndarray, q: np.ndarray) -> tuple[np.ndarray, float]:
     """A ridge logistic regression on soft labels by accelerated gradient steps."""
-    step = 4 / (np.linalg.norm(x.T @ x / len(q), 2) + 1 + 4 * RIDGE)
-    w = v = np.zeros(x.shape[1])
+    q = q.astype(x.dtype)
+    step = 4 / (float(np.linalg.norm(x.T @ x / len(q), 2)) + 1 + 4 * RIDGE)
+    w = v = np.zeros(x.shape[1], x.dtype)
     b = c = float(np.log((q.mean() + 1e-6) / (1 - q.mean() + 1e-6)))
     t = 1.0
     for _ in range(STEPS):
         error = sigmoid(x @ v + c) - q
-        new, new_b = v - step * (x.T @ error / len(q) + RIDGE * v), c - step * error.mean()
-        t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        new, new_b = v - step * (x.T @ error / len(q) + RIDGE * v), c - step * float(error.mean())
+        t, before = (1 + float(np.sqrt(1 + 4 * t * t))) / 2, t
         v, c = new + (before - 1) / t * (new - w), new_b + (before - 1) / t * (new_b - b)
         w, b = new, new_b
-    return w, float(b)
+    return w.astype(np.float64), float(b)
 
 
 def train(docs: DataFrame, labels: DataFrame, learnt: Column, label: str = "toxic") -> Model:
@@ -199,13 +200,13 @@ def train(docs: DataFrame, labels: DataFrame, learnt: Column, label: str = "toxi
             )
 
     rows = known.select("label", "text").mapInArrow(fired, "label int, fired array<int>, hits long, words long")
-    rows = rows.orderBy("label", "fired", "hits", "words").collect()
-    fires = np.zeros((len(rows), len(names)), np.float64)
-    for i, r in enumerate(rows):
-        fires[i, r["fired"]] = 1
-    q = posterior(fires, np.array([r["label"] for r in rows], np.float64))
-    x = np.hstack([fires, numbers([r["hits"] for r in rows], [r["words"] for r in rows])])
-    return Model(names, *regress(x, q))
+    rows = sorted(map(tuple, rows.collect()))  # a fixed order: sums depend on it
+    fires = np.zeros((len(rows), len(names)), np.float32)
+    for i, (_, found, _, _) in enumerate(rows):
+        fires[i, found] = 1
+    label_of, _, hits, words = zip(*rows, strict=True)
+    q = posterior(fires, np.array(label_of, np.float32))
+    return Model(names, *regress(np.hstack([fires, numbers(hits, words).astype(np.float32)]), q))
 
 
 def _scorer(model: Model, text: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

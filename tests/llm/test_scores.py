@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,19 +9,20 @@ from chronomart.llm import labelled, quality, toxicity
 from chronomart.llm.queries import REGISTRY
 from chronomart.llm.stats import NAMES, statistics, with_statistics
 
-FOLDER = "/root/testdata/sf0.01"
-
 
 def auc(scores, labels):
     s, y = np.array(scores), np.array(labels)
     return np.mean([np.mean(p > s[y == 0]) + 0.5 * np.mean(p == s[y == 0]) for p in s[y == 1]])
 
 
-@pytest.mark.parametrize(("name", "label", "parts", "held"), [("op5_quality", "quality", 5, 0), ("op6_toxicity", "toxic", 4, 2)])
-def test_held_out_labels_are_predicted(spark, name, label, parts, held):
-    rows = REGISTRY[name](spark, FOLDER)
-    labels = spark.read.parquet(f"{FOLDER}/labels.parquet")
-    assert rows.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+@pytest.mark.parametrize(
+    ("name", "label", "parts", "held", "folder"),
+    [("op5_quality", "quality", 5, 0, "/root/testdata/sf0.01"), ("op6_toxicity", "toxic", 4, 2, "/root/testdata/sf0.1")],
+)
+def test_held_out_labels_are_predicted(spark, name, label, parts, held, folder):
+    rows = REGISTRY[name](spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    assert rows.count() == spark.read.parquet(f"{folder}/documents.parquet").count()
     known = rows.join(labels, "doc_id").collect()
     test = [r for r in known if r["held_out"]]
     assert {r["doc_id"] for r in test} == {r["doc_id"] for r in known if zlib_fold(r["doc_id"], parts) == held}
@@ -29,8 +32,6 @@ def test_held_out_labels_are_predicted(spark, name, label, parts, held):
 
 
 def zlib_fold(doc_id, parts):
-    import zlib
-
     return zlib.crc32(str(doc_id).encode()) % parts
 
 
