@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from chronomart.llm.common import blocks, fresh
 
 #: Distinct pieces that a task keeps folded; beyond, it starts a new dictionary.
-KNOWN_PIECES = 1_000_000
+KNOWN_PIECES = 300_000
 NEVER = np.int32(2**31 - 1)
 
 

@@ -14,7 +14,7 @@ from chronomart.sources.storage import shared_folder
 #: A word of a text, in Java's and Python's notation alike.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Characters that a Python worker turns to arrays at a time.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
