@@ -1,11 +1,14 @@
 """Command line: load a warehouse, write its extracts and its data dictionary.
 
     python -m chronomart load       --source clients.csv --root /shared/wh
+    python -m chronomart load       --source clients.csv --root /shared/wh --first 200507
     python -m chronomart extract    --root /shared/wh --out /shared/extract
     python -m chronomart dictionary --root /shared/wh --out /shared/dictionary
     python -m chronomart snapshot   --tables /data/tables --out /shared/source
 
-``load`` ends with exit code 1 if a rule of severity ERROR fails.
+``load`` ends with exit code 1 if a rule of severity ERROR fails.  With
+``--first`` it loads the months from that one on again, into a warehouse that
+exists.  ``--buckets`` follows the size of the source if it is not given.
 """
 
 from __future__ import annotations
@@ -17,16 +20,21 @@ from pyspark.sql import functions as F
 
 from chronomart.operators import quality
 from chronomart.plans import marts, star, warehouse
-from chronomart.sources import files
-from chronomart.sources.storage import Layout
+from chronomart.sources import files, storage
 
 
 def load(spark: SparkSession, options: argparse.Namespace) -> int:
-    wh = warehouse.Warehouse(spark, Layout(options.root.rstrip("/"), options.buckets))
+    root = options.root.rstrip("/")
+    rows = files.read_snapshot_csv(spark, options.source)
     try:
-        report = wh.full_refresh(
-            files.read_snapshot_csv(spark, options.source), options.source, by_month=options.by_month
-        )
+        if options.first:
+            wh = warehouse.Warehouse.open(spark, root)
+            report = wh.monthly_refresh(rows, options.source, options.first)
+        else:
+            size = storage.input_bytes(spark, options.source)
+            buckets = options.buckets or storage.bucket_count(size, spark.sparkContext.defaultParallelism)
+            wh = warehouse.Warehouse(spark, storage.Layout(root, buckets))
+            report = wh.full_refresh(rows, options.source, by_month=options.by_month)
     except quality.QualityGateError as failure:
         print(failure)
         return 1
@@ -70,7 +78,8 @@ def main(arguments: list[str] | None = None) -> int:
             sub.add_argument(f"--{option}", required=True)
         sub.set_defaults(run=command)
         if command is load:
-            sub.add_argument("--buckets", type=int, default=8)
+            sub.add_argument("--buckets", type=int)
+            sub.add_argument("--first", type=int)
             sub.add_argument("--by-month", action="store_true")
     options = parser.parse_args(arguments)
     return options.run(SparkSession.builder.appName("chronomart").getOrCreate(), options)

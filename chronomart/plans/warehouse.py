@@ -123,7 +123,8 @@ class Warehouse:
 
         Starts at ``first`` (default: the oldest month): the dimension is wound
         back to before that month, so months that were loaded before may be
-        loaded again with corrected data.
+        loaded again with corrected data.  The outcomes follow the dimension's
+        new versions.
         """
         self.require_unique_clients(batch_id)
         months = [m.key for m in self.calendar.observed]
@@ -131,6 +132,7 @@ class Warehouse:
         stg = staging.batch(self.table("credit_clients"), batch_id)
         for month in months[months.index(first):]:
             self._load_month(stg, month)
+        self.load_outcomes(batch_id)
 
     def _load_month(self, stg: DataFrame, month: int) -> None:
         """Only versions still valid the month before, and that month's facts, are rewritten."""
@@ -193,10 +195,49 @@ class Warehouse:
         batch_id: str | None = None,
         by_month: bool = False,
     ) -> DataFrame:
-        """Stage, load, audit, gate and publish; returns the quality report.
+        """Stage, load, audit, gate and publish; returns the quality report."""
+
+        def load(batch_id: str) -> None:
+            if by_month:
+                self.versions.pop("dim_customer", None)
+                self.versions.pop("fact_monthly_statement", None)
+                self.load_months(batch_id)
+            else:
+                self.load_all(batch_id)
+
+        return self._run(load, source, source_name, source_rows, batch_id)
+
+    def monthly_refresh(
+        self,
+        source: DataFrame,
+        source_name: str,
+        first: int,
+        source_rows: int | None = None,
+        batch_id: str | None = None,
+    ) -> DataFrame:
+        """A whole batch that loads the months from ``first`` on, again or for the first time.
+
+        ``source`` is the whole snapshot with corrected data.
+        """
+
+        def load(batch_id: str) -> None:
+            self.load_months(batch_id, first)
+
+        return self._run(load, source, source_name, source_rows, batch_id)
+
+    def _run(
+        self,
+        load: Callable[[str], None],
+        source: DataFrame,
+        source_name: str,
+        source_rows: int | None,
+        batch_id: str | None,
+    ) -> DataFrame:
+        """One batch around ``load``.
 
-        The batch ends as SUCCEEDED only behind the gate and as FAILED on any
-        error, in which case the published state stays as it was.
+        It ends as SUCCEEDED only behind the gate and as FAILED on any error, in
+        which case the published state stays as it was and the batch's own
+        table versions are removed.
         """
         batch_id = batch_id or new_batch_id()
         source_rows = source.count() if source_rows is None else source_rows
@@ -204,13 +245,7 @@ class Warehouse:
         self.log_batch(batch_id, source_name, source_rows, "RUNNING")
         try:
             self.stage(source, batch_id)
-            if by_month:
-                self.versions.pop("dim_customer", None)
-                self.versions.pop("fact_monthly_statement", None)
-                self.load_months(batch_id)
-                self.load_outcomes(batch_id)
-            else:
-                self.load_all(batch_id)
+            load(batch_id)
             constraints = self.constraints(audit.COVERED_BY_RULES)
             report, _ = _together(
                 lambda: self.check(batch_id, source_rows), lambda: audit.enforce(constraints)
@@ -219,11 +254,25 @@ class Warehouse:
             self.publish()
         except Exception as error:
             self.versions = before
-            self.log_batch(batch_id, source_name, source_rows, "FAILED", str(error)[:400])
+            self.log_batch(batch_id, source_name, source_rows, "FAILED", str(error))
+            self.clean()
             raise
         self.log_batch(batch_id, source_name, source_rows, "SUCCEEDED")
+        self.clean()
         return report
 
+    def clean(self) -> None:
+        """Remove the table versions that neither this state nor the published one refers to.
+
+        One writer per root is assumed.  A reader that opened an earlier state
+        has to open the warehouse again.
+        """
+        kept = [self.versions]
+        if self.layout.has_log(self.spark, "published"):
+            kept.append(Warehouse.open(self.spark, self.layout.root).versions)
+        for name in STORED:
+            self.layout.drop_others(self.spark, name, [state[name] for state in kept if name in state])
+
     # ── logs ─────────────────────────────────────────────────────────────
 
     def log_batch(

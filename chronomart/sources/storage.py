@@ -20,6 +20,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from chronomart.schemas import TABLES
@@ -38,7 +39,6 @@ BUCKETED = {
 BUCKET_BYTES = 1 << 30  # input behind one bucket: its staged clients make a file of about 100 MB
 SPREAD_BYTES = 4 << 20  # smaller inputs are spread over the cores in pieces of this size
 MAX_BUCKETS = 100_000
-SHUFFLE_BYTES = 128 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -66,15 +66,10 @@ def bucket_count(input_bytes: int, cores: int) -> int:
     return max(1, min(MAX_BUCKETS, max(by_size, by_cores)))
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
-    """Raise (never lower) the shuffle partitions so that one holds about ``SHUFFLE_BYTES``.
-
-    The adaptive planner joins partitions that turn out small.
-    """
-    setting = "spark.sql.shuffle.partitions"
-    wanted = math.ceil(input_bytes / SHUFFLE_BYTES)
-    if wanted > int(spark.conf.get(setting)):
-        spark.conf.set(setting, wanted)
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of the files below ``paths`` (contents are not read)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    return files.agg(F.sum("length")).first()[0] or 0
 
 
 def _partition(spec: str) -> str:
@@ -194,6 +189,51 @@ class Layout:
         if parts:
             spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
 
+    # Clean-up.
+
+    def drop_others(self, spark: SparkSession, table: str, kept: list[Version]) -> None:
+        """Drop the table's versions but ``kept``, and their files but those that ``kept`` carry.
+
+        The driver lists one folder per version and partition.
+        """
+        prefix = f"{self.root}/{table}"
+        used = {self.path(table, v) for v in kept}
+        carried = {folder for v in kept for folder in v.carried.values()}
+        for folder in self._folders(spark, prefix):
+            if folder in used:
+                continue
+            spark.sql(f"DROP TABLE IF EXISTS {self.catalog_name(table, Version(folder.rsplit('/', 1)[-1]))}")
+            if not any(c.startswith(f"{folder}/") for c in carried):
+                self._delete(spark, folder)
+                continue
+            # Partition folders are one or two levels deep; those carried elsewhere stay.
+            depth = len(PARTITIONS[table])
+            parts = [folder]
+            for _ in range(depth):
+                parts = [p for q in parts for p in self._folders(spark, q)]
+            for part in parts:
+                if part not in carried:
+                    self._delete(spark, part)
+
+    @staticmethod
+    def _system(spark: SparkSession, path: str):  # noqa: ANN205
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+    def _folders(self, spark: SparkSession, path: str) -> list[str]:
+        system, at = self._system(spark, path)
+        if not system.exists(at):
+            return []
+        return [f"{path}/{s.getPath().getName()}" for s in system.listStatus(at) if s.isDirectory()]
+
+    def _delete(self, spark: SparkSession, path: str) -> None:
+        system, at = self._system(spark, path)
+        system.delete(at, True)
+
+    def has_log(self, spark: SparkSession, log: str) -> bool:
+        system, at = self._system(spark, self.log_path(log))
+        return system.exists(at)
+
     # Small logs: append-only, so a row is either there or not.
 
     def log_path(self, log: str) -> str:

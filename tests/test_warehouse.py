@@ -76,15 +76,64 @@ def test_corrected_months_are_rebuilt(spark):
     wh.full_refresh(source(spark, rows), "small", batch_id=batch_id)
 
     corrected = [r | {"pay_3": 0} if r["client_id"] <= 3 else r for r in rows]
-    wh.stage(source(spark, corrected), batch_id)
-    wh.load_months(batch_id, 200507)
-    wh.load_outcomes(batch_id)
+    again = new_batch_id()
+    report = wh.monthly_refresh(source(spark, corrected), "small", 200507, batch_id=again)
+    assert report.filter("verdict = 'FAIL'").count() == 0
     audit.enforce(wh.constraints())
-    quality.gate(wh.check(batch_id, 8))
+    assert {r.load_batch_id: r.status for r in wh.batches().collect()} == {batch_id: "SUCCEEDED", again: "SUCCEEDED"}
+    assert warehouse.Warehouse.open(spark, wh.layout.root).versions == wh.versions
 
     fresh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
-    fresh.full_refresh(source(spark, corrected), "small", batch_id=batch_id)
-    assert contents(wh) == contents(fresh)
+    fresh.full_refresh(source(spark, corrected), "small", batch_id=again)
+    found, expected = contents(wh), contents(fresh)
+    batch = fresh.table("fact_monthly_statement").columns.index("load_batch_id")
+    old = {r for r in found["fact_monthly_statement"] if r[batch] == batch_id}
+    assert len(old) == 8 * 3  # the months before the correction keep their batch
+    for state in (found, expected):
+        state["fact_monthly_statement"] = sorted(r[:batch] + r[batch + 1 :] for r in state["fact_monthly_statement"])
+    assert found == expected
+
+
+def test_orphan_outcomes_close_the_gate(spark, monkeypatch):
+    rows = [client(i, pays=(0, 0, 2, 2, 0, 0), bills=(100,) * 6) for i in range(1, 9)]
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    wh.full_refresh(source(spark, rows), "small")
+    published = dict(wh.versions)
+    corrected = [r | {"pay_3": 0, "pay_4": 0} if r["client_id"] <= 3 else r for r in rows]
+    monkeypatch.setattr(wh, "load_outcomes", lambda batch_id: None)
+    with pytest.raises(audit.ConstraintError, match="fact_default_outcome.customer_sk FOREIGN KEY: 3"):
+        wh.monthly_refresh(source(spark, corrected), "small", 200506, batch_id="late")
+    assert wh.versions == published
+    assert {r.status for r in wh.batches().filter("load_batch_id = 'late'").collect()} == {"FAILED"}
+
+
+def version_folders(wh):
+    from pathlib import Path
+
+    return {n: {p.name for p in Path(wh.layout.root.removeprefix("file:"), n).iterdir()} for n in warehouse.STORED}
+
+
+def test_versions_without_a_reader_are_removed(spark):
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    rows = [client(i, pays=(0, 0, 2, 2, 0, 0)) for i in range(1, 5)]
+    wh.full_refresh(source(spark, rows), "good")
+    kept = {n: {v.id} for n, v in wh.versions.items()}
+    for batch in ("short", "shorter"):
+        with pytest.raises(quality.QualityGateError):
+            wh.full_refresh(source(spark, rows), batch, source_rows=5, batch_id=batch)
+    assert version_folders(wh) == kept
+    names = {t.name for t in spark.catalog.listTables() if t.name.startswith("cm_")}
+    for name, version in wh.versions.items():
+        assert [n for n in names if n.startswith(f"cm_{name}_") and n in {
+            wh.layout.catalog_name(name, v) for v in [version]}]
+    # Carried months stay where they lie; what a later version replaced goes.
+    wh.monthly_refresh(source(spark, rows), "again", 200508)
+    wh.monthly_refresh(source(spark, rows), "again", 200509)
+    again = warehouse.Warehouse.open(spark, wh.layout.root)
+    assert {n: len(x) for n, x in contents(again).items()} == {
+        "dim_customer": 12, "fact_monthly_statement": 24, "fact_default_outcome": 4,
+    }
+    assert len(version_folders(wh)["credit_clients"]) == len(version_folders(wh)["fact_default_outcome"]) == 1
 
 
 def test_published_state_is_found_again(spark, loaded):
@@ -228,12 +277,13 @@ def test_client_joins_and_windows_are_co_located(spark, loaded):
             "point in time": plan(facts.statements(stg, dim, loaded.calendar).select("customer_sk", "client_id")),
             "tiers": plan(marts.monthly_tiers(fact, dim)),
             "outcome": plan(joins.fact_to_version(outcome, joins.current_versions(dim), ["risk_tier"])),
+            "orphans": plan(joins.orphan_totals(fact, dim, "customer_sk")),
             "apply": plan(scd2.apply(dim, stg.transform(lambda d: snapshot(d, loaded.calendar)), 200509, loaded.calendar)),
         }
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     for name, text in plans.items():
-        assert not re.search(r"Exchange hashpartitioning\(client_id", text), name
+        assert not re.search(r"Exchange hashpartitioning\((client_id|customer_sk)", text), name
 
 
 def snapshot(stg, calendar):
@@ -275,4 +325,5 @@ def test_unpivot_scans_once(spark):
 def test_hot_customer_is_reduced_before_the_shuffle(spark):
     text = plan(star.staged(spark, SMALL))
     # partial aggregation sits below the first exchange of the orders
-    assert re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*HashAggregate\([^\n]*partial_count", text)
+    assert re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*HashAggregate\([^\n]*partial_sum", text)
+    assert len(re.findall("Exchange hashpartitioning", text)) == 1  # customers meet them by broadcast here
