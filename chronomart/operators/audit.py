@@ -66,9 +66,9 @@ def check_rows(df: DataFrame, table: str, conditions: list[tuple[str, str, str]]
 
 
 def check_reference(child: DataFrame, table: str, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Rows whose non-null ``column`` names no row of ``parent``."""
+    """Rows whose non-null ``column`` names no version of their own client in ``parent``."""
     totals = joins.orphan_totals(
-        child.filter(F.col(column).isNotNull()), parent.select(F.col(key).alias(column)), column
+        child.filter(F.col(column).isNotNull()), parent.withColumnRenamed(key, column), column
     )
     return _rows(totals, table, [("FOREIGN KEY", column, "rows_checked", "rows_failed")])
 

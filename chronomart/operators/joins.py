@@ -122,24 +122,22 @@ def statement_star(
     )
 
 
-def reference_counts(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """Per key of ``child``: its rows and whether ``parent`` knows the key.
+def orphan_totals(child: DataFrame, parent: DataFrame, key: str, owner: str = "client_id") -> DataFrame:
+    """One row: rows checked, and rows whose key names no row of ``parent`` with the same owner.
 
-    Children are counted per key before the join, so a key referenced by many
-    rows crosses the join as one row.
+    This is the pair that :func:`fact_to_version` joins by, so a row it would
+    lose is counted here.  Children are counted per owner and key first; the
+    owner alone is the join key, so tables bucketed by it are not exchanged, and
+    the key is compared as a closed range.
     """
-    references = child.groupBy(key).agg(F.count("*").alias("references"))
-    known = parent.select(F.col(key).alias("_known")).distinct()
-    return references.join(known, references[key] == F.col("_known"), "left").select(
-        key, "references", F.col("_known").isNotNull().alias("known")
+    references = child.groupBy(owner, key).agg(F.count("*").alias("references")).alias("c")
+    known = parent.groupBy(owner, key).agg(F.lit(True).alias("known")).alias("p")
+    on = (F.col(f"c.{owner}") == F.col(f"p.{owner}")) & F.col(f"p.{key}").between(
+        F.col(f"c.{key}"), F.col(f"c.{key}")
     )
-
-
-def orphan_totals(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
-    """One row: rows checked and rows whose key has no parent."""
-    return reference_counts(child, parent, key).agg(
+    return references.join(known, on, "left").agg(
         F.coalesce(F.sum("references"), F.lit(0)).alias("rows_checked"),
-        F.coalesce(F.sum(F.when(~F.col("known"), F.col("references"))), F.lit(0)).alias("rows_failed"),
+        F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("references"))), F.lit(0)).alias("rows_failed"),
     )
 
 
@@ -153,32 +151,33 @@ def overlap_counts(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
     before p and have not ended before p, and those that start at p too.
 
     An interval that ends before it starts overlaps exactly the regular ones
-    that hold both its ends; these faulty shapes (normally none) are held
-    against each regular shape of the same key.
+    that hold both its ends; these faulty shapes (normally none) are joined to
+    the regular shapes of their key, where a hot key can be split.
     """
     per_key = Window.partitionBy(key)
-    faulty = F.collect_list(F.when(F.col("s") > F.col("e"), F.struct("s", "e", "n"))).over(per_key)
-    holding = F.aggregate(
-        F.col("faulty"),
-        F.lit(0).cast("bigint"),
-        lambda total, x: total
-        + F.when((F.col("s") <= x["e"]) & (x["s"] <= F.col("e")), x["n"]).otherwise(F.lit(0)),
-    )
-    shapes = (
+    counted = (
         df.select(F.col(key), F.col(start).alias("s"), F.col(end).alias("e"))
         .groupBy(key, "s", "e")
         .agg(F.count("*").alias("n"))
-        .withColumn("faulty", faulty)
-        .withColumns({"regular": F.col("s") <= F.col("e"), "held": F.col("n") * holding})
     )
+    faulty = counted.filter("s > e").select(
+        F.col(key).alias("f_key"), F.col("s").alias("f_s"), F.col("e").alias("f_e"), F.col("n").alias("f_n")
+    )
+    holds = (F.col(key) == F.col("f_key")) & (F.col("s") <= F.col("f_e")) & (F.col("f_s") <= F.col("e"))
+    held = (
+        counted.filter("s <= e")
+        .join(faulty, holds)
+        .groupBy(key)
+        .agg(F.sum(F.col("n") * F.col("f_n")).alias("held"))
+    )
+    shapes = counted.withColumn("regular", F.col("s") <= F.col("e"))
     none = F.lit(0).cast("bigint")
 
-    def event(at: str, started: Column, ended: Column, held: Column, intervals: Column) -> Column:
+    def event(at: str, started: Column, ended: Column, intervals: Column) -> Column:
         return F.struct(
             F.col(at).alias("p"),
             started.alias("started"),
             ended.alias("ended"),
-            held.alias("held"),
             intervals.alias("intervals"),
         )
 
@@ -191,13 +190,13 @@ def overlap_counts(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
             key,
             F.inline(
                 F.array(
-                    event("s", if_regular(n), none, if_regular(F.col("held")), n),
-                    event("e", none, if_regular(n), none, none),
+                    event("s", if_regular(n), none, n),
+                    event("e", none, if_regular(n), none),
                 )
             ),
         )
         .groupBy(key, "p")
-        .agg(*[F.sum(c).alias(c) for c in ("started", "ended", "held", "intervals")])
+        .agg(*[F.sum(c).alias(c) for c in ("started", "ended", "intervals")])
     )
     before = per_key.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
     open_before = F.coalesce(F.sum(F.col("started") - F.col("ended")).over(before), none)
@@ -207,8 +206,9 @@ def overlap_counts(df: DataFrame, key: str, start: str, end: str) -> DataFrame:
         .groupBy(key)
         .agg(
             F.sum("intervals").alias("intervals"),
-            F.sum(F.col("started") * F.col("open_before") + together + F.col("held")).alias(
-                "overlapping_pairs"
-            ),
+            F.sum(F.col("started") * F.col("open_before") + together).alias("overlapping_pairs"),
         )
+        .join(held, key, "left")
+        .withColumn("overlapping_pairs", F.col("overlapping_pairs") + F.coalesce("held", none))
+        .drop("held")
     )

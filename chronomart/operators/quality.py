@@ -19,8 +19,6 @@ from chronomart.sources import seeds
 from chronomart.sources.seeds import Calendar
 from chronomart.sources.staging import batch
 
-DETAIL_LENGTH = 400
-
 
 class QualityGateError(RuntimeError):
     """At least one ERROR rule failed."""
@@ -37,7 +35,7 @@ def _results(totals: DataFrame, *rules: tuple[int, str, str, str]) -> DataFrame:
     """
     cells = ", ".join(
         f"{rule_id}, bigint(coalesce({checked}, 0)), bigint(coalesce({failed}, 0)), "
-        f"left({detail}, {DETAIL_LENGTH})"
+        f"{detail}"
         for rule_id, checked, failed, detail in rules
     )
     names = "rule_id, rows_checked, rows_failed, sample_detail"

@@ -100,6 +100,20 @@ def test_orphan_facts(spark):
     assert failed(tables, 4)[6][:2] == (24, 4)
 
 
+def test_facts_with_the_key_of_another_client_are_orphans(spark):
+    tables = star(spark, CLEAN)
+    fact, dim = tables["fact_monthly_statement"], tables["dim_customer"]
+    other = dim.agg(F.max("customer_sk")).first()[0]
+    owner = dim.filter(F.col("customer_sk") == other).first().client_id
+    victim = fact.filter(F.col("client_id") != owner).agg(F.min("client_id")).first()[0]
+    wrong = fact.withColumn("customer_sk", F.when(F.col("client_id") == victim, F.lit(other)).otherwise(F.col("customer_sk")))
+    lost = fact.count() - joins.fact_to_version(wrong, dim, ["risk_tier"]).count()
+    tables["fact_monthly_statement"] = wrong
+    assert lost > 0 and failed(tables, 4)[6][:2] == (24, lost)
+    rows = audit.audit(tables, ["fact_monthly_statement"]).filter("kind = 'FOREIGN KEY' AND constrained = 'customer_sk'")
+    assert rows.first().rows_failed == lost
+
+
 def versions(spark, spans):
     """A dimension of given (client, version, from, to, current)."""
     rows = [
