@@ -16,15 +16,19 @@ BROADCAST_ROWS = 200_000  # at most some ten megabytes of block or partition sta
 def read_snapshot_csv(
     spark: SparkSession, path: str, schema: T.StructType = schemas.SOURCE, key: str = "client_id"
 ) -> DataFrame:
-    """Source snapshot with a header line; a missing key column is numbered in file order."""
-    header = spark.read.option("header", True).csv(path).columns
-    header[0] = header[0].lstrip("\ufeff")
+    """Source snapshot with a header line; a missing key column is numbered in file order.
+
+    All files must have the same columns in the same order; others are refused.
+    """
+    written = spark.read.option("header", True).csv(path).columns
+    header = [written[0].lstrip("\ufeff"), *written[1:]]
     by_name = {f.name: f for f in schema}
     unknown = [c for c in header if c not in by_name]
     if unknown:
         raise ValueError(f"columns not in the declared schema: {unknown}")
     declared = T.StructType([T.StructField(c, by_name[c].dataType, True) for c in header])
-    raw = spark.read.schema(declared).option("header", True).option("mode", "FAILFAST").csv(path)
+    reader = spark.read.schema(declared).option("header", True).option("mode", "FAILFAST")
+    raw = reader.option("enforceSchema", False).csv(path)
     if key not in header:
         raw = number_file_rows(raw, key)
     return raw.select(*schema.names)
@@ -53,7 +57,10 @@ def _number(within: DataFrame, groups: list[str], key: str, columns: list[str])
 
 
 def number_file_rows(df: DataFrame, key: str) -> DataFrame:
-    """Add ``key`` = 1, 2, 3 ... in file order to a frame read straight from files."""
+    """Add ``key`` = 1, 2, 3 ... in file order to a frame read straight from files.
+
+    The scan is checkpointed, so that counting and numbering see the same blocks.
+    """
     storage.shared_folder(df.sparkSession)
     within = df.withColumns(
         {
@@ -61,7 +68,7 @@ def number_file_rows(df: DataFrame, key: str) -> DataFrame:
             "_start": F.col("_metadata.file_block_start"),
             "_row": F.monotonically_increasing_id(),
         }
-    )
+    ).checkpoint()
     return _number(within, ["_file", "_start"], key, df.columns)
 
 

@@ -34,13 +34,20 @@ def batch(stg: DataFrame, batch_id: str) -> DataFrame:
     return stg.filter(F.col("load_batch_id") == batch_id)
 
 
-def yearly_orders(orders: DataFrame) -> DataFrame:
-    """Orders per client and year: total, late and paid-off counts, billed and paid amounts.
-
-    Reduced map-side before the shuffle, so a client with a large share of all
-    orders arrives as one row per task and year.  Amounts are summed in whole
-    cents: exact like decimals, at the price of a long addition.
+def yearly_totals(orders: DataFrame, years: dict[str, int]) -> DataFrame:
+    """One row per client: total, late and paid-off counts, billed and paid amounts of each year.
+
+    ``years`` maps a suffix of the columns to its year; an order of any other
+    year is an error, since no month would show it.  Orders are reduced map-side
+    to one row per task and client and exchanged once, so a client with a large
+    share of all orders does not fill a task.  Amounts are summed in whole cents:
+    exact like decimals, at the price of a long addition.  Years without orders
+    are null.
     """
+    year = F.year("o_orderdate")
+    inside = F.when(year.isin(list(years.values())), F.lit(True)).otherwise(
+        F.raise_error(F.concat(F.lit("order outside the calendar: "), F.coalesce(F.col("o_orderdate").cast("string"), F.lit("no date")))).cast("boolean")
+    )
     cents = (F.col("o_totalprice").cast("decimal(14,2)") * 100).cast("bigint")
     status = F.col("o_orderstatus")
     paid = (
@@ -52,40 +59,30 @@ def yearly_orders(orders: DataFrame) -> DataFrame:
     def amount(total: Column) -> Column:
         return (total.cast("decimal(18,0)") * F.lit(Decimal("0.01"))).cast("decimal(18,2)")
 
-    return orders.groupBy(
-        (F.col("o_custkey") + 1).alias("client_id"), F.year("o_orderdate").alias("yr")
-    ).agg(
-        F.count("*").alias("n"),
-        F.count_if(status == "P").alias("late"),
-        F.count_if(status == "F").alias("paid_off"),
-        amount(F.sum(cents)).alias("bill"),
-        amount(F.sum(paid)).alias("paid"),
+    rows = orders.filter(inside).select(
+        (F.col("o_custkey") + 1).alias("client_id"),
+        year.alias("yr"),
+        F.lit(1).cast("bigint").alias("n"),
+        (status == "P").cast("bigint").alias("late"),
+        (status == "F").cast("bigint").alias("paid_off"),
+        cents.alias("bill"),
+        paid.alias("paid"),
     )
+    totals = []
+    for suffix, y in years.items():
+        for name in ("n", "late", "paid_off", "bill", "paid"):
+            total = F.sum(F.when(F.col("yr") == y, F.col(name)))
+            totals.append((amount(total) if name in ("bill", "paid") else total).alias(f"{name}{suffix}"))
+    return rows.groupBy("client_id").agg(*totals)
 
 
 def source_from_order_history(customer: DataFrame, orders: DataFrame) -> DataFrame:
     """Source snapshot derived from customers and their yearly orders.
 
-    Each year of orders plays one month.  The few yearly rows of a client are
-    brought together by client and turned into columns in place; the join to
-    the customers reuses that partitioning.
+    Each year of orders plays one month; the year after them gives the outcome.
     """
-    measures = ("n", "late", "paid_off", "bill", "paid")
     years = {f"_{i}": OUTCOME_YEAR - i for i in range(1, schemas.MONTHS + 1)} | {"_after": OUTCOME_YEAR}
-    history = (
-        yearly_orders(orders)
-        .filter(F.col("yr").isin(list(years.values())))
-        .repartition("client_id")
-        .groupBy("client_id")
-        .agg(
-            *[
-                F.expr(f"max(CASE WHEN yr = {year} THEN {m} END) AS {m}{suffix}")
-                for suffix, year in years.items()
-                for m in measures
-                if suffix != "_after" or m == "late"
-            ]
-        )
-    )
+    history = yearly_totals(orders, years)
     clients = customer.selectExpr(
         "c_custkey + 1 AS client_id",
         "CAST(greatest(CAST(c_acctbal AS decimal(12,2)), 0) * 200 AS decimal(12,2)) AS limit_bal",

@@ -1,3 +1,4 @@
+from datetime import date
 from decimal import Decimal
 
 import pytest
@@ -36,6 +37,45 @@ def test_missing_key_is_numbered_in_file_order(spark, tmp_path):
     ]
 
 
+def test_numbers_survive_other_splits(spark, tmp_path):
+    names = schemas.SOURCE.names[1:]
+    lines = [",".join(names)] + [",".join(str(c[n]) for n in names) for c in CLIENTS * 50]
+    (tmp_path / "one.csv").write_text("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        numbered = files.read_snapshot_csv(spark, str(tmp_path)).select("client_id", "bill_amt1")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")  # between planning and reading
+        got = numbered.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted((r.client_id, int(r.bill_amt1)) for r in got) == [(i + 1, i % 40 + 1) for i in range(2000)]
+
+
+def test_files_with_other_column_orders_are_refused(spark, tmp_path):
+    names = schemas.SOURCE.names
+    for part in range(2):
+        order = list(names)
+        if part:
+            a, b = order.index("sex"), order.index("education")
+            order[a], order[b] = order[b], order[a]
+        row = [str(CLIENTS[part][n]) for n in order]
+        (tmp_path / f"part-{part}.csv").write_text(",".join(order) + "\n" + ",".join(row) + "\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        files.read_snapshot_csv(spark, str(tmp_path)).collect()
+
+
+def test_orders_outside_the_calendar_are_an_error(spark):
+    orders = spark.createDataFrame(
+        [(1, "F", 10.0, date(2002, 1, 1), "1-URGENT")],
+        "o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date, o_orderpriority string",
+    )
+    customer = spark.createDataFrame([(1, 5.0, 3)], "c_custkey long, c_acctbal double, c_nationkey int")
+    with pytest.raises(Exception, match="order outside the calendar: 2002-01-01"):
+        staging.source_from_order_history(customer, orders).collect()
+    inside = orders.withColumn("o_orderdate", F.lit(date(2001, 1, 1)))
+    assert staging.source_from_order_history(customer, inside).count() == 1
+
+
 def test_malformed_value_fails(spark, tmp_path):
     names = schemas.SOURCE.names
     row = [str(CLIENTS[0][n]) for n in names]
