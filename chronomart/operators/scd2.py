@@ -212,12 +212,13 @@ def apply(
 
     Only current versions meet the snapshot; closed versions pass through
     unread by the join.  A changed client yields its closed version and its
-    new one from the same joined row.  Every known client has one current
-    version (an ERROR rule guards that), so a client without one is new.
+    new one from the same joined row.  A client without a current version gets
+    one, numbered after the highest number that ``dim`` holds for it.
     """
     calendar.observed_month(date_key)
     columns = [n for n in DIM_CUSTOMER.names if n in dim.columns]
-    c, s = joins.current_versions(dim).alias("c"), snapshot.alias("s")
+    last = dim.groupBy("client_id").agg(F.max("version_num").alias("_last"))
+    c, s = joins.current_versions(dim).alias("c"), snapshot.join(last, "client_id", "left").alias("s")
     known, seen = F.col("c.client_id").isNotNull(), F.col("s.client_id").isNotNull()
     changed = seen & known & (F.col("c.row_hash") != F.col("s.row_hash"))
 
@@ -230,7 +231,7 @@ def apply(
     for n in type1:
         kept[n] = F.when(seen & ~changed, F.col(f"s.{n}")).otherwise(F.col(f"c.{n}"))
 
-    version = F.coalesce(F.col("c.version_num"), F.lit(0)) + 1
+    version = F.coalesce(F.col("s._last"), F.lit(0)) + 1
     generated = {
         "customer_sk": surrogate_key(F.col("s.client_id"), version),
         "version_num": version,

@@ -139,6 +139,18 @@ def test_same_month_again_changes_nothing(spark):
     assert rows_of(again) == rows_of(dim)
 
 
+def test_client_with_closed_versions_only_goes_on_counting(spark):
+    history = random_history(8, clients=5, keep=1.0)
+    snapshots = long_snapshots(spark, history)
+    dim = scd2.as_dimension(scd2.build(long_snapshots(spark, [h for h in history if h["date_key"] <= MONTHS[3]]), CALENDAR))
+    closed = dim.withColumns({"is_current": F.lit(False), "valid_to_date": F.lit(MONTHS[3])})
+    again = scd2.apply(closed, snapshots.filter(F.col("date_key") == MONTHS[4]), MONTHS[4], CALENDAR).collect()
+    last = {r.client_id: r.n for r in closed.groupBy("client_id").agg(F.max("version_num").alias("n")).collect()}
+    opened = {r.client_id: r.version_num for r in again if r.is_current}
+    assert opened == {c: n + 1 for c, n in last.items()}
+    assert len({r.customer_sk for r in again}) == len(again)
+
+
 def test_rewind_restores_every_earlier_state(spark):
     history = random_history(7, clients=30)
     snapshots = long_snapshots(spark, history).persist()
