@@ -7,9 +7,7 @@ rounding.
 
 from __future__ import annotations
 
-from chronomart.plans.warehouse import dictionary_rows
-from chronomart.schemas import TABLES
-from chronomart.sources import seeds
+from chronomart.plans import expected
 
 BATCH = "'00000000-0000-0000-0000-000000000001'"
 
@@ -178,11 +176,11 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(map(literal, r)) + ")" for r in rows)
 
 
-PAYMENT = f"pay(pay_status_key, code, documented, reading, late, months) AS (VALUES {_values(seeds.PAYMENT_STATUS)})"
-EDUCATION = f"edu(education_key, code, label, documented) AS (VALUES {_values(seeds.EDUCATION)})"
-MARRIAGE = f"mar(marriage_key, code, label, documented) AS (VALUES {_values(seeds.MARRIAGE)})"
-SEX = f"sx(sex_key, code, label) AS (VALUES {_values(seeds.SEX)})"
-RULES = f"rules(rule_id, rule_code, target_object, severity, description) AS (VALUES {_values(seeds.QUALITY_RULES)})"
+PAYMENT = f"pay(pay_status_key, code, documented, reading, late, months) AS (VALUES {_values(expected.PAYMENT_STATUS)})"
+EDUCATION = f"edu(education_key, code, label, documented) AS (VALUES {_values(expected.EDUCATION)})"
+MARRIAGE = f"mar(marriage_key, code, label, documented) AS (VALUES {_values(expected.MARRIAGE)})"
+SEX = f"sx(sex_key, code, label) AS (VALUES {_values(expected.SEX)})"
+RULES = f"rules(rule_id, rule_code, target_object, severity, description) AS (VALUES {_values(expected.QUALITY_RULES)})"
 
 MIGRATION = """,
 moves AS (
@@ -264,28 +262,24 @@ def _constraint_audit() -> str:
             f"FROM {frames[table]} WHERE {where}"
         )
 
-    for name in frames:
-        spec = TABLES[name]
-        for column in spec.not_null:
-            add(name, "NOT NULL", column, "count(*)", f"count(*) - count({column})")
-        if spec.key_formula:
-            pk = spec.primary_key[0]
-            add(name, "KEY FORMULA", pk, "count(*)", f"count(*) FILTER (WHERE {pk} <> {spec.key_formula})")
-        if spec.key_from not in spec.unique and spec.key_from:
-            add(name, "PRIMARY KEY", ",".join(spec.key_from), "count(*)",
-                f"count(*) - count(DISTINCT {spec.primary_key[0]})")
-        for keys in spec.unique:
-            add(name, "UNIQUE", ",".join(keys), "count(*)", f"count(*) - count(DISTINCT ({', '.join(keys)}))")
-        for keys in spec.current_unique:
-            add(name, "UNIQUE CURRENT", ",".join(keys), "count(*)",
-                f"count(*) - count(DISTINCT ({', '.join(keys)}))", "is_current")
-        for column, reference in spec.foreign_keys.items():
-            add(name, "FOREIGN KEY", column, f"count({column})",
-                f"count(*) FILTER (WHERE {column} NOT IN ({parents[reference]}))")
+    for name, kind, columns, detail in expected.CONSTRAINTS:
+        if kind == "NOT NULL":
+            add(name, kind, columns, "count(*)", f"count(*) - count({columns})")
+        elif kind == "KEY FORMULA":
+            add(name, kind, columns, "count(*)", f"count(*) FILTER (WHERE {columns} <> {detail})")
+        elif kind == "PRIMARY KEY":
+            add(name, kind, columns, "count(*)", f"count(*) - count(DISTINCT {detail})")
+        elif kind == "FOREIGN KEY":
+            add(name, kind, columns, f"count({columns})",
+                f"count(*) FILTER (WHERE {columns} NOT IN ({parents[detail]}))")
+        else:
+            distinct = f"count(*) - count(DISTINCT ({columns}))"
+            add(name, kind, columns, "count(*)", distinct, "is_current" if kind == "UNIQUE CURRENT" else "TRUE")
     return f"WITH {STAR}, {PAYMENT}, {EDUCATION}, {MARRIAGE}, {SEX} " + " UNION ALL ".join(rows)
 
 
 def _table_counts() -> str:
+    layer = {row[0].split(".")[1]: row[0].split(".")[0] for row in expected.DICTIONARY}
     counts = {
         "credit_clients": "FROM cust", "dim_customer": "FROM dim",
         "fact_monthly_statement": "FROM fact", "fact_default_outcome": "FROM outcome",
@@ -295,10 +289,10 @@ def _table_counts() -> str:
         "quality_rule": 12, "quality_result": 12, "load_batch": 1,
     }
     rows = [
-        f"SELECT '{TABLES[n].layer}.{n}' AS table_name, count(*) AS row_count {source}"
+        f"SELECT '{layer[n]}.{n}' AS table_name, count(*) AS row_count {source}"
         for n, source in counts.items()
     ] + [
-        f"SELECT '{TABLES[n].layer}.{n}' AS table_name, CAST({k} AS BIGINT) AS row_count"
+        f"SELECT '{layer[n]}.{n}' AS table_name, CAST({k} AS BIGINT) AS row_count"
         for n, k in fixed.items()
     ]
     return " UNION ALL ".join(rows)
@@ -307,7 +301,7 @@ def _table_counts() -> str:
 def _dictionary() -> str:
     return f"""WITH {STAR}, counts AS ({_table_counts()}),
 dict(table_name, column_id, column_name, data_type, nullable, key_role, reference) AS (
-  VALUES {_values(dictionary_rows(TABLES))})
+  VALUES {_values(expected.DICTIONARY)})
 SELECT d.table_name, CAST(column_id AS BIGINT) AS column_id, column_name, data_type, nullable,
   key_role, reference, row_count FROM dict d JOIN counts c ON c.table_name = d.table_name"""
 
@@ -349,6 +343,14 @@ SELECT client_id, CAST(version_num AS BIGINT) AS version_num, CAST(valid_from_da
     "scd2_rewind": f"""WITH {ACTIVITY}, {versions('(SELECT * FROM act WHERE date_key < 200507)')}
 {DIM_SELECT.format(dim='dim')}""",
     "scd2_corrected_month": f"WITH {MONTHS}{SNAP}{_CORRECTED}, {versions('snap3')} {DIM_SELECT.format(dim='dim')}",
+    "monthly_reload": f"""WITH {MONTHS}{SNAP}{_CORRECTED}, {versions('snap3')}
+SELECT 'statement' AS fact, s.client_id, CAST(s.date_key AS BIGINT) AS date_key, CAST(d.customer_sk AS BIGINT) AS customer_sk,
+  CAST(s.limit_bal AS DOUBLE) AS credit_limit, d.risk_tier
+FROM snap3 s JOIN dim d ON d.client_id = s.client_id AND s.date_key BETWEEN d.valid_from_date AND d.valid_to_date
+UNION ALL
+SELECT 'outcome', l.client_id, 200510, CAST(d.customer_sk AS BIGINT), NULL, d.risk_tier
+FROM late l JOIN dim d ON d.client_id = l.client_id AND d.is_current""",
+    "file_row_number": "SELECT CAST(row_number() OVER (ORDER BY c_custkey) AS BIGINT) AS client_id, c_acctbal FROM customer",
     "fact_statement": f"WITH {STAR} {FACT_SELECT}",
     "fact_statement_single_pass": f"WITH {STAR} {FACT_SELECT}",
     "fact_statement_month": f"WITH {STAR} {FACT_SELECT} WHERE date_key = 200505",

@@ -88,6 +88,16 @@ def row_number_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.number_rows(customers, "client_id", [F.desc("c_acctbal"), F.col("c_custkey")])
 
 
+@registered
+def file_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balances written to CSV files in order of the customers, then numbered in file order."""
+    path = f"{shared_folder(spark)}/chronomart/csv/{new_batch_id()}"
+    customers = star.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    files.write_csv(customers.orderBy("c_custkey").select("c_acctbal"), path)
+    rows = spark.read.schema("c_acctbal double").option("header", True).csv(path)
+    return files.number_file_rows(rows, "client_id")
+
+
 @registered
 def unpivot_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reshape.unpivot(star.staged(spark, sf_dir), CALENDAR.observed, ["client_id"])
@@ -207,6 +217,29 @@ def scd2_corrected_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd2.apply(before, reshape.snapshot(corrected, CALENDAR, LATEST), LATEST, CALENDAR)
 
 
+@registered
+def monthly_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All facts with their version after a whole batch loaded the latest month again, corrected."""
+    wh = star.load(spark, sf_dir)  # a warehouse of its own: the batch changes it
+    rows = star.source(spark, sf_dir)
+    raised = (F.col("limit_bal") * 2).cast("decimal(12,2)")
+    corrected = rows.withColumn(
+        "limit_bal", F.when(F.col("education") == 1, raised).otherwise(F.col("limit_bal"))
+    )
+    wh.monthly_refresh(corrected, staging.HISTORY_SOURCE, LATEST, star.source_rows(spark, sf_dir))
+    columns = ["fact", "client_id", "date_key", "customer_sk", "credit_limit", "risk_tier"]
+    found = [
+        joins.fact_to_version(wh.table(table), wh.table("dim_customer"), ["risk_tier"])
+        .withColumns({"fact": F.lit(kind), "credit_limit": limit})
+        .select(*columns)
+        for kind, table, limit in [
+            ("statement", "fact_monthly_statement", F.col("credit_limit")),
+            ("outcome", "fact_default_outcome", F.lit(None).cast("decimal(18,2)")),
+        ]
+    ]
+    return found[0].unionByName(found[1])
+
+
 # ── facts and joins ──────────────────────────────────────────────────────────
 
 
