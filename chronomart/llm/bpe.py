@@ -148,7 +148,8 @@ class Encoder:
     def reset(self) -> None:
         self.known = _Dictionary()
         self.ids = np.zeros(0, np.int32)
-        self.starts, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        # Of each known piece: where its ids start, how many they are, and its code points.
+        self.starts, self.counts, self.sizes = (np.zeros(0, np.int64) for _ in range(3))
 
     def encode_pieces(self, texts: Iterable[list[str]]) -> list[np.ndarray]:
         """The numbers of each text's pieces in ``known``; pieces not met before are folded."""
@@ -156,9 +157,10 @@ class Encoder:
             self.reset()
         before, number = len(self.known), self.known.__getitem__
         numbers = [np.fromiter(map(number, pieces), dtype=np.int32) for pieces in texts]
-        new = [w.encode() for w in islice(self.known, before, None)]
+        new = list(islice(self.known, before, None))
         if new:
-            ids, counts = fold(new, self.ranks)
+            ids, counts = fold([w.encode() for w in new], self.ranks)
+            self.sizes = np.r_[self.sizes, np.fromiter(map(len, new), np.int64, len(new))]
             self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(counts) - counts]
             self.counts = np.r_[self.counts, counts]
             self.ids = np.r_[self.ids, ids]

@@ -17,9 +17,11 @@ together.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -128,19 +130,23 @@ class Document:
             nodes = {n // 2 for n in nodes if n > 1}
 
 
-class Counter:
-    """Numbers of tokens of pieces; folds what it has not met."""
+def _flat(lists: list[list[list[int]]]) -> pa.Array:
+    """A column of lists from the leaves of each row."""
+    sizes = [sum(map(len, leaves)) for leaves in lists]
+    values = np.fromiter(chain.from_iterable(map(chain.from_iterable, lists)), np.int32, sum(sizes))
+    return _column(values, sizes)
 
-    def __init__(self, ranks: Ranks) -> None:
-        self.encoder = Encoder(ranks)
 
-    def count(self, pieces: list[list[str]]) -> list[list[int]]:
-        numbers = self.encoder.encode_pieces(pieces)
-        return [self.encoder.counts[n].tolist() for n in numbers]
+def _column(values: np.ndarray, sizes: list[int]) -> pa.Array:
+    offsets = np.cumsum([0, *sizes]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
 
 
-def _lists(columns: list[list[list[int]]]) -> list[pa.Array]:
-    return [pa.array(c, pa.list_(pa.int32())) for c in columns]
+def _rows(column: pa.ListArray) -> list[list[int]]:
+    """Lists of plain numbers, empty for null."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)).tolist()
+    values = column.flatten().to_numpy(zero_copy_only=False).tolist()
+    return [values[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def trees(df: DataFrame, ranks: Ranks, text: str = "text") -> DataFrame:
@@ -153,11 +159,11 @@ def trees(df: DataFrame, ranks: Ranks, text: str = "text") -> DataFrame:
     at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(ranks)
+        encoder = Encoder(ranks)
         for block in blocks(batches, text):
-            pieces = [counter.encoder.find(t or "") for t in block.column(at).to_pylist()]
-            tokens = counter.count(pieces)
-            columns = _lists([[list(map(len, p)) for p in pieces], tokens])
+            numbers = encoder.encode_pieces(encoder.find(t or "") for t in block.column(at).to_pylist())
+            every, lengths = np.concatenate(numbers), list(map(len, numbers))
+            columns = [_column(encoder.sizes[every], lengths), _column(encoder.counts[every], lengths)]
             yield pa.RecordBatch.from_arrays([*block.columns, *columns], [*block.schema.names, *(f.name for f in TREE)])
 
     return df.mapInArrow(run, T.StructType([*df.schema.fields, *TREE]))
@@ -178,26 +184,26 @@ def apply_edits(df: DataFrame, ranks: Ranks, edits: str = "edits", text: str = "
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(ranks)
-        match = counter.encoder.match
+        encoder = Encoder(ranks)
         for block in blocks(batches, text):
-            texts, wanted, sizes, tokens = (block.column(at[n]).to_pylist() for n in (text, edits, *(f.name for f in TREE)))
-            documents = [Document(t or "", s or [], c or []) for t, s, c in zip(texts, sizes, tokens, strict=True)]
+            texts, wanted = (block.column(at[n]).to_pylist() for n in (text, edits))
+            sizes, tokens = (_rows(block.column(at[f.name])) for f in TREE)
+            documents = [Document(t or "", s, c) for t, s, c in zip(texts, sizes, tokens, strict=True)]
             again = np.zeros(len(documents), np.int64)
             for turn in range(max((len(w or []) for w in wanted), default=0)):
                 due = [i for i, w in enumerate(wanted) if w and len(w) > turn and w[turn]]
                 cuts = []
                 for i in due:
                     e = wanted[i][turn]
-                    cuts.append(documents[i].cut(e["start"] or 0, e["removed"] or 0, e["inserted"] or "", match))
-                found = counter.count([pieces for _, pieces in cuts])
-                for i, (place, pieces), counts in zip(due, cuts, found, strict=True):
-                    documents[i].mend(place, list(map(len, pieces)), counts)
-                    again[i] += len(pieces)
-            leaves = [d.pieces() for d in documents]
+                    cuts.append(documents[i].cut(e["start"] or 0, e["removed"] or 0, e["inserted"] or "", encoder.match))
+                found = encoder.encode_pieces(pieces for _, pieces in cuts)
+                for i, (place, _), new in zip(due, cuts, found, strict=True):
+                    documents[i].mend(place, encoder.sizes[new].tolist(), encoder.counts[new].tolist())
+                    again[i] += len(new)
             new = {
                 at[text]: pa.array([d.text for d in documents], pa.string()),
-                **dict(zip((at[f.name] for f in TREE), _lists([[x[0] for x in leaves], [x[1] for x in leaves]]), strict=True)),
+                at[TREE[0].name]: _flat([d.sizes for d in documents]),
+                at[TREE[1].name]: _flat([d.tokens for d in documents]),
             }
             columns = [new.get(i, c) for i, c in enumerate(block.columns)]
             counts = pa.array([d.count for d in documents], pa.int64())

@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from texts import NASTY, documents
 
 from chronomart.llm import tokencount
+from chronomart.llm.bpe import Encoder
 from chronomart.llm.queries import REGISTRY, vocabulary
 
 
 def counts(text):
-    counter = tokencount.Counter(vocabulary())
-    pieces = counter.encoder.find(text)
-    return list(map(len, pieces)), counter.count([pieces])[0]
+    encoder = Encoder(vocabulary())
+    numbers = encoder.encode_pieces([encoder.find(text)])[0]
+    return encoder.sizes[numbers].tolist(), encoder.counts[numbers].tolist()
 
 
 def edit(text, start, removed, inserted):
@@ -32,10 +33,11 @@ def test_trees_follow_any_edit(text, edits, leaf):
     before, tokencount.LEAF = tokencount.LEAF, leaf
     try:
         document = tokencount.Document(text, *counts(text))
-        counter = tokencount.Counter(vocabulary())
+        encoder = Encoder(vocabulary())
         for e in edits:
-            place, pieces = document.cut(*e, counter.encoder.match)
-            document.mend(place, list(map(len, pieces)), counter.count([pieces])[0])
+            place, pieces = document.cut(*e, encoder.match)
+            numbers = encoder.encode_pieces([pieces])[0]
+            document.mend(place, encoder.sizes[numbers].tolist(), encoder.counts[numbers].tolist())
             text = edit(text, *e)
             assert document.text == text
             assert document.pieces() == counts(text)
