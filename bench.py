@@ -51,6 +51,9 @@ HEADLINES = [
     "version_timeline",
     "load_progress",
     "bi_ratios",
+    "row_number_key",
+    "csv_snapshot",
+    "monthly_reload",
 ]
 
 

@@ -7,6 +7,8 @@ rounding.
 
 from __future__ import annotations
 
+import re
+
 from chronomart.plans import expected
 
 BATCH = "'00000000-0000-0000-0000-000000000001'"
@@ -221,7 +223,8 @@ results(rule_id, rows_checked, rows_failed, sample_detail) AS (
     coalesce(string_agg('碼' || code || '=' || n || '筆', '　' ORDER BY code) FILTER (WHERE NOT documented), '') FROM edu_now
   UNION ALL SELECT 4, n, bad, '未定義碼值筆數：' || bad FROM mar_now
   UNION ALL SELECT 5, count(*), count(*) - count(DISTINCT statement_sk), '違反粒度的組合數：' || (count(*) - count(DISTINCT statement_sk)) FROM fact
-  UNION ALL SELECT 6, count(*), count(*) FILTER (WHERE customer_sk NOT IN (SELECT customer_sk FROM dim)), '孤兒 customer_sk 筆數' FROM fact
+  UNION ALL SELECT 6, count(*), count(*) FILTER (WHERE NOT EXISTS (
+    SELECT 1 FROM dim d WHERE d.customer_sk = fact.customer_sk AND d.client_id = fact.client_id)), '孤兒 customer_sk 筆數' FROM fact
   UNION ALL SELECT 7, count(*), abs(count(*) - 6 * (SELECT n FROM src)), '預期 ' || 6 * (SELECT n FROM src) || ' 列，實際 ' || count(*) || ' 列' FROM fact
   UNION ALL SELECT 8, (SELECT count(*) FROM dim), n, '重疊版本組數：' || n FROM pairs
   UNION ALL SELECT 9, count(*), count(*) FILTER (WHERE c <> 1), '當前版本數 <> 1 的客戶數：' || count(*) FILTER (WHERE c <> 1)
@@ -238,6 +241,21 @@ report AS (
   FROM results x JOIN rules r ON r.rule_id = x.rule_id)"""
 
 
+# The same rules over faulty copies of the tables.
+DIRTY = """,
+dirty_cust AS (SELECT * FROM cust UNION ALL SELECT * FROM cust WHERE client_id % 10 = 0),
+dirty_fact AS (
+  SELECT * REPLACE (CASE WHEN client_id % 10 = 2 THEN customer_sk + 65536 ELSE customer_sk END AS customer_sk)
+  FROM (SELECT * FROM fact UNION ALL SELECT * FROM fact WHERE client_id % 10 = 1 AND date_key = 200505)),
+dirty_dim AS (
+  SELECT * FROM dim UNION ALL
+  SELECT * REPLACE (customer_sk + 50 AS customer_sk, version_num + 50 AS version_num)
+  FROM dim WHERE client_id % 10 = 3 AND is_current),
+dirty_outcome AS (SELECT * FROM outcome WHERE client_id % 10 <> 4)""" + re.sub(
+    r"\b(FROM|JOIN) (cust|fact|dim|outcome)\b", r"\1 dirty_\2", RESULTS
+).replace("= fact.", "= dirty_fact.")
+
+
 def _constraint_audit() -> str:
     frames = {
         "credit_clients": "(SELECT client_id, '' AS load_batch_id, '' AS loaded_at FROM cust)",
@@ -389,6 +407,7 @@ pairs AS (
 SELECT s.o_custkey, count(*) AS intervals, coalesce(max(pairs.n), 0) AS overlapping_pairs
 FROM s LEFT JOIN pairs ON pairs.o_custkey = s.o_custkey GROUP BY 1""",
     "quality_report": f"WITH {STAR}{RESULTS} SELECT * FROM report",
+    "quality_report_dirty": f"WITH {STAR}{DIRTY} SELECT * FROM report",
     "quality_results": f"""WITH {STAR}{RESULTS}
 SELECT load_batch_id, rule_code, severity, verdict, rows_checked, rows_failed FROM report""",
     "quality_gate_counts": f"""WITH {STAR}{RESULTS}

@@ -13,6 +13,7 @@ from chronomart.functions import classify
 from chronomart.functions.values import month_date, new_batch_id
 from chronomart.operators import audit, facts, joins, quality, reshape, scd2
 from chronomart.plans import marts, star, warehouse
+from chronomart.schemas import VERSION_SPAN
 from chronomart.sources import files, seeds, staging
 from chronomart.sources.storage import shared_folder
 
@@ -335,6 +336,35 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir)
 
 
+@registered
+def quality_report_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules on faulty copies of the tables, in which every ERROR rule fails.
+
+    Clients staged twice, statements doubled, statements with the key of the next
+    client, a second open version, outcomes left out.
+    """
+    wh = star.warehouse(spark, sf_dir)
+    tables = wh.tables()
+
+    def some(df: DataFrame, digit: int) -> DataFrame:
+        return df.filter(F.col("client_id") % 10 == digit)
+
+    stg, fact, dim = (tables[n] for n in ("credit_clients", "fact_monthly_statement", "dim_customer"))
+    twice = some(fact, 1).filter(F.col("date_key") == CALENDAR.observed[1].key)
+    foreign = F.when(F.col("client_id") % 10 == 2, F.col("customer_sk") + VERSION_SPAN).otherwise(F.col("customer_sk"))
+    second = some(dim, 3).filter("is_current").withColumns(
+        {"customer_sk": F.col("customer_sk") + 50, "version_num": F.col("version_num") + 50}
+    )
+    dirty = tables | {
+        "credit_clients": stg.unionByName(some(stg, 0)),
+        "fact_monthly_statement": fact.unionByName(twice).withColumn("customer_sk", foreign),
+        "dim_customer": dim.unionByName(second),
+        "fact_default_outcome": tables["fact_default_outcome"].filter(F.col("client_id") % 10 != 4),
+    }
+    results = quality.run(dirty, staging.HISTORY_BATCH, star.source_rows(spark, sf_dir), CALENDAR)
+    return quality.report(results)
+
+
 @registered
 def quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The extract of the stored results."""

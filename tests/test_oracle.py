@@ -29,6 +29,11 @@ def test_query_equals_sql(spark, con, name):
     assert difference(REGISTRY[name](spark, SMALL), con, ORACLE[name]) is None
 
 
+def test_every_error_rule_can_fail(spark):
+    rows = REGISTRY["quality_report_dirty"](spark, SMALL).filter("severity = 'ERROR'").collect()
+    assert len(rows) == 8 and {r.verdict for r in rows} == {"FAIL"}
+
+
 def test_entry_without_the_text_queries():
     code = (
         "import sys; sys.modules['corpus_pipeline'] = None\n"
