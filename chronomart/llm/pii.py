@@ -41,7 +41,7 @@ PATTERNS = {
     "date": rf"(?<!\d){_YEAR}-{_MONTH}-{_DAY}(?!\d)|(?<!\d){_DAY}(?<dot>[./]){_MONTH}\k<dot>{_YEAR}(?!\d)",
     "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])",
     "phone": r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)"
-    r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
+    r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}(?<mark>[.-])\d{3}\k<mark>\d{4}(?![\d-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}+|(?: \d{4}){3,7}+(?: \d{1,3})?)(?![A-Za-z0-9])",
     "card": r"(?<![\d-])(?:\d{13,19}|\d{4}(?<four>[ -])\d{4}\k<four>\d{4}\k<four>\d{1,7}|\d{4}(?<six>[ -])\d{6}\k<six>\d{5})(?!\d)",
 }

@@ -29,7 +29,7 @@ VALUES = {
     "ip": ["152.143.123.131", "8.8.8.8"],
     "date": ["1999-02-28", "29.02.2000", "31/12/2024"],
     "ssn": ["123-45-6789", "899-99-9999"],
-    "phone": ["+1 (499) 555-6503", "(212) 555-0100", "212-555-0100"],
+    "phone": ["+1 (499) 555-6503", "(212) 555-0100", "212-555-0100", "212.555.0100", "+49 30 1234567", "+1-202-555-0143"],
     "iban": ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"],
     "card": ["4111111111111111", "4111 1111 1111 1111", "378282246310005", "3782-822463-10005"],
 }
