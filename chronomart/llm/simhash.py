@@ -249,13 +249,16 @@ def near_duplicates(df: DataFrame, bits: int = MOST_BITS, doc_id: str = "doc_id"
 
 def keep_one(df: DataFrame, bits: int = MOST_BITS) -> DataFrame:
     """One row of each component: that of its smallest doc_id, once if the row is repeated."""
-    (place,) = fresh(df, "place")
+    key, place = fresh(df, "key", "place")
+    # Null ids meet as text; join and window share the key, so texts are exchanged once.
+    known = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     groups = near_duplicates(df, bits)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept")).distinct()
-    once = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.xxhash64(*df.columns))
+    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(known.alias(key)).distinct()
+    once = Window.partitionBy(key, F.xxhash64("text")).orderBy(F.xxhash64(*df.columns))
     return (
-        df.join(kept, F.col("doc_id").eqNullSafe(F.col("kept")), "left_semi")
+        df.withColumn(key, known)
+        .join(kept, key, "left_semi")
         .withColumn(place, F.row_number().over(once))
         .filter(F.col(place) == 1)
-        .drop(place)
+        .drop(key, place)
     )
