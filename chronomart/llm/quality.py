@@ -167,5 +167,8 @@ def train(docs: DataFrame, labels: DataFrame, learnt: Column, label: str = "qual
 
 
 def scored(docs: DataFrame, ensemble: Ensemble, kept: list[str]) -> DataFrame:
-    """Columns ``kept`` of every document, and its score."""
-    return with_statistics(docs, kept).select(*kept, ensemble.score().alias("score"))
+    """Columns ``kept`` of every document (whatever their names), and its score; null texts count as empty."""
+    inner = [f"kept_{i}" for i in range(len(kept))]  # no statistic has such a name
+    rows = docs.select(*[F.col(c).alias(i) for c, i in zip(kept, inner, strict=True)], "text")
+    rows = with_statistics(rows, inner)
+    return rows.select(*[F.col(i).alias(c) for c, i in zip(kept, inner, strict=True)], ensemble.score().alias("score"))

@@ -57,6 +57,11 @@ def test_statistics_of_any_text(spark):
         assert len(values) == len(NAMES) and all(np.isfinite(values))
     docs = documents(spark, NASTY).withColumn("words", F.lit("clash"))
     assert with_statistics(docs, ["doc_id"]).count() == len(NASTY)
+    rows = quality.scored(docs, quality.Ensemble([frozenset({(0, True, 3.0)})], [1.0], 0.0), ["words", "text", "doc_id"])
+    assert rows.columns == ["words", "text", "doc_id", "score"]
+    for r in rows.collect():
+        assert r["words"] == "clash" and r["text"] == NASTY[r["doc_id"]]
+        assert (r["score"] > 0.5) == (len((r["text"] or "").encode().split()) > 3)
 
 
 def test_rules_hold_as_columns_as_they_do_in_training(spark):
