@@ -58,13 +58,6 @@ def check_unique(df: DataFrame, table: str, keys: list[str], kind: str = "UNIQUE
     return _rows(totals, table, [(kind, ",".join(keys), "n", "surplus")])
 
 
-def check_rows(df: DataFrame, table: str, conditions: list[tuple[str, str, str]]) -> DataFrame:
-    """Row conditions ``(kind, constrained, violated as SQL)``, all counted in one pass."""
-    violated = [f"count_if({bad}) AS bad_{i}" for i, (_, _, bad) in enumerate(conditions)]
-    rows = [(kind, name, "n", f"bad_{i}") for i, (kind, name, _) in enumerate(conditions)]
-    return _rows(df.selectExpr("count(*) AS n", *violated), table, rows)
-
-
 def check_reference(child: DataFrame, table: str, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Rows whose non-null ``column`` names no version of their own client in ``parent``."""
     totals = joins.orphan_totals(
@@ -73,33 +66,26 @@ def check_reference(child: DataFrame, table: str, column: str, parent: DataFrame
     return _rows(totals, table, [("FOREIGN KEY", column, "rows_checked", "rows_failed")])
 
 
-def check_code_references(
-    child: DataFrame, table: str, parents: dict[str, tuple[DataFrame, str]]
-) -> DataFrame:
-    """References to constant dimensions, all in one pass.
-
-    Rows are counted per combination of the key columns first, which leaves at
-    most the product of the dimensions' sizes to look up.
-    """
-    combos = child.groupBy(*parents).agg(F.count("*").alias("n"))
-    totals, rows = [], []
-    for column, (parent, key) in parents.items():
-        known = parent.select(F.col(key).alias("_key"), F.lit(True).alias(f"known_{column}"))
-        combos = combos.join(known, F.col(column) == F.col("_key"), "left").drop("_key")
-        totals += [
-            f"sum(n) FILTER (WHERE {column} IS NOT NULL) AS n_{column}",
-            f"sum(n) FILTER (WHERE {column} IS NOT NULL AND known_{column} IS NULL) AS bad_{column}",
-        ]
-        rows.append(("FOREIGN KEY", column, f"n_{column}", f"bad_{column}"))
-    return _rows(combos.selectExpr(*totals), table, rows)
+def _surplus(rest: list[str], condition: str) -> str:
+    """SQL for the surplus rows of one owner: rows meeting ``condition`` beyond one per value of ``rest``."""
+    rows = f"count_if({condition})"
+    if not rest:
+        return f"greatest({rows} - 1, 0)"
+    values = ", ".join(f"'{c}', {c}" for c in rest)
+    return f"{rows} - size(collect_set(IF({condition}, named_struct({values}), NULL)))"
 
 
 def audit_table(spec: Table, tables: dict[str, DataFrame], covered: Covered = frozenset()) -> DataFrame:
     """Declared constraints of one table that are not ``covered`` elsewhere.
 
+    One pass counts everything but references to another stored table: row
+    conditions and codes without an entry row by row, and duplicate keys per
+    owner, the first column of all keys.  A table bucketed by its owner is not
+    exchanged.  The distinct rest of the keys of one owner (its versions or
+    months) is held in a set.
+
     A generated primary key is checked against its formula row by row; it is
-    then unique exactly if the columns it is made of are, which needs no
-    exchange on a table bucketed by client.
+    then unique exactly if the columns it is made of are.
     """
     df = tables[spec.name]
     parts: list[DataFrame] = []
@@ -107,41 +93,58 @@ def audit_table(spec: Table, tables: dict[str, DataFrame], covered: Covered = fr
     def wanted(kind: str, constrained: str) -> bool:
         return (spec.name, kind, constrained) not in covered
 
-    conditions = [("NOT NULL", c, f"{c} IS NULL") for c in spec.not_null]
-    conditions += [
-        ("CHECK", c, f"{c} NOT IN ({', '.join(repr(v) for v in allowed)})")
-        for c, allowed in spec.checks.items()
-    ]
+    # Per owner: name -> SQL.  Results: (kind, constrained, checked, failed) over their sums.
+    counts = {"n": "count(*)"}
+    results: list[tuple[str, str, str, str]] = []
+
+    def count(kind: str, constrained: str, failed: str, checked: str = "n") -> None:
+        counts[f"bad_{len(results)}"] = failed
+        results.append((kind, constrained, checked, f"bad_{len(results)}"))
+
+    for c in spec.not_null:
+        count("NOT NULL", c, f"count_if({c} IS NULL)")
+    for c, allowed in spec.checks.items():
+        count("CHECK", c, f"count_if({c} NOT IN ({', '.join(repr(v) for v in allowed)}))")
     if spec.key_formula:
         (pk,) = spec.primary_key
-        conditions.append(("KEY FORMULA", pk, f"{pk} <> {spec.key_formula}"))
-    parts.append(check_rows(df, spec.name, conditions))
+        count("KEY FORMULA", pk, f"count_if({pk} <> {spec.key_formula})")
 
-    unique = list(spec.unique)
     primary = spec.key_from or spec.primary_key
-    if primary and primary not in unique:
-        parts.append(check_unique(df, spec.name, list(primary), "PRIMARY KEY"))
-    parts += [
-        check_unique(df, spec.name, list(keys)) for keys in unique if wanted("UNIQUE", ",".join(keys))
-    ]
-    parts += [
-        check_unique(joins.current_versions(df), spec.name, list(keys), "UNIQUE CURRENT")
-        for keys in spec.current_unique
-        if wanted("UNIQUE CURRENT", ",".join(keys))
+    keys = [("PRIMARY KEY", primary, "true")] if primary and primary not in spec.unique else []
+    keys += [("UNIQUE", k, "true") for k in spec.unique if wanted("UNIQUE", ",".join(k))]
+    keys += [
+        ("UNIQUE CURRENT", k, "is_current") for k in spec.current_unique if wanted("UNIQUE CURRENT", ",".join(k))
     ]
+    owner = keys[0][1][0] if keys else None
+    for kind, columns, condition in keys:
+        if owner not in columns:  # only in constant tables
+            parts.append(check_unique(df.filter(condition), spec.name, list(columns), kind))
+            continue
+        name = f"rows_{len(results)}"
+        counts[name] = f"count_if({condition})"
+        count(kind, ",".join(columns), _surplus([c for c in columns if c != owner], condition), name)
 
-    constant: dict[str, tuple[DataFrame, str]] = {}
     for column, reference in spec.foreign_keys.items():
         parent, key = reference.split(".")
         if parent not in tables or not wanted("FOREIGN KEY", column):
             continue
         if parent == "dim_customer":
             parts.append(check_reference(df, spec.name, column, tables[parent], key))
-        else:
-            constant[column] = (tables[parent], key)
-    if constant:
-        parts.append(check_code_references(df, spec.name, constant))
-    return reduce(DataFrame.unionByName, parts)
+            continue
+        # Constant dimensions: a few rows each.
+        known = tables[parent].select(F.col(key).alias("_key"), F.lit(True).alias(f"known_{column}"))
+        df = df.join(F.broadcast(known), F.col(column) == F.col("_key"), "left").drop("_key")
+        counts[f"rows_{len(results)}"] = f"count({column})"
+        count(
+            "FOREIGN KEY", column, f"count_if({column} IS NOT NULL AND known_{column} IS NULL)",
+            f"rows_{len(results)}",
+        )
+
+    per_owner = df.groupBy(*([owner] if owner else [])).agg(
+        *[F.expr(sql).alias(name) for name, sql in counts.items()]
+    )
+    totals = per_owner.selectExpr(*[f"sum({name}) AS {name}" for name in counts])
+    return reduce(DataFrame.unionByName, [_rows(totals, spec.name, results), *parts])
 
 
 def audit(

@@ -203,3 +203,16 @@ def test_check_constraint(spark):
     )
     rows = audit.audit({"quality_rule": rules}).filter("rows_failed > 0").collect()
     assert [(r.kind, r.constrained, r.rows_failed) for r in rows] == [("CHECK", "severity", 1)]
+
+
+def test_a_table_is_scanned_once_besides_its_references(spark, tmp_path):
+    tables = star(spark, CLEAN)
+    tables["dim_customer"] = scd2.stamped(tables["dim_customer"])
+    for name in ("credit_clients", "dim_customer", "fact_monthly_statement", "fact_default_outcome"):
+        tables[name].write.parquet(f"{tmp_path}/{name}")
+        tables[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    names = ["credit_clients", "dim_customer", "fact_monthly_statement", "fact_default_outcome"]
+    plan = audit.audit(tables, names)._jdf.queryExecution().executedPlan().toString()
+    # two facts refer to the dimension: each is read once more, and the dimension with each
+    assert plan.count("FileScan") == 4 + 2 * 2
+    assert audit.audit(tables, names).filter("rows_failed > 0").count() == 0
