@@ -91,7 +91,9 @@ def test_undeclared_column_is_refused(spark, tmp_path):
         files.read_snapshot_csv(spark, str(tmp_path))
 
 
-def test_rows_numbered_in_given_order(spark):
+@pytest.mark.parametrize("broadcast", [0, files.BROADCAST_ROWS])
+def test_rows_numbered_in_given_order(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(files, "BROADCAST_ROWS", broadcast)
     frame = spark.range(0, 1000, 1, 7).select((F.col("id") * 7919 % 1000).alias("v"))
     got = files.number_rows(frame, "n", [F.desc("v")]).collect()
     assert sorted((r.n, r.v) for r in got) == [(i + 1, 999 - i) for i in range(1000)]

@@ -234,6 +234,14 @@ def test_known_answers(loaded):
     assert headed.columns == ["前月等級", "本月等級", "客戶月數", "佔前月百分比"]
 
 
+def test_reports_come_in_their_order(loaded):
+    fact, dim, outcome = (loaded.table(n) for n in ("fact_monthly_statement", "dim_customer", "fact_default_outcome"))
+    rates = [float(r.default_pct) for r in marts.default_rate_by_tier(outcome, dim, 200509).collect()]
+    assert rates == sorted(rates, reverse=True) and len(set(rates)) == 3
+    months = [r.date_key for r in marts.delinquency_trend(fact).collect()]
+    assert months == sorted(months) and len(months) == 6
+
+
 def test_timeline_of_one_client(loaded):
     fact, dim = loaded.table("fact_monthly_statement"), loaded.table("dim_customer")
     rows = marts.version_timeline(fact, dim, client_id=1).orderBy("date_key").collect()
