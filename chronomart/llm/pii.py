@@ -34,7 +34,7 @@ _YEAR, _MONTH, _DAY = r"(?:19|20)\d\d", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d
 _SECRET = r"(?i:token|password|passwd|secret|api_?key)\s{0,4}[=:]\s{0,4}[\"']?"
 #: Candidates in the order in which they are tried at a place of the text.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,32}+[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "secret": rf"(?<![A-Za-z]){_SECRET}[0-9A-Za-z+/_-]{{8,}}+",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",

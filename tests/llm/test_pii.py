@@ -124,6 +124,11 @@ def test_texts_without_personal_data_are_untouched(spark):
     assert texts == NASTY and spans == [[] for _ in NASTY]
 
 
+def test_long_runs_take_linear_time(spark):
+    texts = ["a@" + "b." * 20_000, "x" * 200_000, "1 " * 100_000, "1." * 100_000, "+" * 50_000, "A" * 100_000, "é" * 50_000 + "@"]
+    assert replace(spark, texts)[0] == texts
+
+
 def test_many_matches_clashing_columns_and_empty_tables(spark):
     docs = documents(spark, ["1.2.3.4 " * 300 + "x" * 5000 + "@" + "9" * 40]).withColumns({"parts": F.lit("p"), "made": F.lit("m")})
     row = pii.pseudonymize(docs, KEY).first()
