@@ -1,9 +1,13 @@
+import tiktoken
 from pyspark.sql import functions as F
+from test_mixing import wanted
+from test_simhash import exact as brute_fingerprint
+from test_simhash import groups as brute_groups
 from texts import documents
 
 import corpus_pipeline
-from chronomart.llm import mixing, pii, simhash, stages, toxicity
-from chronomart.llm.queries import ORACLE, REGISTRY
+from chronomart.llm import mixing, pii, stages, toxicity
+from chronomart.llm.queries import ORACLE, REGISTRY, vocabulary
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -23,18 +27,30 @@ def test_every_stage_works_on_what_the_one_before_kept(spark):
     model = toxicity.train(docs, spark.read.parquet(f"{FOLDER}/labels.parquet"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2)
     clean = {r["doc_id"] for r in toxicity.scored(docs, model).filter("score < 0.3").collect()}
     kept = docs.filter(F.col("doc_id").isin(sorted(clean)))
-    groups = {r["component_id"] for r in simhash.near_duplicates(kept).collect()}
+    clean_ids = sorted(clean)
+    roots = brute_groups([brute_fingerprint(texts[i]["text"]) for i in clean_ids])
+    groups = {clean_ids[r] for r in roots}
     alike = {r["doc_id"]: r["text"] for r in pii.pseudonymize(kept, stages.PSEUDONYM_KEY).collect()}
     single = kept.filter(F.col("doc_id").isin(sorted(groups)))
     single = single.select("doc_id", "source").withColumn("text", F.col("doc_id").cast("string"))
     words = spark.createDataFrame([(i, len(t.split())) for i, t in alike.items()], "doc_id long, n long")
     copies = {r["doc_id"]: r["copies"] for r in mixing.mix(single.join(words, "doc_id"), F.col("n")).collect()}
+    ranks = {p: i for i, p in enumerate(vocabulary().pieces)}
+    library = tiktoken.Encoding("exact", pat_str=vocabulary().pattern, mergeable_ranks=ranks, special_tokens={})
     found: dict = {}
     for r in rows.collect():
         found[r["doc_id"]] = found.get(r["doc_id"], 0) + 1
+        assert r["token_ids"] == library.encode_ordinary(r["text"])
         assert r["text"] == alike[r["doc_id"]]
         assert (r["lang"], r["source"], r["n_chars"]) == (texts[r["doc_id"]]["lang"], texts[r["doc_id"]]["source"], len(r["text"]))
     assert found == {i: n for i, n in copies.items() if n}
+    sizes, taken = {}, {}
+    for i in groups:
+        source, n = texts[i]["source"], len(alike[i].split())
+        sizes[source] = sizes.get(source, 0) + n
+        taken[source] = taken.get(source, 0) + n * found.get(i, 0)
+    for source, target in wanted(sizes).items():
+        assert abs(taken[source] - target) <= max(len(alike[i].split()) for i in groups if texts[i]["source"] == source)
 
 
 def test_stages_keep_other_columns_and_take_empty_tables(spark):
