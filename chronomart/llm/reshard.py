@@ -152,14 +152,15 @@ def reshard(df: DataFrame, old: Column, size: Column, shards: int, doc_id: str =
     """``df`` with size, old_shard, shard and slot: new shards of nearly equal bytes.
 
     ``old`` is a shard number from 0; numbers of ``shards`` and more have no place
-    to stay in.  ``size`` counts at least one byte per row.  Slots number a
+    to stay in, and null becomes ``shards``.  ``size`` counts at least one byte per row.  Slots number a
     shard's rows from 0 without gaps.  Repeated rows are rows of their own.  An
     empty table stays empty.  Columns of ``df`` with those names are replaced.
     The plan is made from a stored table of all columns of ``df``: pass the ones
     that identify a row.
     """
     own = ["size", "old_shard", "shard", "slot"]
-    rows = df.withColumns({"size": size.cast("long"), "old_shard": old.cast("int")}).drop("shard", "slot")
+    place_of = F.coalesce(old.cast("int"), F.lit(shards))
+    rows = df.withColumns({"size": size.cast("long"), "old_shard": place_of}).drop("shard", "slot")
     names = [c for c in rows.columns if c not in own]
     block, place, start, nth, seg, low, high = fresh(rows, "block", "place", "start", "nth", "seg", "low", "high")
     rows = stored(rows.withColumn(place, F.xxhash64(F.col(doc_id), *names, "size")))

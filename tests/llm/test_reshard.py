@@ -84,6 +84,8 @@ def test_repeated_rows_nulls_and_empty_tables(spark):
     found = plan(docs, 4).collect()
     assert len(found) == 80 and found[0]["place"] == "p" and check(found, 4) == [400] * 4
     assert plan(rows.limit(0), 4).count() == 0
+    homeless = plan(rows.withColumn("was", F.lit(None).cast("int")), 4).collect()
+    assert check(homeless, 4) == [400] * 4 and {r["old_shard"] for r in homeless} == {4}
     assert check(plan(rows.limit(1), 4).collect(), 4) == [20, 0, 0, 0]
 
 
