@@ -4,7 +4,9 @@ Old shards hold blocks of rows in a fixed order.  From the bytes of the old
 shards and the room in the new ones a flow network is solved on the driver (a
 node per shard): bytes that stay cost nothing, bytes that move cost one each.
 Each old shard's row order is then cut into what stays and what goes where, and
-``rewrite`` writes only the shards that lose or gain rows.
+``rewrite`` writes only the shards that lose or gain rows.  ``lay_out`` writes a
+first layout, whose rows get an identity that they keep in all later ones, and
+``read`` reads the files of a layout.
 
 Rows so large that a cut beside them would leave shards uneven (more than a
 256th of a shard, so at most 256 per shard) are placed one by one first: they
@@ -23,6 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chronomart.llm.common import fresh, stored
 from chronomart.sources.storage import shared_folder
@@ -148,7 +151,9 @@ def place_large(large: list[tuple[int, int]], shards: int) -> tuple[list[int], l
     return places, held
 
 
-def reshard(df: DataFrame, old: Column, size: Column, shards: int, doc_id: str = "doc_id") -> DataFrame:
+def reshard(
+    df: DataFrame, old: Column, size: Column, shards: int, doc_id: str = "doc_id", row: str | None = None
+) -> DataFrame:
     """``df`` with size, old_shard, shard and slot: new shards of nearly equal bytes.
 
     ``old`` is a shard number from 0; numbers of ``shards`` and more have no place
@@ -156,20 +161,22 @@ def reshard(df: DataFrame, old: Column, size: Column, shards: int, doc_id: str =
     shard's rows from 0 without gaps.  Repeated rows are rows of their own.  An
     empty table stays empty.  Columns of ``df`` with those names are replaced.
     The plan is made from a stored table of all columns of ``df``: pass the ones
-    that identify a row.
+    that identify a row.  ``row`` names a column that tells any two rows apart: it
+    is carried, but only orders rows that are equal otherwise.
     """
     own = ["size", "old_shard", "shard", "slot"]
     place_of = F.coalesce(old.cast("int"), F.lit(shards))
     rows = df.withColumns({"size": size.cast("long"), "old_shard": place_of}).drop("shard", "slot")
     names = [c for c in rows.columns if c not in own]
     block, place, start, nth, seg, low, high = fresh(rows, "block", "place", "start", "nth", "seg", "low", "high")
-    rows = stored(rows.withColumn(place, F.xxhash64(F.col(doc_id), *names, "size")))
+    rows = stored(rows.withColumn(place, F.xxhash64(F.col(doc_id), *[c for c in names if c != row], "size")))
     totals = rows.groupBy("old_shard").agg(F.sum("size").alias("bytes")).collect()
     if not totals:
         return rows.drop(place).withColumns({"shard": F.lit(None).cast("int"), "slot": F.lit(None).cast("long")})
     most = sum(r["bytes"] for r in totals) // (shards * LARGE_PART)
     # Large rows: at most shards * LARGE_PART of them, by their size.
-    order = [F.desc("size"), F.col(doc_id), F.col(place)]
+    last = [F.col(row)] if row else []
+    order = [F.desc("size"), F.col(doc_id), F.col(place), *last]
     large = rows.filter(F.col("size") > most).withColumn(nth, F.row_number().over(Window.orderBy(*order)).cast("long"))
     singles = [(r["old_shard"], r["size"]) for r in large.orderBy(nth).select("old_shard", "size").collect()]
     places, held = place_large(singles, shards)
@@ -204,7 +211,7 @@ def reshard(df: DataFrame, old: Column, size: Column, shards: int, doc_id: str =
         F.coalesce(F.sum(start).over(earlier), F.lit(0)).alias(start),
         F.coalesce(F.sum(nth).over(earlier), F.lit(0)).alias(nth),
     )
-    inside = Window.partitionBy("old_shard", block).orderBy(place, F.col(doc_id), "size")
+    inside = Window.partitionBy("old_shard", block).orderBy(place, F.col(doc_id), "size", *last)
     b_start, b_nth = fresh(small, "b_start", "b_nth")
     offsets = offsets.withColumnsRenamed({start: b_start, nth: b_nth})
     before = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
@@ -232,20 +239,70 @@ def reshard(df: DataFrame, old: Column, size: Column, shards: int, doc_id: str =
     return sent.union(single).select(*names, "size", "old_shard", "shard", "slot")
 
 
-def rewrite(spark: SparkSession, docs: DataFrame, plan: DataFrame, folders: dict[int, str], doc_id: str = "doc_id") -> dict[int, str]:
+def lay_out(docs: DataFrame, old: Column, row: str) -> str:
+    """Write ``docs`` as a layout of shards ``old``; returns its folder, which has a folder shard=j for each shard.
+
+    The files have a new column ``row``, a number that no two rows share.  ``old``
+    must not be null.  Columns shard and slot of ``docs`` are left out.
+    """
+    to = f"{shared_folder(docs.sparkSession)}/shards-{uuid.uuid4().hex}"
+    rows = docs.withColumns({"old_shard": old.cast("int"), row: F.monotonically_increasing_id()}).drop("shard", "slot")
+    rows.withColumnRenamed("old_shard", "shard").write.partitionBy("shard").parquet(to)
+    return to
+
+
+def read(spark: SparkSession, folders: dict[int, str], schema: T.StructType) -> DataFrame:
+    """Rows with their shard from the files of ``folders`` (shard -> folder shard=j); columns that files lack are null."""
+    found = spark.createDataFrame([], schema)
+    for base in sorted({f.rsplit("/", 1)[0] for f in folders.values()}):
+        own = [f for _, f in sorted(folders.items()) if f.rsplit("/", 1)[0] == base]
+        found = found.unionByName(spark.read.schema(schema).option("basePath", base).parquet(*own))
+    return found
+
+
+def rewrite(
+    spark: SparkSession,
+    docs: DataFrame,
+    plan: DataFrame,
+    folders: dict[int, str],
+    doc_id: str = "doc_id",
+    row: str | None = None,
+) -> dict[int, str]:
     """Write the shards that ``plan`` changes; returns the folder of every new shard.
 
     ``docs`` has the old table's rows with their ``old_shard``, ``plan`` a row for
-    each document (unique by ``doc_id``), ``folders`` the old shards' folders.
-    Shards that neither lose nor gain a row keep theirs.
+    each of them, ``folders`` the old shards' folders.  Shards that neither lose
+    nor gain a row keep theirs.  Rows are matched by ``row``, a column of both
+    that is never null and that no two rows share (refused otherwise).  Without
+    it they are matched one by one in each ``doc_id``, nulls too, so that each is
+    written once; rows that share a doc_id and an old shard may then take each
+    other's places, and such rows meet in one task.
     """
+    plan = stored(plan)
     moved = plan.filter("shard <> old_shard")
     ends = moved.select(F.explode(F.array("shard", "old_shard")).alias("shard")).distinct()
     changed = {r["shard"] for r in ends.collect()}  # as many as there are shards
     new = {r["shard"] for r in plan.select("shard").distinct().collect()}
     to = f"{shared_folder(spark)}/shards-{uuid.uuid4().hex}"
-    affected = docs.filter(F.col("old_shard").isin(sorted(changed))).drop("shard", "slot")
-    target = plan.filter(F.col("shard").isin(sorted(changed))).select(doc_id, "shard", "slot")
-    rows = affected.join(target, doc_id)
+    # Rows without an old shard have nowhere to stay in.
+    affected = docs.filter(F.col("old_shard").isin(sorted(changed)) | F.col("old_shard").isNull()).drop("shard", "slot")
+    target = plan.filter(F.col("shard").isin(sorted(changed)))
+    if row:
+        many = plan.groupBy(row).count().filter((F.col("count") > 1) | F.col(row).isNull())
+        if many.limit(1).count():
+            raise ValueError(f"{row} is null or repeated in the plan")
+        rows = affected.join(target.select(row, "shard", "slot"), row)
+    else:
+        t_id, t_nth, nth = fresh(affected, "t_id", "t_nth", "nth")
+        shard = F.col("old_shard").asc_nulls_last()
+        target = target.select(
+            F.col(doc_id).alias(t_id),
+            F.row_number().over(Window.partitionBy(doc_id).orderBy(shard, "shard", "slot")).alias(t_nth),
+            "shard",
+            "slot",
+        )
+        rows = affected.withColumn(nth, F.row_number().over(Window.partitionBy(doc_id).orderBy(shard)))
+        same = F.col(doc_id).eqNullSafe(F.col(t_id)) & (F.col(nth) == F.col(t_nth))
+        rows = rows.join(target, same).drop(t_id, t_nth, nth)
     rows.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(to)
     return {j: f"{to}/shard={j}" if j in changed else folders[j] for j in sorted(new)}

@@ -117,3 +117,31 @@ def test_query(spark, tmp_path):
         raw = (texts[r["doc_id"]] or "").encode()
         assert (r["size"], r["text_crc32"]) == (len(raw) + 16, zlib.crc32(raw))
         assert r["law"] == "bytes" and r["grown_shard"] is None
+
+
+def held_rows(spark, new):
+    return [(j, r["slot"], r["doc_id"], r["text"]) for j, f in new.items() for r in spark.read.parquet(f).collect()]
+
+
+def test_null_and_repeated_ids_are_rewritten_once(spark):
+    rows = [(None if i % 3 == 0 else i % 5, f"text {i} " * (1 + i % 9), 0 if i < 60 else 1) for i in range(120)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, old_shard int, at long")
+    size = F.octet_length("text") + 16
+    planned = reshard.reshard(docs.select("doc_id", "old_shard", size.alias("b")), F.col("old_shard"), F.col("b"), 4)
+    new = reshard.rewrite(spark, docs, planned, {i: f"old/{i}" for i in range(2)})
+    found = held_rows(spark, new)
+    assert sorted(t for *_, t in found) == sorted(t for _, t, _ in rows)
+    assert sorted(map(str, (x[:3] for x in found))) == sorted(str((r["shard"], r["slot"], r["doc_id"])) for r in planned.collect())
+    # With an identity every row lies where the plan has it.
+    planned = reshard.reshard(docs.select("doc_id", "at", "old_shard", size.alias("b")), F.col("old_shard"), F.col("b"), 4, row="at")
+    found = held_rows(spark, reshard.rewrite(spark, docs, planned, {i: f"old/{i}" for i in range(2)}, row="at"))
+    places = [(r["shard"], r["slot"], r["doc_id"], rows[r["at"]][1]) for r in planned.collect()]
+    assert sorted(map(str, found)) == sorted(map(str, places))
+    with pytest.raises(ValueError):
+        reshard.rewrite(spark, docs, planned.withColumn("at", F.lit(1)), {}, row="at")
+
+
+def test_rows_without_an_old_shard_are_written(spark):
+    docs = documents(spark, [f"text {i}" for i in range(40)]).withColumn("old_shard", F.lit(None).cast("int"))
+    planned = reshard.reshard(docs.select("doc_id", "old_shard"), F.col("old_shard"), F.lit(20), 4)
+    assert len(held_rows(spark, reshard.rewrite(spark, docs, planned, {}))) == 40
