@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronomart.llm import bpe, digest, labelled, mixing, pii, quality, reshard, simhash, tokencount, topk, toxicity
-from chronomart.llm.common import table, text_of, word_count
+from chronomart.llm.common import fresh, stored, table, text_of, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -135,14 +135,30 @@ ROW_BYTES = 16
 
 @registered
 def op9_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.octet_length(text_of()).cast("long").alias("bytes"),
-        F.crc32(text_of().cast("binary")).alias("text_crc32"),
-        F.pmod(F.crc32(text_of("source").cast("binary")), F.lit(SHARDS)).cast("int").alias("layout"),
-    )
-    plan = reshard.reshard(docs, F.col("layout"), F.col("bytes") + ROW_BYTES, SHARDS)
-    return plan.select(
+    """Rows as the files of the new layout have them: the old layout is written, planned anew, and its changed shards rewritten."""
+    docs = table(spark, sf_dir, "documents")
+    (row,) = fresh(docs, "row_id")
+    layout = F.pmod(F.crc32(text_of("source").cast("binary")), F.lit(SHARDS)).cast("int")
+    folder = reshard.lay_out(docs, layout, row)
+    schema = docs.drop("shard", "slot", "old_shard", row).schema.add(row, "long").add("shard", "integer")
+    old = spark.read.schema(schema).parquet(folder).withColumnRenamed("shard", "old_shard")
+    size = F.octet_length(text_of()).cast("long") + ROW_BYTES
+    sizes = old.select("doc_id", row, "old_shard", size.alias("size"))
+    plan = stored(reshard.reshard(sizes, F.col("old_shard"), F.col("size"), SHARDS, row=row))
+    folders = {j: f"{folder}/shard={j}" for j in range(SHARDS)}
+    new = reshard.rewrite(spark, old, plan, folders, row=row)
+    files = reshard.read(spark, new, schema.add("slot", "long").add("old_shard", "integer"))
+    # Shards that kept their folder have files without slots: the plan numbers their rows.
+    found = files.select(
+        "doc_id", row, size.alias("size"), F.crc32(text_of().cast("binary")).alias("text_crc32"),
+        "shard", "slot", F.coalesce("old_shard", "shard").alias("old_shard"),
+    )
+    kept = [j for j, f in new.items() if f == folders[j]]
+    if kept:
+        own = F.col("shard").isin(kept)
+        numbered = found.filter(own).drop("slot").join(plan.filter(own).select(row, "slot"), row)
+        found = found.filter(~own).unionByName(numbered)
+    return found.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "old_shard",
     )

@@ -145,3 +145,29 @@ def test_rows_without_an_old_shard_are_written(spark):
     docs = documents(spark, [f"text {i}" for i in range(40)]).withColumn("old_shard", F.lit(None).cast("int"))
     planned = reshard.reshard(docs.select("doc_id", "old_shard"), F.col("old_shard"), F.lit(20), 4)
     assert len(held_rows(spark, reshard.rewrite(spark, docs, planned, {}))) == 40
+
+
+def test_query_reads_the_files_of_the_new_layout(spark, tmp_path, monkeypatch):
+    docs = documents(spark, NASTY * 30, lambda i: f"s{i % 7}").withColumn("doc_id", F.expr("nullif(doc_id % 50, 0)"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    wrote, rewrite = [], reshard.rewrite
+    monkeypatch.setattr(reshard, "rewrite", lambda *a, **b: wrote.append(rewrite(*a, **b)) or wrote[-1])
+    found = REGISTRY["op9_reshard"](spark, str(tmp_path)).collect()
+    check(found, 40)
+    placed = [(j, r["slot"], r["doc_id"], zlib.crc32((r["text"] or "").encode())) for j, f in wrote[0].items() for r in spark.read.parquet(f).collect()]
+    assert sorted(map(str, placed)) == sorted(str((r["shard"], r["slot"], r["doc_id"], r["text_crc32"])) for r in found)
+    raw = docs.select("doc_id", "text").collect()
+    want = [(r["doc_id"], zlib.crc32((r["text"] or "").encode())) for r in raw]
+    assert sorted(map(str, want)) == sorted(str((r["doc_id"], r["text_crc32"])) for r in found)
+
+
+def test_query_keeps_shards_without_a_change_and_empty_tables(spark, tmp_path):
+    named = {zlib.crc32(f"s{i}".encode()) % 40: f"s{i}" for i in range(2000)}
+    docs = documents(spark, ["one"] * 41, lambda i: named[i] if i < 40 else named[5]).coalesce(1)
+    docs.write.parquet(f"{tmp_path}/one/documents.parquet")
+    found = REGISTRY["op9_reshard"](spark, f"{tmp_path}/one").collect()
+    assert len(found) == 41 and sum(r["shard"] != r["old_shard"] for r in found) == 1
+    check(found, 40)
+    assert {(r["size"], r["text_crc32"]) for r in found} == {(19, zlib.crc32(b"one"))}
+    docs.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert REGISTRY["op9_reshard"](spark, f"{tmp_path}/none").count() == 0
