@@ -107,14 +107,15 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ranges(ids: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Upper bounds of ``parts`` ranges of doc_id, and for the first id of each range the range that precedes it.
+    """Upper bounds of ``parts`` ranges of ``at``, and for the first id of each range the range that precedes it.
 
-    The driver holds two numbers per range.
+    ``at`` is the doc_id, or the least one where that is null.  The driver holds
+    two numbers per range.
     """
     cuts = [i / parts for i in range(1, parts)]
     found = ids.agg(F.percentile_approx("doc_id", F.lit(cuts), 10 * parts).alias("at")).first()["at"] if cuts else []
     bounds = np.unique(np.array(found or [], np.int64))
-    firsts = ids.groupBy(part_of(bounds)("doc_id").alias("part")).agg(F.max("doc_id").alias("first")).collect()
+    firsts = ids.groupBy(part_of(bounds)("at").alias("part")).agg(F.max("doc_id").alias("first")).collect()
     order = sorted((r["part"], r["first"]) for r in firsts if r["first"] is not None)
     # The range after part k (its ids are smaller) is the one before it in order; the last is followed by the first.
     first = np.array([f for _, f in order], np.int64)
@@ -122,23 +123,25 @@ def ranges(ids: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return bounds, first, precedes
 
 
+# A batch with a null reaches pandas as float64, which rounds ids: both take numbers without nulls.
+
+
 def part_of(bounds: np.ndarray):  # noqa: ANN201
     @F.pandas_udf("int")
-    def part(doc_id: pd.Series) -> pd.Series:
-        places = np.searchsorted(bounds, doc_id.fillna(-(2**63)).to_numpy().astype(np.int64)).astype(np.int32)
-        return pd.Series(places)
+    def part(at: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, at.to_numpy(np.int64)).astype(np.int32))
 
     return part
 
 
 def parts_of(bounds: np.ndarray, first: np.ndarray, precedes: np.ndarray):  # noqa: ANN201
     @F.pandas_udf("array<int>")
-    def parts(doc_id: pd.Series) -> pd.Series:
-        ids = doc_id.fillna(-(2**63)).to_numpy().astype(np.int64)
+    def parts(at: pd.Series, known: pd.Series) -> pd.Series:
+        ids = at.to_numpy(np.int64)
         own = np.searchsorted(bounds, ids)
-        at = np.minimum(np.searchsorted(first, ids), max(0, len(first) - 1))
-        also = (first[at] == ids) & doc_id.notna().to_numpy()
-        return pd.Series([[o, p] if a else [o] for o, p, a in zip(own.tolist(), precedes[at].tolist(), also, strict=True)])
+        place = np.minimum(np.searchsorted(first, ids), max(0, len(first) - 1))
+        also = (first[place] == ids) & known.to_numpy(bool)
+        return pd.Series([[o, p] if a else [o] for o, p, a in zip(own.tolist(), precedes[place].tolist(), also, strict=True)])
 
     return parts
 
@@ -153,15 +156,17 @@ def compare_neighbours(df: DataFrame, doc_id: str = "doc_id", text: str = "text"
     """
     body: Column = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), body.alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("doc_id").alias("ids")).first()
-    if not size["ids"]:  # nothing to order by: at most rows without an id
+    size = rows.agg(F.sum(F.octet_length("text")).alias("bytes"), F.min("doc_id").alias("least")).first()
+    if size["least"] is None:  # nothing to order by: at most rows without an id
         spread = rows.withColumn("part", F.lit(0)).withColumn("away", F.lit(0))
         spread = spread.union(spread.orderBy("text").limit(1).withColumn("away", F.lit(1)))
         parts = 1
     else:
         parts = int(min(MOST_RANGES, max(1, -(-size["bytes"] // RANGE_BYTES))))
-        bounds, first, precedes = ranges(rows.select("doc_id"), parts)
-        lists = parts_of(bounds, first, precedes)("doc_id")
+        # Null ids come last, so they are in the range of the least id.
+        at = F.coalesce("doc_id", F.lit(size["least"]).cast("long"))
+        bounds, first, precedes = ranges(rows.select("doc_id", at.alias("at")), parts)
+        lists = parts_of(bounds, first, precedes)(at, F.col("doc_id").isNotNull())
         spread = rows.select("doc_id", "text", F.posexplode(lists).alias("away", "part"))
     return (
         spread.select("part", "away", "doc_id", "text")

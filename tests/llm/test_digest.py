@@ -66,3 +66,16 @@ def test_likeness_falls_with_edits():
 def test_equal_texts_have_equal_digests_of_fixed_length():
     assert {len(digest.digest((t or "").encode())) for t in NASTY} == {34}
     assert digest.digest(b"") == bytes(34)
+
+
+@pytest.mark.parametrize("base,step", [(2**53, 1), (2**60, 1), (2**60, 1_000_003), (-(2**62), 3**37 // 1000)])
+def test_large_and_null_ids_in_several_ranges(spark, monkeypatch, base, step):
+    monkeypatch.setattr(digest, "RANGE_BYTES", 3000)
+    texts = [text(i) for i in range(60)]
+    rows = [(base + 2 * i * step + 1, t) for i, t in enumerate(texts)] + [(None, f"z{i}") for i in range(3)]
+    found = digest.compare_neighbours(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    order = sorted((r for r in rows if r[0] is not None), reverse=True) + rows[60:]
+    shas = []
+    for (i, own), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        shas.append((str(i), hashlib.sha256(digest.edited(own, after).encode()).hexdigest()))
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in found) == sorted(shas)
