@@ -227,15 +227,11 @@ def components(edges: DataFrame) -> DataFrame:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def near_duplicates(df: DataFrame, bits: int = MOST_BITS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every row.
+def grouped(rows: DataFrame, bits: int) -> DataFrame:
+    """(fingerprint, root, component_id) of the distinct fingerprints of ``rows`` (doc_id, fingerprint, ...).
 
-    ``component_id`` is the smallest doc_id reachable over links of at most
-    ``bits`` differing bits.  Null and empty texts have fingerprint 0 and link
-    like any other; null ids are kept and never name a component unless all of
-    it is null.  Repeated rows are returned each.
+    ``root`` is a fingerprint of the component, never null.
     """
-    rows = stored(fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))))
     distinct = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")))
     roots = components(links(distinct.select("fingerprint"), bits))
     # Both sides hold a fingerprint once; single ones are their own root.
@@ -243,22 +239,39 @@ def near_duplicates(df: DataFrame, bits: int = MOST_BITS, doc_id: str = "doc_id"
         "fingerprint", "first", F.coalesce("root", "fingerprint").alias("root")
     )
     named = joined.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = joined.join(named, "root").select("fingerprint", "component_id")
+    return joined.join(named, "root").select("fingerprint", "root", "component_id")
+
+
+def near_duplicates(df: DataFrame, bits: int = MOST_BITS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every row.
+
+    ``component_id`` is the smallest doc_id reachable over links of at most
+    ``bits`` differing bits.  Null and empty texts have fingerprint 0 and link
+    like any other; null ids are kept and never name a component unless all of
+    it is null.  Repeated rows are returned each.
+    """
+    rows = stored(fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))))
+    named = grouped(rows, bits).select("fingerprint", "component_id")
     return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
 def keep_one(df: DataFrame, bits: int = MOST_BITS) -> DataFrame:
-    """One row of each component: that of its smallest doc_id, once if the row is repeated."""
-    key, place = fresh(df, "key", "place")
-    # Null ids meet as text; join and window share the key, so texts are exchanged once.
-    known = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    groups = near_duplicates(df, bits)
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(known.alias(key)).distinct()
-    once = Window.partitionBy(key, F.xxhash64("text")).orderBy(F.xxhash64(*df.columns))
+    """One row of each component: the first by doc_id (null ids last), then by a hash of its text, once if it is repeated."""
+    key, a, b, place = fresh(df, "key", "a", "b", "place")
+    # A row is known by its id (a prefix tells null from any text) and 128 bits of its text.
+    body = F.col("text").cast("string")
+    known = F.coalesce(F.concat(F.lit("s"), F.col("doc_id").cast("string")), F.lit("n"))
+    rows = df.withColumns({key: known, a: F.xxhash64(body), b: F.xxhash64(F.lit(1), body)})
+    narrow = rows.select("doc_id", body.alias("text"), F.col(key).alias("key"), F.col(a).alias("a"), F.col(b).alias("b"))
+    narrow = stored(fingerprints(narrow))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "a", "b", "key")).alias("first")
+    kept = narrow.join(grouped(narrow, bits), "fingerprint").groupBy("root").agg(first)
+    kept = kept.select(F.col("first.key").alias(key), F.col("first.a").alias(a), F.col("first.b").alias(b))
+    # Join and window share their keys, so texts are exchanged once.
+    once = Window.partitionBy(key, a, b).orderBy(F.xxhash64(*df.columns))
     return (
-        df.withColumn(key, known)
-        .join(kept, key, "left_semi")
+        rows.join(kept, [key, a, b], "left_semi")
         .withColumn(place, F.row_number().over(once))
         .filter(F.col(place) == 1)
-        .drop(key, place)
+        .drop(key, a, b, place)
     )

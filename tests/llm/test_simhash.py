@@ -118,3 +118,14 @@ def test_null_ids_and_empty_tables(spark):
     assert rows == {(None, 5), (5, 5), (None, None)}
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
     assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_null_and_repeated_ids_leave_one_row_of_each_group(spark):
+    near = "w1 w2 w3 w4 w5 " * 30
+    other = "entirely different words stand in this one here"
+    rows = [(None, "a b c d", 1), (5, "a b c d", 2), (None, "x y z", 3), (None, "X y z", 4), (7, near, 5), (7, other, 6), (3, other, 7)]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, n long")).collect()
+    roots = groups([exact(t) for _, t, _ in rows])
+    assert len(set(roots)) == 4 and len(kept) == 4
+    assert sorted(r["n"] for r in kept if r["doc_id"] is not None) == [2, 5, 7]
+    assert [r["text"].lower() for r in kept if r["doc_id"] is None] == ["x y z"]
