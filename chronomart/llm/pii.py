@@ -31,18 +31,33 @@ SSN_AREAS, SSN_GROUPS, SSN_SERIALS = 898, 99, 9999
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _YEAR, _MONTH, _DAY = r"(?:19|20)\d\d", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])"
+_M, _D = r"(?:0?[1-9]|1[0-2])", r"(?:0?[1-9]|[12]\d|3[01])"
 _SECRET = r"(?i:token|password|passwd|secret|api_?key)\s{0,4}[=:]\s{0,4}[\"']?"
+#: Lengths of IBANs by country; a spaced one ends there, and letters may follow.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_SPACED = "|".join(
+    rf"(?:{'|'.join(countries.split())})\d\d(?: [A-Z0-9]{{4}}){{{n // 4 - 1}}}" + (f" [A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+    for n, countries in IBAN_LENGTHS.items()
+)
 #: Candidates in the order in which they are tried at a place of the text.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,32}+[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
     "secret": rf"(?<![A-Za-z]){_SECRET}[0-9A-Za-z+/_-]{{8,}}+",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
-    "date": rf"(?<!\d){_YEAR}-{_MONTH}-{_DAY}(?!\d)|(?<!\d){_DAY}(?<dot>[./]){_MONTH}\k<dot>{_YEAR}(?!\d)",
+    "date": rf"(?<!\d){_YEAR}-{_MONTH}-{_DAY}(?!\d)|(?<!\d){_DAY}(?<dot>[./]){_MONTH}\k<dot>{_YEAR}(?!\d)"
+    rf"|(?<![\d./])(?:{_D}(?<short>[./]){_M}\k<short>|{_M}/{_D}/){_YEAR}(?!\d|[./]\d)|(?<![\d-]){_YEAR}-{_M}-{_D}(?![\d-])",
     "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])",
     "phone": r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)"
+    r"|\+\d{1,3}[ .-]?(?:\(\d\) ?)?\d(?:[ .-]\d{2,4}){2,4}(?!\d)"
+    r"|(?<![\d.-])1(?<long>[ .-])\d{3}\k<long>\d{3}\k<long>\d{4}(?![\d-])"
     r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}(?<mark>[.-])\d{3}\k<mark>\d{4}(?![\d-])",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}+|(?: \d{4}){3,7}+(?: \d{1,3})?)(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_SPACED}|[A-Z]{{2}}\d\d(?:[A-Z0-9]{{11,30}}+|(?: \d{{4}}){{3,7}}+(?: \d{{1,3}})?))(?![A-Za-z0-9])",
     "card": r"(?<![\d-])(?:\d{13,19}|\d{4}(?<four>[ -])\d{4}\k<four>\d{4}\k<four>\d{1,7}|\d{4}(?<six>[ -])\d{6}\k<six>\d{5})(?!\d)",
 }
 _LETTERS, _NUMBERS = ("email", "key", "secret", "iban"), ("ip", "date", "ssn", "phone", "card")
@@ -111,8 +126,29 @@ def permute_digits(digits: Column, key: str, kind: str) -> Column:
     )
 
 
+#: Letters outside A to Z change within these ranges of code points, which hold letters only.
+LETTERS = (
+    (0xC0, 0xD6), (0xD8, 0xDE), (0xDF, 0xF6), (0xF8, 0xFF), (0x100, 0x17F), (0x391, 0x3A1), (0x3A3, 0x3AB), (0x3AC, 0x3CE),
+    (0x400, 0x42F), (0x430, 0x45F), (0x531, 0x556), (0x561, 0x586), (0x5D0, 0x5EA), (0x620, 0x64A), (0x905, 0x939),
+    (0xE01, 0xE30), (0x10D0, 0x10F0), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FA5), (0xAC00, 0xD7A3),
+)
+
+
+def foreign_letter(c: Column, moved: Column) -> Column:
+    """A letter outside A to Z moved within its range; one outside all ranges becomes one of a to z."""
+    code = F.ascii(c).cast("long")
+    found = F.lit(None).cast("struct<low:bigint,size:bigint>")
+    for first, last in LETTERS:
+        own = F.struct(F.lit(first).cast("long").alias("low"), F.lit(last - first + 1).cast("long").alias("size"))
+        found = F.when(code.between(first, last), own).otherwise(found)
+    place = let(found, lambda r: r.low + (code - r.low + moved) % r.size)
+    new = F.decode(F.unhex(F.lpad(F.hex(place), 4, "0")), "UTF-16BE")
+    latin = F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), (moved % 26 + 1).cast("int"), F.lit(1))
+    return F.when(c.rlike(r"^[\p{L}&&[^A-Za-z]]$"), F.coalesce(new, latin))
+
+
 def permute_letters(value: Column, key: str, kind: str, hexadecimal: bool = False) -> Column:
-    """A string whose digits and Latin letters change within their alphabets; the rest stays.
+    """A string whose digits and letters change within their alphabets; the rest stays.
 
     With ``hexadecimal``, letters of a value that has none beyond f (in one case)
     stay within a to f.  Two values can only meet there: one with and one without
@@ -132,7 +168,7 @@ def permute_letters(value: Column, key: str, kind: str, hexadecimal: bool = Fals
             moved = lambda a: F.substring(
                 a, ((F.instr(a, c) - 1 + keyed(key, kind, step * 1000 + i, other) % F.length(a)) % F.length(a) + 1).cast("int"), F.lit(1)
             )
-            return F.coalesce(let(alphabet(c), moved), c)
+            return F.coalesce(let(alphabet(c), moved), foreign_letter(c, keyed(key, kind, step * 1000 + i, other)), c)
 
         return F.array_join(F.transform(F.split(part, ""), char), "")
 
@@ -215,21 +251,27 @@ def ip(value: Column, key: str) -> Column:
 
 
 def date(value: Column, key: str) -> Column:
-    forms = [("-", "yyyy-MM-dd"), (".", "dd.MM.yyyy"), ("/", "dd/MM/yyyy")]
+    """Another day in the same form; with slashes the day comes first where that is a date."""
+    forms = [("-", 0, 1, 2, "yyyy-MM-dd"), (".", 2, 1, 0, "dd.MM.yyyy"), ("/", 2, 1, 0, "dd/MM/yyyy"), ("/", 2, 0, 1, "MM/dd/yyyy")]
+    short = value.rlike(r"(?<!\d)\d(?!\d)")
+    parts = F.split(value, "[-./]")
     result = F.lit(None).cast("string")
-    for mark, form in forms:
-        parts = F.split(value, f"[{mark}]")
-        iso = value if mark == "-" else F.concat_ws("-", parts[2], parts[1], parts[0])
-        day = F.datediff(iso.try_cast("date"), F.lit(FIRST_DAY).cast("date"))
-        moved = permute_number(day.cast("long"), DAYS, key, "date").cast("int")
-        new = F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), moved), form)
-        result = F.coalesce(result, F.when(F.contains(value, F.lit(mark)) & day.isNotNull(), new))
+    for mark, year, month, of_month, form in forms:
+        iso = F.concat_ws("-", parts[year], parts[month], parts[of_month])
+        day = F.when(F.contains(value, F.lit(mark)), F.datediff(iso.try_cast("date"), F.lit(FIRST_DAY).cast("date")))
+
+        def new(d: Column) -> Column:
+            moved = F.date_add(F.lit(FIRST_DAY).cast("date"), permute_number(d.cast("long"), DAYS, key, "date").cast("int"))
+            brief = form.replace("MM", "M").replace("dd", "d")
+            return F.when(d.isNotNull(), let(moved, lambda m: F.when(short, F.date_format(m, brief)).otherwise(F.date_format(m, form))))
+
+        result = F.coalesce(result, let(day, new))
     return result
 
 
 def phone(value: Column, key: str) -> Column:
     """The country code stays; the other digits are permuted."""
-    code = F.regexp_extract(value, r"^(\+\d{1,3}(?=[ .(-])|\+?)", 1)
+    code = F.regexp_extract(value, r"^(\+\d{1,3}(?=[ .(-])|1(?=[ .-])|\+?)", 1)
     rest = F.substring(value, F.length(code) + 1, F.length(value))
     return F.concat(code, fill(rest, permute_digits(digits_of(rest), key, "phone")))
 
@@ -280,7 +322,7 @@ FORMATS = {
 def kind_of(value: Column) -> Column:
     """Which pattern found a candidate."""
     found = F.when(F.contains(value, F.lit("@")), "email").when(value.rlike(r"^A[KS]IA[0-9A-Z]{16}$"), "key")
-    found = found.when(value.rlike(f"^{_SECRET}"), "secret").when(value.rlike(r"^\d+\.\d+\.\d+\.\d+$"), "ip")
+    found = found.when(value.rlike(f"^{_SECRET}"), "secret").when(value.rlike(f"^(?:{PATTERNS['ip']})$"), "ip")
     for kind in ("date", "ssn", "phone", "iban"):
         found = found.when(value.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
     return found.otherwise("card")

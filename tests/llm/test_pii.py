@@ -142,3 +142,24 @@ def test_many_matches_clashing_columns_and_empty_tables(spark):
 def test_no_python_and_no_shuffle(spark):
     plan = pii.pseudonymize(documents(spark, ["a"]), KEY)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Exchange|Python|Arrow|Pandas", plan)
+
+
+def test_other_usual_forms_are_replaced(spark):
+    cases = [
+        ("phone", "+33 1 23 45 67 89"), ("phone", "+61 2 9374 4000"), ("phone", "1-800-555-0199"), ("phone", "1.800.555.0199"),
+        ("iban", "GB29 NWBK 6016 1331 9268 19"), ("iban", "FR14 2004 1010 0505 0001 3M02 606"), ("iban", "BE68 5390 0754 7034"),
+        ("date", "03/25/2020"), ("date", "1/2/2020"), ("date", "5.7.1999"), ("date", "2020-3-5"),
+        ("email", "дмитрий@example.org"), ("email", "josé.müller@example.org"), ("email", "李雷@example.org"),
+    ]
+    texts, spans = replace(spark, [f"Before {v} AFTER" for _, v in cases])
+    for (kind, value), text, found in zip(cases, texts, spans, strict=True):
+        new = text.removeprefix("Before ").removesuffix(" AFTER")
+        assert [tuple(s) for s in found] == [(kind, new, 7)] and new != value
+        if kind in ("phone", "iban"):
+            check_format(kind, value, new)
+        if kind == "email":
+            name, old = new.split("@")[0], value.split("@")[0]
+            assert len(name) == len(old) and all(a.isalpha() == b.isalpha() for a, b in zip(name, old, strict=True))
+            assert sum(a == b for a, b in zip(name, old, strict=True) if a.isalpha() and not a.isascii()) <= 1
+    _, spans = replace(spark, texts)
+    assert [[s["kind"] for s in found] for found in spans] == [[kind] for kind, _ in cases]
