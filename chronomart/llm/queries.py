@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronomart.llm import bpe, digest, labelled, mixing, pii, quality, reshard, simhash, tokencount, topk, toxicity
+from chronomart.llm import (
+    bpe, digest, labelled, mixing, pii, quality, reshard, simhash, tokencount, topk, toxicity, wordtable,
+)
 from chronomart.llm.common import fresh, stored, table, text_of, word_count
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,3 +175,20 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_entropy_mix"] = mixing.SQL
+
+
+@cache
+def word_vocabulary() -> wordtable.Vocabulary:
+    return wordtable.load(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@registered
+def op11_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = F.col("token_ids")
+    return wordtable.decode(wordtable.encode(docs, word_vocabulary()), word_vocabulary()).select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
