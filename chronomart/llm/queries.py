@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronomart.llm import (
-    bpe, digest, labelled, mixing, pii, quality, reshard, simhash, tokencount, topk, toxicity, wordtable,
+    bpe, dialogue, digest, labelled, lloyd, mixing, pii, quality, reshard, simhash, tokencount, topk, toxicity, wordtable,
 )
 from chronomart.llm.common import fresh, stored, table, text_of, word_count
 
@@ -192,3 +192,38 @@ def op11_word_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(ids.cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with one row in four spoilt, by a hash of conversation and turn; nulls of rows are one space."""
+    spaced = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(spaced("conv_id"), F.lit(":"), spaced("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.regexp_replace(spaced("text"), "[.!?]", "")).otherwise(spaced("text"))
+    role = F.when(kind == 4, "user").otherwise(spaced("role"))
+    copies = F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+    return rows.filter(kind != 0).select("conv_id", "turn", role.alias("role"), text.alias("text"), copies)
+
+
+@registered
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation of the table, also those that lost all rows."""
+    rows = table(spark, sf_dir, "conversations")
+    found = dialogue.repair(damaged(rows))
+    every = rows.select(F.col("conv_id").alias("conv")).distinct()
+    report = every.unionByName(found.report(), allowMissingColumns=True).unionByName(
+        dialogue.digests(found.lines()), allowMissingColumns=True
+    )
+    number = lambda c: F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c)
+    return report.groupBy(F.col("conv").alias("conv_id")).agg(
+        *(number(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("digest"), F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+@registered
+def op13_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lloyd.cluster(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op13_lloyd"] = lloyd.sql()
