@@ -19,7 +19,6 @@ from __future__ import annotations
 import heapq
 import json
 import math
-import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -33,13 +32,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import pre_tokenizers
 
-from chronomart.llm.common import fresh, text_of
-from chronomart.sources.storage import MAX_BUCKETS, shared_folder
+from chronomart.llm.common import bucketed, fresh, text_of
+from chronomart.sources.storage import MAX_BUCKETS
 
 #: Text that one block of documents holds; a longer document is a block of its own.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 #: Text behind one hash class of words (its distinct words are a fraction of that).
 CLASS_BYTES = 32 << 20
+#: Word numbers or ids that a worker expands at a time.
+EXPANDED = 1 << 18
 #: Words longer than this are merged one by one, in n log n steps.
 LONG_WORD = 256
 #: Words of one length that are merged at a time.
@@ -236,6 +237,36 @@ def gather(numbers: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> tuple[np
     return ids[np.repeat(starts[numbers] - (ends - lengths), lengths) + np.arange(total)], ends
 
 
+# Arrays in rows ------------------------------------------------------------------------------------
+
+ZSTD = "zstd"
+
+
+def pack(values: np.ndarray) -> bytes:
+    """A small compressed form of an array: first the low bytes of all values, then the next ones."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + pa.Codec(ZSTD).compress(planes, asbytes=True)
+
+
+def unpack(data: bytes, kind: type) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.Codec(ZSTD).decompress(data[8:], size), np.uint8)
+    return np.ascontiguousarray(planes.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def row_ranges(lists: pa.ListArray, most: int = EXPANDED) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``most`` values; a longer row stands alone."""
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for i, length in enumerate(lengths.tolist()):
+        if i > start and held + length > most:
+            yield start, i
+            start, held = i, 0
+        held += length
+    if start < len(lists):
+        yield start, len(lists)
+
+
 # Splitting and numbering ---------------------------------------------------------------------------
 
 
@@ -262,6 +293,13 @@ def _lists(ends: np.ndarray, values: pa.Array | np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(values))
 
 
+def _text_bytes(lists: pa.ListArray) -> np.ndarray:
+    """Bytes of text in each list of strings, read off the offsets without a copy of the strings."""
+    flat = lists.values
+    offsets = np.frombuffer(flat.buffers()[1], np.int32) if len(flat) else np.zeros(1, np.int32)
+    return np.diff(offsets[flat.offset + lists.offsets.to_numpy()].astype(np.int64))
+
+
 class Numbering:
     """Turns batches of (columns, words) into numbered documents and slips of distinct words."""
 
@@ -273,17 +311,14 @@ class Numbering:
         held, size = [], 0
         for batch in batches:
             # A batch may hold more text than a block: it is cut where the words add up.
-            column = batch.column(batch.schema.get_field_index(self.names["words"]))
-            chars = pc.binary_length(column.flatten())
-            bytes_before = np.r_[0, np.cumsum(chars.to_numpy(zero_copy_only=False))]
-            ends = np.cumsum(pc.list_value_length(column).to_numpy(zero_copy_only=False))
-            in_rows = np.diff(bytes_before[np.r_[0, ends]])
+            in_rows = _text_bytes(batch.column(batch.schema.get_field_index(self.names["words"])))
             start = 0
             for i, row in enumerate(in_rows.tolist()):
                 size += row
                 if size >= BLOCK_BYTES:
                     yield from self.block(block, [*held, batch.slice(start, i + 1 - start)])
                     block, held, size, start = block + 1, [], 0, i + 1
+                    pa.default_memory_pool().release_unused()
             if start < batch.num_rows:
                 held.append(batch.slice(start))
         if held:
@@ -294,33 +329,38 @@ class Numbering:
         lists = docs.column(self.names["words"])
         lists = lists.chunk(0) if lists.num_chunks else pa.array([], lists.type)
         numbered = lists.flatten().dictionary_encode()
-        numbers, words = numbered.indices, numbered.dictionary
+        words = numbered.dictionary.cast(pa.binary()).to_pylist()
         ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        del lists
+        kept = [c for c in docs.column_names if c != self.names["words"]]
+        columns = [docs.column(c) for c in kept]
+        columns = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in columns]
+        yield self.rows(docs, block, docs.num_rows, columns, {"numbers": _lists(ends, numbered.indices)})
+
         crc, n = zlib.crc32, self.classes
-        of_word = np.fromiter((crc(w) % n for w in words.cast(pa.binary()).to_pylist()), np.int64, len(words))
-        order = np.argsort(of_word, kind="stable")
+        of_word = np.fromiter((crc(w) % n for w in words), np.int64, len(words))
+        order = np.argsort(of_word, kind="stable")  # of a class in order of their numbers
         classes, first = np.unique(of_word[order], return_index=True)
-        slip_ends = np.r_[first[1:], len(order)] if len(order) else np.zeros(0, np.int64)
+        slips = []
+        for cls, locals_ in zip(classes.tolist(), np.split(order, first[1:]) if len(order) else [], strict=True):
+            own = [words[i] for i in locals_.tolist()]
+            sizes = np.fromiter(map(len, own), np.int32, len(own))
+            text = np.frombuffer(b"".join(own), np.uint8)
+            slips.append((cls, pack(np.diff(locals_, prepend=0).astype(np.int32)), pack(sizes), pack(text)))
+        if slips:
+            made = dict(zip(("cls", "locals", "sizes", "text"), zip(*slips, strict=True), strict=True))
+            nothing = [pa.nulls(len(slips), c.type) for c in columns]
+            yield self.rows(docs, block, len(slips), nothing, {k: pa.array(v, self.KINDS[k]) for k, v in made.items()})
+
+    KINDS = {  # noqa: RUF012
+        "numbers": pa.list_(pa.int32()), "cls": pa.int32(), "locals": pa.binary(), "sizes": pa.binary(), "text": pa.binary(),
+    }
+
+    def rows(self, docs: pa.Table, block: int, count: int, columns: list[pa.Array], made: dict[str, pa.Array]) -> pa.RecordBatch:
         kept = [c for c in docs.column_names if c != self.names["words"]]
-        names = [*kept, *(self.names[k] for k in ("block", "numbers", "cls", "locals", "words"))]
-
-        def rows(count: int, columns: list[pa.Array], made: dict[str, pa.Array]) -> pa.RecordBatch:
-            kinds = {"block": pa.int64(), "numbers": pa.list_(pa.int32()), "cls": pa.int32(),
-                     "locals": pa.list_(pa.int32()), "words": pa.list_(pa.string())}
-            own = [made.get(k, pa.nulls(count, kind)) for k, kind in kinds.items()]
-            return pa.RecordBatch.from_arrays([*columns, *own], names=names)
-
-        count, at = docs.num_rows, pa.array(np.full(max(docs.num_rows, len(classes)), block, np.int64))
-        columns = [docs.column(c).combine_chunks() if docs.num_rows else pa.array([], docs.schema.field(c).type) for c in kept]
-        columns = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
-        yield rows(count, columns, {"block": at[:count], "numbers": _lists(ends, numbers)})
-        slips = {
-            "block": at[: len(classes)],
-            "cls": pa.array(classes, pa.int32()),
-            "locals": _lists(slip_ends, order.astype(np.int32)),
-            "words": _lists(slip_ends, words.take(pa.array(order)).cast(pa.string())),
-        }
-        yield rows(len(classes), [pa.nulls(len(classes), docs.schema.field(c).type) for c in kept], slips)
+        own = [made.get(k, pa.nulls(count, kind)) for k, kind in self.KINDS.items()]
+        names = [*kept, self.names["block"], *(self.names[k] for k in self.KINDS)]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(count, block, np.int64)), *own], names=names)
 
 
 # Joining -------------------------------------------------------------------------------------------
@@ -328,25 +368,29 @@ class Numbering:
 
 def _encode_class(vocab: Vocabulary, names: dict[str, str]):  # noqa: ANN202
     def run(slips: pa.Table) -> pa.Table:
-        slips = slips.combine_chunks()
-        words = slips.column(names["words"]).chunk(0)
-        numbered = words.flatten().dictionary_encode()
-        every = numbered.indices.to_numpy(zero_copy_only=False)
-        counts, ids = encode_words(numbered.dictionary.cast(pa.binary()).to_pylist(), vocab)
+        sizes = [unpack(b.as_py(), np.int32) for b in slips.column(names["sizes"])]
+        text = np.concatenate([unpack(b.as_py(), np.uint8) for b in slips.column(names["text"])])
+        offsets = np.r_[0, np.cumsum(np.concatenate(sizes), dtype=np.int64)]
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(text)])
+        numbered = words.dictionary_encode()
+        every, distinct = numbered.indices.to_numpy(), numbered.dictionary.to_pylist()
+        counts, ids = encode_words(distinct, vocab)
         for special, i in vocab.specials.items():  # a special token's text is one id, never merged bytes
-            at = pc.index(numbered.dictionary, special).as_py()
-            if at >= 0:
+            if special.encode() in distinct:
+                at = distinct.index(special.encode())
                 start = int(counts[:at].sum())
                 ids = np.r_[ids[:start], np.int32(i), ids[start + int(counts[at]) :]]
                 counts[at] = 1
-        flat, ends = gather(every, counts, ids)
-        word_ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))
+        rows = []
+        for numbers in np.split(every, np.cumsum([len(x) for x in sizes])[:-1]):
+            flat, _ = gather(numbers, counts, ids)
+            rows.append((pack(counts[numbers].astype(np.int32)), pack(flat)))
         return pa.table(
             {
                 names["block"]: slips.column(names["block"]),
                 names["locals"]: slips.column(names["locals"]),
-                names["counts"]: _lists(word_ends, counts[every].astype(np.int32)),
-                names["ids"]: _lists(ends[word_ends - 1], flat),
+                names["counts"]: pa.array([c for c, _ in rows], pa.binary()),
+                names["ids"]: pa.array([i for _, i in rows], pa.binary()),
             }
         )
 
@@ -355,17 +399,24 @@ def _encode_class(vocab: Vocabulary, names: dict[str, str]):  # noqa: ANN202
 
 def _place(names: dict[str, str], kept: list[str], to: str):  # noqa: ANN202
     def values(table: pa.Table, name: str) -> np.ndarray:
-        return pc.list_flatten(table.column(names[name])).to_numpy()
+        parts = [unpack(b.as_py(), np.int32) for b in table.column(names[name])]
+        if name == "locals":
+            parts = [np.cumsum(p, dtype=np.int32) for p in parts]
+        return np.concatenate([np.zeros(0, np.int32), *parts])
 
     def run(docs: pa.Table, slips: pa.Table) -> pa.Table:
         order = np.argsort(values(slips, "locals"), kind="stable")
         # The ids as they came, slip by slip, put in the order of the block's numbers.
-        counts = values(slips, "counts")
+        counts = values(slips, "counts").astype(np.int64)
         ids, _ = gather(order, counts, values(slips, "ids"))
-        numbers = docs.column(names["numbers"])
-        flat, ends = gather(values(docs, "numbers"), counts[order], ids)
-        word_ends = np.cumsum(pc.list_value_length(numbers).to_numpy())
-        return docs.select(kept).append_column(to, _lists(np.r_[0, ends][word_ends], flat))
+        counts, found = counts[order], []
+        for numbers in docs.column(names["numbers"]).chunks:
+            for start, end in row_ranges(numbers):
+                part = numbers.slice(start, end - start)
+                flat, ends = gather(part.flatten().to_numpy(), counts, ids)
+                found.append(_lists(np.r_[0, ends][np.cumsum(pc.list_value_length(part).to_numpy())], flat))
+        pa.default_memory_pool().release_unused()
+        return docs.select(kept).append_column(to, pa.chunked_array(found, pa.list_(pa.int32())))
 
     return run
 
@@ -382,37 +433,27 @@ def encode(df: DataFrame, vocab: Vocabulary, text: str = "text", to: str = "toke
     classes = max(1, math.ceil(total / CLASS_BYTES))
     cores = spark.sparkContext.defaultParallelism
     buckets = min(MAX_BUCKETS, max(1, math.ceil(total / BLOCK_BYTES), min(cores, math.ceil(total / (4 << 20)))))
-    wished = ["block", "numbers", "cls", "locals", "words", "counts", "ids"]
+    wished = ["block", "words", "numbers", "cls", "locals", "sizes", "text", "counts", "ids"]
     names = dict(zip(wished, fresh(df, *(f"w_{w}" for w in wished)), strict=True))
     kept = [c for c in df.columns if c != text]
 
     fields = [T.StructField(f.name, f.dataType, True) for f in df.schema if f.name != text]
-    many = T.ArrayType(T.IntegerType())
-    kinds = {"block": T.LongType(), "numbers": many, "cls": T.IntegerType(), "locals": many, "words": T.ArrayType(T.StringType())}
+    many, packed, block = T.ArrayType(T.IntegerType()), T.BinaryType(), names["block"]
+    kinds = {"block": T.LongType(), "numbers": many, "cls": T.IntegerType(), "locals": packed, "sizes": packed, "text": packed}
     rows = T.StructType([*fields, *(T.StructField(names[k], kind) for k, kind in kinds.items())])
     split = df.select(*kept, split_words(F.col(text), vocab).alias(names["words"]))
-    numbered = bucketed(split.mapInArrow(Numbering(names, classes), rows), names["block"], buckets)
+    numbered = bucketed(split.mapInArrow(Numbering(names, classes), rows), buckets, block)
 
-    block = names["block"]
-    slips = numbered.filter(F.col(names["cls"]).isNotNull()).select(*(names[k] for k in ("block", "cls", "locals", "words")))
+    slips = numbered.filter(F.col(names["cls"]).isNotNull()).select(*(names[k] for k in kinds if k != "numbers"))
     encoded = slips.groupBy(names["cls"]).applyInArrow(
         _encode_class(vocab, names),
-        T.StructType([T.StructField(block, T.LongType()), *(T.StructField(names[k], many) for k in ("locals", "counts", "ids"))]),
+        T.StructType([T.StructField(block, T.LongType()), *(T.StructField(names[k], packed) for k in ("locals", "counts", "ids"))]),
     )
     docs = numbered.filter(F.col(names["cls"]).isNull()).select(*kept, block, names["numbers"])
     placed = T.StructType([*docs.select(*kept).schema.fields, T.StructField(to, many)])
     return docs.groupBy(block).cogroup(encoded.groupBy(block)).applyInArrow(_place(names, kept, to), placed)
 
 
-def bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """``df`` written once to the shared folder with equal keys together: grouping by ``key`` needs no exchange."""
-    spark = df.sparkSession
-    name = f"cm_bucketed_{uuid.uuid4().hex[:16]}"
-    writer = df.write.option("compression", "zstd").option("path", f"{shared_folder(spark)}/{name}")
-    writer.bucketBy(buckets, key).format("parquet").saveAsTable(name)
-    return spark.table(name)
-
-
 def decode(df: DataFrame, vocab: Vocabulary, ids: str = "token_ids", to: str = "decoded") -> DataFrame:
     """``df`` with the text of its ids, special tokens included, in a new column ``to`` (replaced if there is one).
 
@@ -426,17 +467,21 @@ def decode(df: DataFrame, vocab: Vocabulary, ids: str = "token_ids", to: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids))
-            flat = pc.fill_null(lists.flatten(), known)
-            at = pc.if_else(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, known)), flat, known)
-            ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
-            joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(np.r_[0, ends], pa.int64()), pieces.take(at)), b"")
-            joined = pc.if_else(lists.is_null(), pa.scalar(None, pa.binary()), joined.cast(pa.binary()))
-            try:
-                texts = joined.cast(pa.string())
-            except pa.ArrowInvalid:
-                texts = pa.array([None if b is None else b.decode(errors="replace") for b in joined.to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, own])
+            at = batch.schema.get_field_index(ids)
+            for start, end in row_ranges(batch.column(at)):
+                part = batch.slice(start, end - start)
+                yield pa.RecordBatch.from_arrays([*part.columns, texts(part.column(at))], names=[*part.schema.names, own])
+
+    def texts(lists: pa.ListArray) -> pa.Array:
+        flat = pc.fill_null(lists.flatten(), known)
+        at = pc.if_else(pc.and_(pc.greater_equal(flat, 0), pc.less(flat, known)), flat, known)
+        ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(np.r_[0, ends], pa.int64()), pieces.take(at)), b"")
+        joined = pc.if_else(lists.is_null(), pa.scalar(None, pa.binary()), joined.cast(pa.binary()))
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([None if b is None else b.decode(errors="replace") for b in joined.to_pylist()], pa.string())
 
     schema = T.StructType([*df.schema.fields, T.StructField(own, T.StringType())])
     return df.mapInArrow(run, schema).withColumnRenamed(own, to)
