@@ -51,11 +51,18 @@ def extract(spark: SparkSession, options: argparse.Namespace) -> int:
 
 
 def dictionary(spark: SparkSession, options: argparse.Namespace) -> int:
+    """Columns and codes; also the columns that are not stored as declared, which are printed as well."""
     wh = warehouse.Warehouse.open(spark, options.root.rstrip("/"))
-    tables = wh.tables()
-    columns = warehouse.data_dictionary(tables).orderBy(F.col("table_name"), F.col("column_id"))
-    codes = warehouse.code_listing(tables["fact_monthly_statement"], tables["dim_customer"])
-    marts.export({"columns": columns, "codes": codes.orderBy("dimension", "code")}, options.out)
+    codes = warehouse.code_listing(wh.table("fact_monthly_statement"), wh.table("dim_customer"))
+    drift = wh.drift()
+    order = {
+        "columns": [F.col("table_name"), F.col("column_id")],
+        "codes": [F.col("dimension"), F.col("code")],
+        "drift": [F.col("table_name"), F.col("column_name")],
+    }
+    marts.export({"columns": wh.data_dictionary(), "codes": codes, "drift": drift}, options.out, order.__getitem__)
+    for row in drift.collect():  # a few columns at most
+        print(f"{row.table_name}.{row.column_name}: declared {row.declared}, stored {row.stored}")
     return 0
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,19 +46,24 @@ def statements_from_staging(stg: DataFrame, calendar: Calendar) -> DataFrame:
 
 
 def statements(
-    stg: DataFrame, dim_customer: DataFrame, calendar: Calendar, date_key: int | None = None
+    stg: DataFrame, dim_customer: DataFrame, calendar: Calendar, months: int | Sequence[int] | None = None
 ) -> DataFrame:
-    """Months joined to the stored version valid in each: all observed months, or one.
+    """Months joined to the stored version valid in each: all observed months, or those given.
 
-    For one month the interval is tested on the dimension before the join.
+    For one month the interval is tested on the dimension before the join; for
+    later months only versions that were still valid then are read.
     """
     keep = ["client_id", "limit_bal", "load_batch_id"]
-    if date_key is None:
-        months = reshape.unpivot(stg, calendar.observed, keep)
-        return _as_statements(joins.point_in_time(months, dim_customer, ["customer_sk"]))
-    months = reshape.unpivot(stg, [calendar.observed_month(date_key)], keep)
-    valid = joins.versions_at(dim_customer, date_key).select("client_id", "customer_sk")
-    return _as_statements(months.join(valid, "client_id"))
+    months = [months] if isinstance(months, int) else months
+    if months is None:
+        long = reshape.unpivot(stg, calendar.observed, keep)
+        return _as_statements(joins.point_in_time(long, dim_customer, ["customer_sk"]))
+    long = reshape.unpivot(stg, [calendar.observed_month(m) for m in months], keep)
+    if len(months) > 1:
+        later = dim_customer.filter(F.col("valid_to_date") >= min(months))
+        return _as_statements(joins.point_in_time(long, later, ["customer_sk"]))
+    valid = joins.versions_at(dim_customer, months[0]).select("client_id", "customer_sk")
+    return _as_statements(long.join(valid, "client_id"))
 
 
 def outcomes(stg: DataFrame, dim_customer: DataFrame, calendar: Calendar) -> DataFrame:

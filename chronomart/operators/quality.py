@@ -6,6 +6,7 @@ row that is turned into one result row per rule.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -28,6 +29,38 @@ class QualityGateError(RuntimeError):
         self.failed = failed
 
 
+@dataclass(frozen=True)
+class StagedTotals:
+    """A batch's rows in staging, the rows beyond one of each client, and the clients that are repeated."""
+
+    batch_id: str | None
+    rows: int
+    surplus: int
+    repeated: int
+
+
+@dataclass(frozen=True)
+class Observed:
+    """Counts that were taken while tables were written; None where there are none."""
+
+    staged: StagedTotals | None = None
+    facts: int | None = None
+    outcomes: int | None = None
+
+
+def _per_client(rows: DataFrame) -> DataFrame:
+    counted = rows.groupBy("client_id").agg(F.count("*").alias("n"), F.max("load_batch_id").alias("batch"))
+    return counted.selectExpr(
+        "coalesce(sum(n), 0) AS staged", "sum(n - 1) AS surplus", "count_if(n > 1) AS repeated", "max(batch) AS batch"
+    )
+
+
+def staged_totals(rows: DataFrame) -> StagedTotals:
+    """The totals of one batch's rows, by one pass."""
+    found = _per_client(rows).first()
+    return StagedTotals(found["batch"], found["staged"], found["surplus"] or 0, found["repeated"])
+
+
 def _results(totals: DataFrame, *rules: tuple[int, str, str, str]) -> DataFrame:
     """One-row ``totals`` -> (rule_id, rows_checked, rows_failed, sample_detail) rows.
 
@@ -45,11 +78,15 @@ def _results(totals: DataFrame, *rules: tuple[int, str, str, str]) -> DataFrame:
 # The details below are fixed texts.
 
 
-def staging_rules(stg: DataFrame, batch_id: str, expected_rows: int) -> DataFrame:
-    per_client = batch(stg, batch_id).groupBy("client_id").agg(F.count("*").alias("n"))
-    totals = per_client.selectExpr(
-        "coalesce(sum(n), 0) AS staged", "sum(n - 1) AS surplus", "count_if(n > 1) AS repeated"
-    )
+def staging_rules(
+    stg: DataFrame, batch_id: str, expected_rows: int, staged: StagedTotals | None = None
+) -> DataFrame:
+    """Row count and repeated clients; without a scan if the totals are known."""
+    if staged is None:
+        totals = _per_client(batch(stg, batch_id))
+    else:
+        values = f"{staged.rows}L AS staged, {staged.surplus}L AS surplus, {staged.repeated}L AS repeated"
+        totals = stg.sparkSession.sql(f"SELECT {values}")
     return _results(
         totals,
         (1, "staged", f"abs(staged - {expected_rows})",
@@ -102,8 +139,8 @@ def code_rules(dim_customer: DataFrame) -> DataFrame:
     )
 
 
-def fact_rules(fact: DataFrame, expected_rows: int, months: int) -> DataFrame:
-    """Grain, row count, negative payments and bills over the limit in one pass."""
+def fact_rules(fact: DataFrame, expected_rows: int, months: int, rows: int | None = None) -> DataFrame:
+    """Grain, negative payments and bills over the limit in one pass; the row count too, unless it is known."""
     per_grain = fact.groupBy("client_id", "date_key").agg(
         F.count("*").alias("n"),
         F.expr("count_if(payment_amount < 0)").alias("negative"),
@@ -121,10 +158,11 @@ def fact_rules(fact: DataFrame, expected_rows: int, months: int) -> DataFrame:
         "max(use) AS use",
     )
     expected = expected_rows * months
+    counted = "facts" if rows is None else f"{rows}L"
     return _results(
         totals,
         (5, "facts", "surplus", "concat('違反粒度的組合數：', repeated)"),
-        (7, "facts", f"abs(facts - {expected})", f"concat('預期 {expected} 列，實際 ', facts, ' 列')"),
+        (7, counted, f"abs({counted} - {expected})", f"concat('預期 {expected} 列，實際 ', {counted}, ' 列')"),
         (10, "facts", "negative", "concat('最小繳款金額：', coalesce(string(lowest), ''))"),
         (11, "facts", "over",
          "concat('最大超額比：', coalesce(string(CAST(round(use, 2) AS decimal(38,15))), ''))"),
@@ -150,25 +188,34 @@ def version_rules(dim_customer: DataFrame) -> DataFrame:
     )
 
 
-def outcome_rules(outcome: DataFrame, expected_rows: int) -> DataFrame:
+def outcome_rules(outcome: DataFrame, expected_rows: int, rows: int | None = None) -> DataFrame:
+    known = None if rows is None else outcome.sparkSession.sql(f"SELECT {rows}L AS outcomes")
     return _results(
-        outcome.selectExpr("count(*) AS outcomes"),
+        outcome.selectExpr("count(*) AS outcomes") if known is None else known,
         (12, str(expected_rows), f"abs({expected_rows} - outcomes)", "concat('違約結果列數：', outcomes)"),
     )
 
 
 def run(
-    tables: dict[str, DataFrame], batch_id: str, expected_rows: int, calendar: Calendar
+    tables: dict[str, DataFrame],
+    batch_id: str,
+    expected_rows: int,
+    calendar: Calendar,
+    observed: Observed = Observed(),
 ) -> DataFrame:
-    """All rules for one batch: rule_id, load_batch_id, rows_checked, rows_failed, sample_detail."""
+    """All rules for one batch: rule_id, load_batch_id, rows_checked, rows_failed, sample_detail.
+
+    The rules that reconcile counts (staging, statements, outcomes) take them
+    from ``observed`` where they were taken on write; else they scan.
+    """
     fact, dim = tables["fact_monthly_statement"], tables["dim_customer"]
     parts = [
-        staging_rules(tables["credit_clients"], batch_id, expected_rows),
+        staging_rules(tables["credit_clients"], batch_id, expected_rows, observed.staged),
         code_rules(dim),
-        fact_rules(fact, expected_rows, len(calendar.observed)),
+        fact_rules(fact, expected_rows, len(calendar.observed), observed.facts),
         orphan_rules(fact, dim),
         version_rules(dim),
-        outcome_rules(tables["fact_default_outcome"], expected_rows),
+        outcome_rules(tables["fact_default_outcome"], expected_rows, observed.outcomes),
     ]
     return reduce(DataFrame.unionByName, parts).withColumn("load_batch_id", F.lit(batch_id))
 

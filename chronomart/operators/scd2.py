@@ -250,6 +250,71 @@ def apply(
     return closed.unionByName(met.select(F.inline(rows)))
 
 
+def extend(
+    dim: DataFrame,
+    stg: DataFrame,
+    months: Sequence[int],
+    calendar: Calendar,
+    type1: Sequence[str] = reshape.TYPE1,
+) -> DataFrame:
+    """The dimension after several consecutive months of the wide snapshot, in one pass.
+
+    The same as :func:`apply` for one month after the other.  ``dim`` is the
+    dimension before the first of them (see :func:`rewind`).  All months of a
+    client sit in one row next to its current version, so versions are found
+    inside that row; tables bucketed by client are not exchanged.
+    """
+    columns = [n for n in DIM_CUSTOMER.names if n in dim.columns]
+    at = [calendar.observed_month(m) for m in months]
+    steps = range(len(at))
+    wide = reshape.resolve_codes(stg).withColumn("age_band", classify.age_band("age"))
+    tiers = {f"_t{i}": F.expr(_month_columns(m)["risk_tier"]) for i, m in enumerate(at)}
+    wide = wide.select(*reshape.SNAPSHOT_KEYS, "age_band", *[t.alias(n) for n, t in tiers.items()])
+    last = dim.groupBy("client_id").agg(F.max("version_num").alias("_last"))
+    c, s = joins.current_versions(dim).alias("c"), wide.join(last, "client_id", "left").alias("s")
+    known, seen = F.col("c.client_id").isNotNull(), F.col("s.client_id").isNotNull()
+
+    def hashed(i: int) -> Column:
+        tracked = {"risk_tier": F.col(f"s._t{i}")}
+        return row_hash(*[tracked.get(n, F.col(f"s.{n}")) for n in reshape.TRACKED])
+
+    opens = {"_o0": seen & (~known | (F.col("c.row_hash") != hashed(0)))}
+    opens |= {f"_o{i}": seen & (F.col(f"s._t{i}") != F.col(f"s._t{i - 1}")) for i in steps if i}
+    met = c.join(s, F.col("c.client_id") == F.col("s.client_id"), "full_outer").withColumns(opens)
+
+    def closes(from_step: int, otherwise: Column) -> Column:
+        """Last valid month of a version that the next opening from a step on ends."""
+        ends = [F.when(F.col(f"_o{j}"), calendar.closing(at[j].key)) for j in steps if j >= from_step]
+        return F.coalesce(*ends, otherwise)
+
+    def typed(values: dict[str, Column]) -> Column:
+        values["is_current"] = values["valid_to_date"] == OPEN_END
+        return F.struct(*[values[n].cast(DIM_CUSTOMER[n].dataType).alias(n) for n in columns])
+
+    kept = {n: F.col(f"c.{n}") for n in columns}
+    kept["valid_to_date"] = closes(0, F.col("c.valid_to_date"))
+    for n in type1:  # the first month overwrites them unless it opens a version of its own
+        kept[n] = F.when(seen & ~F.col("_o0"), F.col(f"s.{n}")).otherwise(F.col(f"c.{n}"))
+
+    rows = [F.when(known, typed(kept))]
+    version = F.coalesce(F.col("s._last"), F.lit(0))
+    for i, m in enumerate(at):
+        version = version + F.col(f"_o{i}").cast("int")
+        opened = {n: F.col(f"s.{n}") for n in columns if n in wide.columns}
+        opened |= {
+            "customer_sk": surrogate_key(F.col("s.client_id"), version),
+            "version_num": version,
+            "valid_from_date": F.lit(m.key),
+            "valid_to_date": closes(i + 1, F.lit(OPEN_END)),
+            "risk_tier": F.col(f"s._t{i}"),
+            "row_hash": hashed(i),
+            "created_at": utc_now(),
+        }
+        rows.append(F.when(F.col(f"_o{i}"), typed(opened)))
+    closed = dim.filter(~F.col("is_current")).select(*columns)
+    return closed.unionByName(met.select(F.inline(F.array_compact(F.array(*rows)))))
+
+
 def rewind(
     dim: DataFrame, date_key: int, calendar: Calendar, snapshots: DataFrame | None = None
 ) -> DataFrame:

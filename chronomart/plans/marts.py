@@ -7,7 +7,9 @@ sums divided by sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -15,7 +17,7 @@ from chronomart.functions import classify
 from chronomart.functions.values import month_date, percentage, quotient
 from chronomart.operators import joins
 from chronomart.sources import seeds
-from chronomart.sources.files import write_csv
+from chronomart.sources.files import write_single_csv
 from chronomart.sources.seeds import Calendar
 
 # Report headings of the four analysis questions.
@@ -51,10 +53,29 @@ def with_headings(df: DataFrame, query: str) -> DataFrame:
     return df.withColumnsRenamed(REPORT_HEADINGS[query])
 
 
-def _tier_order(column: str):
+def _tier_order(column: str) -> Column:
     return classify.ranked(F.col(column), classify.TIERS)
 
 
+def report_order(query: str) -> list[Column]:
+    """The order of a report's rows, complete: no two rows share a place."""
+    return {
+        "tier_migration_pct": [_tier_order("prev_tier"), _tier_order("risk_tier")],
+        "default_rate_by_tier": [F.desc("default_pct"), _tier_order("risk_tier")],
+        "default_rate_by_band": [classify.use_band_order(F.col("use_band")), F.col("use_band")],
+        "delinquency_trend": [F.col("date_key")],
+    }[query]
+
+
+def with_places(report: DataFrame, query: str) -> DataFrame:
+    """The report with each row's place in its own order.
+
+    A report has a row for each tier, band or month however large its input is,
+    so its places are numbered in one task.
+    """
+    return report.withColumn("place", F.row_number().over(Window.orderBy(*report_order(query))))
+
+
 # ── analysis questions ───────────────────────────────────────────────────────
 
 
@@ -89,7 +110,7 @@ def tier_migration_pct(fact: DataFrame, dim: DataFrame) -> DataFrame:
         tier_migration(fact, dim)
         .withColumnRenamed("curr_tier", "risk_tier")
         .withColumn("pct_of_prev", percentage(months, F.sum(months).over(of_prev), 1))
-        .orderBy(_tier_order("prev_tier"), _tier_order("risk_tier"))
+        .orderBy(*report_order("tier_migration_pct"))
     )
 
 
@@ -102,7 +123,7 @@ def default_rate_by_tier(outcome: DataFrame, dim: DataFrame, period: int) -> Dat
         .groupBy("risk_tier")
         .agg(F.count("*").alias("customers"), F.sum(F.col("is_default").cast("int")).alias("defaults"))
         .withColumn("default_pct", percentage(F.col("defaults"), F.col("customers"), 2))
-        .orderBy(F.desc("default_pct"))
+        .orderBy(*report_order("default_rate_by_tier"))
     )
 
 
@@ -116,7 +137,7 @@ def default_rate_by_band(fact: DataFrame, outcome: DataFrame) -> DataFrame:
         .join(outcome.select("client_id", "is_default"), "client_id")
         .groupBy("use_band")
         .agg(F.count("*").alias("customers"), F.sum(F.col("is_default").cast("int")).alias("defaults"))
-        .orderBy(classify.use_band_order(F.col("use_band")))
+        .orderBy(*report_order("default_rate_by_band"))
         .select(
             "use_band",
             "customers",
@@ -144,7 +165,7 @@ def delinquency_trend(fact: DataFrame) -> DataFrame:
             percentage(F.col("late_accounts"), F.col("accounts"), 2).alias("late_pct"),
             quotient(F.col("months_late"), F.col("late_accounts"), 2).alias("mean_months_late"),
         )
-        .orderBy("date_key")
+        .orderBy(*report_order("delinquency_trend"))
     )
 
 
@@ -222,10 +243,21 @@ def extracts(tables: dict[str, DataFrame], report: DataFrame, calendar: Calendar
     }
 
 
-def export(frames: dict[str, DataFrame], path: str) -> None:
-    """Write every frame as a CSV directory below ``path``."""
+def extract_order(name: str) -> list[Column]:
+    """The order of an extract's rows in its file."""
+    return {
+        "risk_tier_by_month": [F.col("month_key"), _tier_order("risk_tier")],
+        "tier_migration": [_tier_order("prev_tier"), _tier_order("curr_tier")],
+        "default_by_tier": [_tier_order("risk_tier")],
+        "version_counts": [F.col("versions")],
+        "quality_results": [F.col("load_batch_id"), F.col("rule_code")],
+    }[name]
+
+
+def export(frames: dict[str, DataFrame], path: str, order: Callable[[str], list[Column]] = extract_order) -> None:
+    """Write every frame as one CSV file below ``path``, its rows in their order."""
     for name, df in frames.items():
-        write_csv(df.coalesce(1), f"{path}/{name}")  # a few rows per code and month
+        write_single_csv(df, f"{path}/{name}.csv", order(name))
 
 
 # ── calculated fields on the extracts ────────────────────────────────────────

@@ -331,6 +331,8 @@ snap2 AS (
                     ELSE limit_bal END AS DECIMAL(12,2)) AS limit_bal) FROM snap),
 snap3 AS (SELECT * REPLACE ({TIER} AS risk_tier) FROM snap2)"""
 
+_TIER = "CASE {} WHEN 'LOW' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END"
+
 ORACLE: dict[str, str] = {
     "stage_clients": _wide(),
     "csv_snapshot": _wide(),
@@ -427,13 +429,15 @@ WHERE d.is_current GROUP BY e.code, e.documented""",
     "distinct_clients": f"""WITH {STAR} SELECT risk_tier, count(*) AS versions,
   count(DISTINCT client_id) AS clients FROM dim GROUP BY risk_tier""",
     "tier_migration_pct": f"""WITH {MONTHS}{SNAP}{MIGRATION}
-SELECT m.prev_tier, m.curr_tier AS risk_tier, m.n AS customer_months, {_ratio("m.n", "t.total", 1, 100)} AS pct_of_prev
+SELECT m.prev_tier, m.curr_tier AS risk_tier, m.n AS customer_months, {_ratio("m.n", "t.total", 1, 100)} AS pct_of_prev,
+  row_number() OVER (ORDER BY {_TIER.format("m.prev_tier")}, {_TIER.format("m.curr_tier")}) AS place
 FROM moves m JOIN (SELECT prev_tier, sum(n) AS total FROM moves GROUP BY 1) t ON t.prev_tier = m.prev_tier""",
     "tier_migration": f"""WITH {MONTHS}{SNAP}{MIGRATION}
 SELECT prev_tier, curr_tier, n AS customer_months FROM moves""",
     "default_rate_by_tier": f"""WITH {MONTHS}{SNAP}
 SELECT risk_tier, count(*) AS customers, count(*) FILTER (WHERE is_default) AS defaults,
-  {_ratio("count(*) FILTER (WHERE is_default)", "count(*)", 2, 100)} AS default_pct
+  {_ratio("count(*) FILTER (WHERE is_default)", "count(*)", 2, 100)} AS default_pct,
+  row_number() OVER (ORDER BY {_ratio("count(*) FILTER (WHERE is_default)", "count(*)", 2, 100)} DESC, {_TIER.format("risk_tier")}) AS place
 FROM snap JOIN late ON late.client_id = snap.client_id WHERE date_key = 200509 GROUP BY risk_tier""",
     "default_by_tier": f"""WITH {STAR} SELECT d.risk_tier, count(*) AS customers,
   count(*) FILTER (WHERE o.is_default) AS defaults
@@ -443,13 +447,16 @@ u AS (SELECT client_id, sum(bill) AS b, sum(limit_bal) AS l FROM cm GROUP BY 1),
 g AS (SELECT client_id, CASE WHEN l = 0 THEN '無額度' WHEN b * 10 >= l * 9 THEN '90%+'
   WHEN b * 10 >= l * 6 THEN '60-90%' WHEN b * 10 >= l * 3 THEN '30-60%'
   WHEN b * 10 >= l THEN '10-30%' ELSE '0-10%' END AS use_band FROM u)
-SELECT use_band, count(*) AS customers, {_ratio("count(*) FILTER (WHERE is_default)", "count(*)", 2, 100)} AS default_pct
+SELECT use_band, count(*) AS customers, {_ratio("count(*) FILTER (WHERE is_default)", "count(*)", 2, 100)} AS default_pct,
+  row_number() OVER (ORDER BY CASE use_band WHEN '0-10%' THEN 1 WHEN '10-30%' THEN 2 WHEN '30-60%' THEN 3
+    WHEN '60-90%' THEN 4 WHEN '90%+' THEN 5 ELSE 6 END) AS place
 FROM g JOIN late ON late.client_id = g.client_id GROUP BY use_band""",
     "delinquency_trend": f"""WITH {MONTHS}
 SELECT CAST(date_key AS BIGINT) AS date_key, count(*) AS accounts,
   count(*) FILTER (WHERE pay_code >= 1) AS late_accounts,
   {_ratio("count(*) FILTER (WHERE pay_code >= 1)", "count(*)", 2, 100)} AS late_pct,
-  {_ratio("sum(pay_code) FILTER (WHERE pay_code >= 1)", "nullif(count(*) FILTER (WHERE pay_code >= 1), 0)", 2)} AS mean_months_late
+  {_ratio("sum(pay_code) FILTER (WHERE pay_code >= 1)", "nullif(count(*) FILTER (WHERE pay_code >= 1), 0)", 2)} AS mean_months_late,
+  row_number() OVER (ORDER BY date_key) AS place
 FROM cm GROUP BY date_key""",
     "risk_tier_by_month": f"""WITH {STAR}{BY_MONTH}
 SELECT CAST(month_key AS BIGINT) AS month_key, CAST(month_key // 100 AS BIGINT) AS year_num,
@@ -489,4 +496,9 @@ UNION ALL SELECT 'dim_marriage', code, label, CASE WHEN documented THEN '是' EL
   (SELECT count(*) FROM dim d WHERE d.is_current AND d.marriage_key = mar.marriage_key) FROM mar""",
     "table_row_counts": f"WITH {STAR} {_table_counts()}",
     "data_dictionary": _dictionary(),
+    "batch_states": """SELECT 'order history' AS source_name, count(*) AS source_rows, 'SUCCEEDED' AS status,
+  CAST(NULL AS VARCHAR) AS message, CAST(1 AS BIGINT) AS is_finished FROM customer
+UNION ALL
+SELECT 'one row short', count(*) + 1, 'FAILED',
+  'ERROR rules failed: FACT_ROWCOUNT, OUTCOME_COVERAGE, STG_ROWCOUNT', 1 FROM customer""",
 }

@@ -95,7 +95,7 @@ def file_row_number(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/chronomart/csv/{new_batch_id()}"
     customers = star.table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     files.write_csv(customers.orderBy("c_custkey").select("c_acctbal"), path)
-    rows = spark.read.schema("c_acctbal double").option("header", True).csv(path)
+    rows = files.fixed_splits(spark, path).read.schema("c_acctbal double").option("header", True).csv(path)
     return files.number_file_rows(rows, "client_id")
 
 
@@ -261,7 +261,7 @@ def fact_statement_single_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_statement_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One month's statements, as the monthly load writes them."""
     _, dim, _ = _star(spark, sf_dir)
-    return facts.statements(_stored_staging(spark, sf_dir), dim, CALENDAR, CALENDAR.observed[1].key)
+    return facts.statements(_stored_staging(spark, sf_dir), dim, CALENDAR, [CALENDAR.observed[1].key])
 
 
 @registered
@@ -325,10 +325,8 @@ def overlap_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = star.warehouse(spark, sf_dir)
-    results = quality.run(
-        loaded.tables(), staging.HISTORY_BATCH, star.source_rows(spark, sf_dir), CALENDAR
-    )
-    return quality.report(results)
+    rows, observed = star.source_rows(spark, sf_dir), loaded.observed(staging.HISTORY_BATCH)
+    return quality.report(quality.run(loaded.tables(), staging.HISTORY_BATCH, rows, CALENDAR, observed))
 
 
 @registered
@@ -411,24 +409,24 @@ def distinct_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def tier_migration_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact, dim, _ = _star(spark, sf_dir)
-    return marts.tier_migration_pct(fact, dim)
+    return marts.with_places(marts.tier_migration_pct(fact, dim), "tier_migration_pct")
 
 
 @registered
 def default_rate_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, dim, outcome = _star(spark, sf_dir)
-    return marts.default_rate_by_tier(outcome, dim, LATEST)
+    return marts.with_places(marts.default_rate_by_tier(outcome, dim, LATEST), "default_rate_by_tier")
 
 
 @registered
 def default_rate_by_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact, _, outcome = _star(spark, sf_dir)
-    return marts.default_rate_by_band(fact, outcome)
+    return marts.with_places(marts.default_rate_by_band(fact, outcome), "default_rate_by_band")
 
 
 @registered
 def delinquency_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.delinquency_trend(_star(spark, sf_dir)[0])
+    return marts.with_places(marts.delinquency_trend(_star(spark, sf_dir)[0]), "delinquency_trend")
 
 
 @registered
@@ -494,11 +492,6 @@ def bi_default_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ── catalog ──────────────────────────────────────────────────────────────────
 
 
-def _all_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    loaded = star.audited(spark, sf_dir)
-    return loaded.tables() | {n: loaded.table(n) for n in ("quality_result", "load_batch")}
-
-
 @registered
 def code_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     fact, dim, _ = _star(spark, sf_dir)
@@ -507,9 +500,28 @@ def code_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse.table_row_counts(_all_tables(spark, sf_dir))
+    return star.audited(spark, sf_dir).row_counts()
 
 
 @registered
 def data_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warehouse.data_dictionary(_all_tables(spark, sf_dir))
+    return star.audited(spark, sf_dir).data_dictionary()
+
+
+@registered
+def batch_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final states of two batches, of which the second announces a row too many."""
+    wh, rows = star.fresh_warehouse(spark, sf_dir), star.source_rows(spark, sf_dir)
+    source = star.source(spark, sf_dir)
+    wh.full_refresh(source, staging.HISTORY_SOURCE, rows, staging.HISTORY_BATCH)
+    try:
+        wh.full_refresh(source, "one row short", rows + 1)
+    except quality.QualityGateError:
+        pass  # that is the state to be shown
+    return wh.batches().select(
+        "source_name",
+        "source_rows",
+        "status",
+        "message",
+        (F.col("finished_at") >= F.col("started_at")).alias("is_finished"),
+    )

@@ -8,8 +8,7 @@ from chronomart.sources import files
 
 
 def rows(folder: Path) -> list[dict]:
-    (part,) = folder.glob("part-*.csv")
-    with open(part, encoding="utf-8", newline="") as f:
+    with open(f"{folder}.csv", encoding="utf-8-sig", newline="") as f:
         return list(csv.DictReader(f))
 
 
@@ -20,9 +19,12 @@ def test_load_extract_and_dictionary(spark, tmp_path):
     assert main(["load", "--source", f"{tmp_path}/source", "--root", root, "--buckets", "2"]) == 0
     assert main(["extract", "--root", root, "--out", f"{tmp_path}/extract"]) == 0
     assert main(["dictionary", "--root", root, "--out", f"{tmp_path}/dictionary"]) == 0
-    assert {p.name for p in (tmp_path / "extract").iterdir()} == {
-        "risk_tier_by_month", "tier_migration", "default_by_tier", "version_counts", "quality_results",
+    assert {p.name for p in (tmp_path / "extract").iterdir() if p.suffix == ".csv"} == {
+        f"{n}.csv" for n in ("risk_tier_by_month", "tier_migration", "default_by_tier", "version_counts", "quality_results")
     }
+    months = [(r["month_key"], r["risk_tier"]) for r in rows(tmp_path / "extract" / "risk_tier_by_month")]
+    assert months == sorted(months, key=lambda r: (r[0], ["LOW", "MEDIUM", "HIGH"].index(r[1])))
+    assert rows(tmp_path / "dictionary" / "drift") == []
     assert rows(tmp_path / "extract" / "version_counts") == [{"versions": "3", "customers": "5"}]
     assert len(rows(tmp_path / "extract" / "quality_results")) == 12
     columns = rows(tmp_path / "dictionary" / "columns")

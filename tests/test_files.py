@@ -1,3 +1,4 @@
+import csv
 from datetime import date
 from decimal import Decimal
 
@@ -51,6 +52,86 @@ def test_numbers_survive_other_splits(spark, tmp_path):
     assert sorted((r.client_id, int(r.bill_amt1)) for r in got) == [(i + 1, i % 40 + 1) for i in range(2000)]
 
 
+def csv_of(tmp_path, n):
+    names = schemas.SOURCE.names[1:]
+    lines = [",".join(names)] + [",".join(str(c[n]) for n in names) for c in CLIENTS * (n // 40)]
+    (tmp_path / "one.csv").write_text("\n".join(lines) + "\n")
+    return str(tmp_path)
+
+
+def test_numbering_reads_the_files_and_copies_no_row(spark, tmp_path):
+    numbered = files.read_snapshot_csv(spark, csv_of(tmp_path, 400))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+    # Only block starts come from stored rows.
+    assert "bill_amt1" in plan and not [x for x in plan.splitlines() if "ExistingRDD" in x and "bill_amt1" in x]
+
+
+def test_other_splits_outside_a_fixed_session_are_an_error(spark, tmp_path):
+    path = csv_of(tmp_path, 2000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = spark.read.schema("limit_bal string").option("header", True).csv(path)
+        assert sorted(r.n for r in files.number_file_rows(rows, "n").collect()) == list(range(1, 2001))
+        numbered = files.number_file_rows(rows, "n")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")  # between counting and numbering
+        with pytest.raises(Exception, match="other splits"):
+            numbered.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_fixed_splits_bound_the_blocks(spark, tmp_path, monkeypatch):
+    path = csv_of(tmp_path, 2000)
+    monkeypatch.setattr(files, "BROADCAST_ROWS", 8)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        own = files.fixed_splits(spark, path)
+        assert own.conf.get("spark.sql.session.timeZone") == "UTC"
+        rows = own.read.schema("limit_bal string").option("header", True).csv(path)
+        assert rows.rdd.getNumPartitions() <= 8
+        assert sorted(r.n for r in files.number_file_rows(rows, "n").collect()) == list(range(1, 2001))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def python_csv(path, header, rows):
+    with open(path, "w", newline="", encoding="utf-8-sig") as f:
+        writer = csv.writer(f)
+        writer.writerow(header)
+        writer.writerows(rows)
+    return path.read_bytes()
+
+
+def test_single_file_equals_a_python_writer(spark, tmp_path):
+    rows = [
+        (3, "無額度", Decimal("1.50"), date(2005, 4, 1), True),
+        (1, 'a "quoted", field', Decimal("-0.01"), None, False),
+        (2, "line\nbreak\rand more", None, date(2005, 5, 1), None),
+        (5, "", Decimal("100.00"), date(2005, 6, 1), True),
+        (4, None, Decimal("0.00"), date(2005, 7, 1), True),
+        (6, " spaces , \t", Decimal("7.00"), date(2005, 8, 1), False),
+    ]
+    frame = spark.createDataFrame(rows, "`k,1` int, text string, amount decimal(18,2), day date, flag boolean").repartition(4)
+    files.write_single_csv(frame, f"{tmp_path}/out.csv", ["`k,1`"])
+    expected = python_csv(tmp_path / "python.csv", frame.columns, sorted(rows))
+    assert (tmp_path / "out.csv").read_bytes() == expected
+    files.write_single_csv(frame.limit(0), f"{tmp_path}/out.csv", ["`k,1`"])  # replaces it
+    assert (tmp_path / "out.csv").read_bytes() == python_csv(tmp_path / "python.csv", frame.columns, [])
+    one = spark.createDataFrame([("",), (None,), ("b",)], "only string")
+    files.write_single_csv(one, f"{tmp_path}/one.csv", [F.col("only").asc_nulls_first()])
+    assert (tmp_path / "one.csv").read_bytes() == python_csv(tmp_path / "python.csv", ["only"], [(None,), ("",), ("b",)])
+    assert not [p for p in tmp_path.iterdir() if "parts" in p.name]
+
+
+def test_single_file_keeps_the_order_of_many_parts(spark, tmp_path):
+    frame = spark.range(0, 5000, 1, 9).select((F.col("id") * 7919 % 5000).alias("v"))
+    files.write_single_csv(frame, f"{tmp_path}/out.csv", [F.desc("v")])
+    assert (tmp_path / "out.csv").read_bytes() == python_csv(tmp_path / "python.csv", ["v"], [(4999 - i,) for i in range(5000)])
+    with pytest.raises(TypeError, match="cast double"):
+        files.write_single_csv(frame.select(F.col("v").cast("double")), f"{tmp_path}/bad.csv", ["v"])
+
+
 def test_files_with_other_column_orders_are_refused(spark, tmp_path):
     names = schemas.SOURCE.names
     for part in range(2):

@@ -92,6 +92,23 @@ def test_wide_and_long_builds_agree(spark):
     assert month.exceptAll(joined.filter(F.col("date_key") == MONTHS[2])).count() == 0
 
 
+@pytest.mark.parametrize("first", [0, 1, 3, 5])
+def test_several_months_at_once_equal_one_after_the_other(spark, first):
+    """Changed, unchanged, new and absent clients, other ages, on a history of earlier months."""
+    rng = random.Random(first)
+    pick = lambda values: [rng.choice(values) for _ in range(6)]
+    old = [client(i, pays=pick([0, 1, 2]), bills=pick([0, 950]), age=rng.randint(25, 65)) for i in range(1, 61)]
+    new = [r | {"age": r["age"] + rng.choice([0, 5]), "limit_bal": r["limit_bal"] * rng.choice([1, 1, 2])} for r in old[10:]]
+    new += [client(i, pays=pick([0, 1, 2]), bills=pick([0, 950])) for i in range(61, 71)]
+    stg, months = staged(spark, new), MONTHS[first:]
+    dim = scd2.build_from_staging(staged(spark, old), CALENDAR)
+    before = scd2.rewind(dim, months[0], CALENDAR)
+    step = before
+    for m in months:
+        step = scd2.apply(step, reshape.snapshot(stg, CALENDAR, m), m, CALENDAR).checkpoint()
+    assert rows_of(scd2.extend(before, stg, months, CALENDAR)) == rows_of(step)
+
+
 def test_two_snapshots_of_one_month_are_an_error(spark):
     twice = random_history(5, clients=3, keep=1.0)
     twice.append(dict(twice[0]))

@@ -1,14 +1,19 @@
 import re
+import threading
+from concurrent.futures import ThreadPoolExecutor
+from datetime import timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from helpers import client, source
 from pyspark.sql import functions as F
 
+from chronomart import schemas
 from chronomart.functions.values import new_batch_id
 from chronomart.operators import audit, facts, joins, quality, scd2
 from chronomart.plans import marts, star, warehouse
-from chronomart.sources import seeds, staging
+from chronomart.sources import publish, seeds, shared_files, staging
 from chronomart.sources.storage import Layout
 
 SMALL = "/root/testdata/sf0.001"
@@ -108,13 +113,11 @@ def test_orphan_outcomes_close_the_gate(spark, monkeypatch):
 
 
 def version_folders(wh):
-    from pathlib import Path
-
     return {n: {p.name for p in Path(wh.layout.root.removeprefix("file:"), n).iterdir()} for n in warehouse.STORED}
 
 
 def test_versions_without_a_reader_are_removed(spark):
-    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 2), retention=timedelta(0))
     rows = [client(i, pays=(0, 0, 2, 2, 0, 0)) for i in range(1, 5)]
     wh.full_refresh(source(spark, rows), "good")
     kept = {n: {v.id} for n, v in wh.versions.items()}
@@ -136,6 +139,144 @@ def test_versions_without_a_reader_are_removed(spark):
     assert len(version_folders(wh)["credit_clients"]) == len(version_folders(wh)["fact_default_outcome"]) == 1
 
 
+def test_a_reader_of_the_previous_state_finishes(spark):
+    """Queries of a state that was opened before two refreshes still find their files."""
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    rows = [client(i, pays=(0, 0, 2, 2, 0, 0)) for i in range(1, 9)]
+    wh.full_refresh(source(spark, rows), "first")
+    reader = warehouse.Warehouse.open(spark.newSession(), wh.layout.root)
+    opened = reader.table("dim_customer").filter("is_current").select("client_id")  # planned, not yet read
+    wh.full_refresh(source(spark, rows[:4]), "second")
+    wh.monthly_refresh(source(spark, rows[:4]), "third", 200508)
+    assert opened.count() == 8
+    assert {n: len(x) for n, x in contents(reader).items()} == {
+        "dim_customer": 24, "fact_monthly_statement": 48, "fact_default_outcome": 8,
+    }
+    assert reader.batches().count() == 3  # logs are shared
+    assert contents(warehouse.Warehouse.open(spark, wh.layout.root)) == contents(wh)
+
+    # Once the stated time is over, the next load removes what only old states refer to.
+    wh.retention = timedelta(0)
+    wh.monthly_refresh(source(spark, rows[:4]), "fourth", 200508)
+    assert not version_folders(wh)["fact_default_outcome"] & {reader.versions["fact_default_outcome"].id}
+    assert publish.Records(spark, wh.layout.root).numbers() == [4]
+
+
+def test_of_two_writers_the_second_is_refused(spark, monkeypatch):
+    first = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    rows = [client(i) for i in range(1, 7)]
+    first.full_refresh(source(spark, rows), "start")
+    root = first.layout.root
+    one, two = (warehouse.Warehouse.open(s, root) for s in (spark, spark.newSession()))
+    met = threading.Barrier(2)
+    original = publish.Records.publish
+
+    def both_at_once(self, state):
+        met.wait(60)  # both have written and audited their tables from the same state
+        return original(self, state)
+
+    monkeypatch.setattr(publish.Records, "publish", both_at_once)
+    failures = {}
+
+    def run(wh, name, n):
+        try:
+            wh.full_refresh(source(wh.spark, rows[:n]), name, batch_id=name)
+        except publish.PublishConflict as error:
+            failures[name] = str(error)
+
+    threads = [threading.Thread(target=run, args=a) for a in ((one, "one", 4), (two, "two", 5))]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(failures) == 1
+    (loser,) = failures
+    winner = {"one": one, "two": two}[{"one": "two", "two": "one"}[loser]]
+    final = warehouse.Warehouse.open(spark, root)
+    assert final.versions == winner.versions and final.number == 2
+    assert len(contents(final)["fact_default_outcome"]) == (4 if loser == "two" else 5)
+    assert {r.load_batch_id: r.status for r in final.batches().filter("source_name <> 'start'").collect()} == {
+        loser: "FAILED", {"one": "two", "two": "one"}[loser]: "SUCCEEDED",
+    }
+    # The loser has to open the warehouse again; a batch from its old state ends before any work.
+    monkeypatch.undo()
+    late = {"one": one, "two": two}[loser]
+    with pytest.raises(publish.PublishConflict, match="open the warehouse again"):
+        late.full_refresh(source(late.spark, rows), "late")
+    again = warehouse.Warehouse.open(spark, root)
+    again.full_refresh(source(spark, rows), "again")
+    assert again.number == 3
+
+
+def test_a_record_is_created_once(spark, tmp_path):
+    files = shared_files.SharedFiles(spark)
+    path = f"{tmp_path}/records/000000000001.json"
+    won = []
+    threads = [threading.Thread(target=lambda i=i: won.append(files.create(path, f"writer {i}"))) for i in range(12)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert sorted(won) == [False] * 11 + [True]
+    assert files.read(path).startswith("writer ")
+    assert [e.name for e in files.entries(f"{tmp_path}/records") if not e.name.endswith(".crc")] == ["000000000001.json"]
+
+
+def test_only_slices_with_changed_clients_are_written(spark):
+    rows = [client(i, pays=(0, 0, 2, 2, 0, 0), bills=(100,) * 6) for i in range(1, 201)]
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 16))
+    wh.full_refresh(source(spark, rows), "start")
+    before, old = contents(wh), wh.versions["dim_customer"]
+
+    def load(name, some, first):
+        wh.stage(source(spark, some), name)
+        wh.load_months(name, first)
+
+    # Nothing changes: not a file is written, every partition is carried.
+    load("same", rows, 200508)
+    same = wh.versions["dim_customer"]
+    assert not list(Path(wh.layout.path("dim_customer", same).removeprefix("file:")).rglob("*.parquet"))
+    assert contents(wh)["dim_customer"] == before["dim_customer"] and same.rows == old.rows == 600
+
+    # Three clients get another tier in August: their slices are written, no others.
+    corrected = [r | {"pay_2": 2} if r["client_id"] <= 3 else r for r in rows]
+    load("late", corrected, 200508)
+    new = wh.versions["dim_customer"]
+    slices = {r[0] for r in spark.range(1, 4).select(wh.layout.slice_of("id")).collect()}
+    files = list(Path(wh.layout.path("dim_customer", new).removeprefix("file:")).rglob("*.parquet"))
+    assert {f.parent.name for f in files} == {f"client_slice={s}" for s in slices}
+    # One bucket to a slice; versions that are open, or that end in July or August.
+    assert len(files) <= len(slices) * 3
+    carried = [spec for spec in new.carried if "valid_to_date=200505" not in spec]  # ended too early to be affected
+    assert len({spec.rsplit("=")[-1] for spec in carried}) == 16 - len(slices)
+
+    # The same rows as a load of everything, and a Type 1 change alone is a change.
+    aged = [r | {"age": 60} if r["client_id"] == 9 else r for r in corrected]
+    load("aged", aged, 200509)
+    ages = wh.table("dim_customer").filter("client_id = 9 AND is_current").select("age", "age_band").collect()
+    assert [tuple(r) for r in ages] == [(60, "60+")]
+    fresh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    fresh.stage(source(spark, corrected), "fresh")
+    fresh.load_all("fresh")
+    drop_ages = lambda found: [r[:6] + r[8:] for r in found["dim_customer"]]
+    assert drop_ages(contents(wh)) == drop_ages(contents(fresh))
+    assert wh.versions["dim_customer"].rows == wh.table("dim_customer").count()
+
+
+def test_clients_that_come_and_go_change_their_slices(spark):
+    rows = [client(i, pays=(0, 0, 2, 2, 0, 0)) for i in range(1, 41)]
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 8))
+    wh.full_refresh(source(spark, rows[:30]), "start")
+    wh.stage(source(spark, rows[5:]), "others")  # five left, ten are new: the gate would count missing statements
+    wh.load_months("others", 200509)
+    dim = wh.table("dim_customer")
+    new = dim.filter("client_id > 30").collect()
+    assert len(new) == 10 and all((r.version_num, r.valid_from_date) == (1, 200509) for r in new)
+    gone = dim.filter("client_id <= 5 AND is_current").collect()
+    assert len(gone) == 5 and all(r.valid_from_date == 200508 for r in gone)
+    assert wh.counts() == {n: wh.table(n).count() for n in warehouse.STORED}
+
+
 def test_published_state_is_found_again(spark, loaded):
     again = warehouse.Warehouse.open(spark, loaded.layout.root)
     assert again.versions == loaded.versions and again.layout.buckets == 4
@@ -335,3 +476,135 @@ def test_hot_customer_is_reduced_before_the_shuffle(spark):
     # partial aggregation sits below the first exchange of the orders
     assert re.search(r"Exchange hashpartitioning[^\n]*\n[^\n]*HashAggregate\([^\n]*partial_sum", text)
     assert len(re.findall("Exchange hashpartitioning", text)) == 1  # customers meet them by broadcast here
+
+
+# ── counts taken on write ────────────────────────────────────────────────────
+
+
+def test_counts_of_a_batch_come_from_its_writes(spark, loaded, monthly):
+    for wh in (loaded, monthly):
+        assert wh.counts() == {n: wh.table(n).count() for n in warehouse.STORED}
+        assert warehouse.Warehouse.open(spark, wh.layout.root).counts() == wh.counts()
+        observed = wh.observed(staging.HISTORY_BATCH)
+        run = lambda **known: quality.run(wh.tables(), staging.HISTORY_BATCH, 150, wh.calendar, **known)
+        scanned, known = run(), run(observed=observed)
+        assert sorted(map(tuple, known.collect())) == sorted(map(tuple, scanned.collect()))
+        tables = {n: wh.layout.catalog_name(n, wh.versions[n]) for n in warehouse.STORED}
+        scans = lambda df, n: plan(df).count(f"{tables[n]}[")
+        assert scans(scanned, "credit_clients") and scans(scanned, "fact_default_outcome")
+        assert not scans(known, "credit_clients") and not scans(known, "fact_default_outcome")
+        counts = wh.row_counts()
+        assert not any(scans(counts, n) for n in warehouse.STORED)
+        assert {r.table_name: r.row_count for r in counts.collect()} == {
+            r.table_name: r.row_count
+            for r in warehouse.table_row_counts(wh.tables() | {n: wh.table(n) for n in ("quality_result", "load_batch")}).collect()
+        }
+
+
+def test_counts_of_another_batch_are_not_taken(loaded):
+    assert loaded.observed("another").staged is None
+    rows = quality.run(loaded.tables(), "another", 150, loaded.calendar, loaded.observed("another")).collect()
+    assert {r.rule_id: r.rows_failed for r in rows}[1] == 150
+
+
+def test_source_is_counted_on_its_way_into_staging(spark):
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    wh.full_refresh(source(spark, [client(i) for i in range(1, 6)]), "counted")
+    (batch,) = wh.batches().collect()
+    assert (batch.status, batch.source_rows) == ("SUCCEEDED", 5)
+
+
+def test_null_in_a_required_column_ends_the_write(spark):
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    with pytest.raises(Exception, match="age must not be null"):
+        wh.full_refresh(source(spark, [client(1, age=None)]), "null", batch_id="null")
+    assert [r.status for r in wh.batches().collect()] == ["FAILED"]
+
+
+# ── batch log ────────────────────────────────────────────────────────────────
+
+
+def test_a_hundred_batches_are_folded(spark):
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 1))
+    rows = source(spark, [client(1)])
+    wh.full_refresh(rows, "first", batch_id="batch")
+
+    def run(i):
+        wh.log_batch(f"b{i}", f"source {i}", i, "RUNNING")
+        wh.log_batch(f"b{i}", f"source {i}", i, "FAILED" if i % 3 else "SUCCEEDED", "no" if i % 3 else None)
+
+    with ThreadPoolExecutor(8) as pool:  # writers do not disturb each other
+        list(pool.map(run, range(100)))
+    wanted = {(f"b{i}", i, "FAILED" if i % 3 else "SUCCEEDED") for i in range(100)} | {("batch", 1, "SUCCEEDED")}
+    states = lambda w: {(r.load_batch_id, r.source_rows, r.status) for r in w.batches().collect()}
+    assert states(wh) == wanted
+    assert len(wh.layout.log_files(spark, "load_batch")) == 202
+    reader = warehouse.Warehouse.open(spark, wh.layout.root)
+    wh.publish()
+    assert states(wh) == wanted and states(reader) == wanted
+    assert wh.state.folded and len(wh.state.covered) == 202
+    wh.publish()  # a publish later the folded files are gone
+    assert wh.layout.log_files(spark, "load_batch") == []
+    assert states(warehouse.Warehouse.open(spark, wh.layout.root)) == wanted
+    wh.full_refresh(rows, "last", batch_id="last")
+    assert states(warehouse.Warehouse.open(spark, wh.layout.root)) == wanted | {("last", 1, "SUCCEEDED")}
+
+
+# ── catalog ──────────────────────────────────────────────────────────────────
+
+
+def test_dictionary_shows_what_is_stored(spark):
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 2))
+    wh.full_refresh(source(spark, [client(i) for i in range(1, 5)]), "start")
+    found = wh.schemas()
+    assert {n: [(f.name, f.dataType, f.nullable) for f in s] for n, s in found.items()} == {
+        n: [(f.name, f.dataType, f.nullable) for f in t.schema] for n, t in schemas.TABLES.items()
+    }
+    assert wh.drift().count() == 0
+
+    # Someone writes the outcomes anew: one column of another type, one nullable, one missing, one more.
+    path = wh.layout.path("fact_default_outcome", wh.versions["fact_default_outcome"])
+    rows = wh.table("fact_default_outcome").collect()
+    odd = spark.createDataFrame(
+        [(r.outcome_sk, r.customer_sk, str(r.date_key), r.client_id, r.is_default, "x") for r in rows],
+        "outcome_sk long not null, customer_sk long, date_key string not null, client_id long not null, "
+        "is_default boolean not null, colour string",
+    )
+    odd.write.mode("overwrite").parquet(path)
+    assert [tuple(r) for r in wh.drift().orderBy("column_name").collect()] == [
+        ("dw.fact_default_outcome", "colour", None, "string"),
+        ("dw.fact_default_outcome", "customer_sk", "bigint not null", "bigint"),
+        ("dw.fact_default_outcome", "date_key", "int not null", "string not null"),
+        ("dw.fact_default_outcome", "load_batch_id", "string not null", None),
+    ]
+    shown = {r.column_name: (r.data_type, r.nullable, r.key_role) for r in wh.data_dictionary().filter(
+        "table_name = 'dw.fact_default_outcome'").collect()}
+    assert shown["date_key"] == ("string", "否", "FK") and shown["customer_sk"] == ("bigint", "是", "FK")
+    assert "colour" in shown and "load_batch_id" not in shown
+
+
+def test_months_written_in_different_types_are_reported(spark):
+    wh = warehouse.Warehouse(spark, Layout.fresh(spark, 1))
+    rows = [client(i) for i in range(1, 4)]
+    wh.full_refresh(source(spark, rows), "start")
+    wh.monthly_refresh(source(spark, rows), "again", 200509)
+    version = wh.versions["fact_monthly_statement"]
+    month = f"{wh.layout.path('fact_monthly_statement', version)}/date_key=200509"
+    spark.read.parquet(month).withColumn("bill_amount", F.col("bill_amount").cast("double")).checkpoint().write.mode(
+        "overwrite").parquet(month)
+    (row,) = wh.drift().filter("column_name = 'bill_amount'").collect()
+    assert (row.declared, row.stored) == ("decimal(18,2) not null", "decimal(18,2) / double")
+
+
+def test_reports_number_their_own_order(loaded):
+    fact, dim, outcome = (loaded.table(n) for n in ("fact_monthly_statement", "dim_customer", "fact_default_outcome"))
+    reports = {
+        "tier_migration_pct": marts.tier_migration_pct(fact, dim),
+        "default_rate_by_tier": marts.default_rate_by_tier(outcome, dim, 200509),
+        "default_rate_by_band": marts.default_rate_by_band(fact, outcome),
+        "delinquency_trend": marts.delinquency_trend(fact),
+    }
+    for name, report in reports.items():
+        placed = marts.with_places(report, name).orderBy("place").collect()
+        assert [r.place for r in placed] == list(range(1, len(placed) + 1))
+        assert [tuple(r)[:-1] for r in placed] == [tuple(r) for r in report.collect()]
