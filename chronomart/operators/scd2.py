@@ -256,13 +256,15 @@ def extend(
     months: Sequence[int],
     calendar: Calendar,
     type1: Sequence[str] = reshape.TYPE1,
+    only_open: bool = False,
 ) -> DataFrame:
     """The dimension after several consecutive months of the wide snapshot, in one pass.
 
     The same as :func:`apply` for one month after the other.  ``dim`` is the
     dimension before the first of them (see :func:`rewind`).  All months of a
     client sit in one row next to its current version, so versions are found
-    inside that row; tables bucketed by client are not exchanged.
+    inside that row; tables bucketed by client are not exchanged.  ``only_open``
+    says that ``dim`` holds current versions alone, so that it is read once.
     """
     columns = [n for n in DIM_CUSTOMER.names if n in dim.columns]
     at = [calendar.observed_month(m) for m in months]
@@ -270,8 +272,12 @@ def extend(
     wide = reshape.resolve_codes(stg).withColumn("age_band", classify.age_band("age"))
     tiers = {f"_t{i}": F.expr(_month_columns(m)["risk_tier"]) for i, m in enumerate(at)}
     wide = wide.select(*reshape.SNAPSHOT_KEYS, "age_band", *[t.alias(n) for n, t in tiers.items()])
-    last = dim.groupBy("client_id").agg(F.max("version_num").alias("_last"))
-    c, s = joins.current_versions(dim).alias("c"), wide.join(last, "client_id", "left").alias("s")
+    if only_open:
+        c, s, last_version = dim.alias("c"), wide.alias("s"), F.col("c.version_num")
+    else:
+        last = dim.groupBy("client_id").agg(F.max("version_num").alias("_last"))
+        c, s = joins.current_versions(dim).alias("c"), wide.join(last, "client_id", "left").alias("s")
+        last_version = F.col("s._last")
     known, seen = F.col("c.client_id").isNotNull(), F.col("s.client_id").isNotNull()
 
     def hashed(i: int) -> Column:
@@ -297,7 +303,7 @@ def extend(
         kept[n] = F.when(seen & ~F.col("_o0"), F.col(f"s.{n}")).otherwise(F.col(f"c.{n}"))
 
     rows = [F.when(known, typed(kept))]
-    version = F.coalesce(F.col("s._last"), F.lit(0))
+    version = F.coalesce(last_version, F.lit(0))
     for i, m in enumerate(at):
         version = version + F.col(f"_o{i}").cast("int")
         opened = {n: F.col(f"s.{n}") for n in columns if n in wide.columns}
@@ -311,8 +317,8 @@ def extend(
             "created_at": utc_now(),
         }
         rows.append(F.when(F.col(f"_o{i}"), typed(opened)))
-    closed = dim.filter(~F.col("is_current")).select(*columns)
-    return closed.unionByName(met.select(F.inline(F.array_compact(F.array(*rows)))))
+    found = met.select(F.inline(F.array_compact(F.array(*rows))))
+    return found if only_open else dim.filter(~F.col("is_current")).select(*columns).unionByName(found)
 
 
 def rewind(

@@ -166,10 +166,13 @@ class Warehouse:
         first = months[0] if first is None else self.calendar.observed_month(first).key
         months = months[months.index(first) :]
         stg = staging.batch(self.table("credit_clients"), batch_id)
-        for span in [[m] for m in months] if one_by_one else [months]:
+        spans = [[m] for m in months] if one_by_one else [months]
+        for span in spans[:-1]:
             self._load_dimension(stg, span)
             self._load_statements(stg, span)
-        self.load_outcomes(batch_id)
+        self._load_dimension(stg, spans[-1])
+        # Statements and outcomes follow the dimension, but not each other.
+        _together(lambda: self._load_statements(stg, spans[-1]), lambda: self.load_outcomes(batch_id))
 
     def _load_dimension(self, stg: DataFrame, span: list[int]) -> None:
         """Rewrite the slices in which a client's versions change; carry all others.
@@ -185,22 +188,24 @@ class Warehouse:
             self._store(scd2.stamped(scd2.extend(nothing, stg, span, self.calendar)), "dim_customer")
             return
 
-        def affected(slices: list[int] | None = None) -> DataFrame:
-            dim = self.layout.read(self.spark, "dim_customer", base, slices)
-            return dim.filter(F.col("valid_to_date") >= previous)
-
         def after(slices: list[int] | None = None) -> DataFrame:
-            before = scd2.rewind(affected(slices), span[0], self.calendar)
+            dim = self.layout.read(self.spark, "dim_customer", base, slices)
+            # Wound back, all of these versions are open.
+            before = scd2.rewind(dim.filter(F.col("valid_to_date") >= previous), span[0], self.calendar)
             rows = stg if slices is None else stg.filter(self.layout.slice_of().isin(slices))
-            return scd2.extend(before, rows, span, self.calendar)
-
-        changed, replaced = self._changed_slices(affected(), after())
-        everything = len(changed) == self.layout.slices
+            return scd2.extend(before, rows, span, self.calendar, only_open=True)
+
+        old, new = self.table("dim_customer").filter(F.col("valid_to_date") >= previous), after()
+        changed, replaced = self._changed_slices(old, new)
+        if not changed:
+            rows = None
+        else:
+            rows = new if len(changed) == self.layout.slices else after(changed)
         version = self.layout.write_changes(
-            after(None if everything else changed) if changed else None,
+            rows,
             "dim_customer",
             base,
-            carry=lambda part: int(part["valid_to_date"]) < previous or int(part["client_slice"]) not in changed,
+            carry=lambda part: int(part["valid_to_date"]) < previous or int(part[SLICE]) not in changed,
             replaced=replaced,
             spark=self.spark,
         )
@@ -209,24 +214,34 @@ class Warehouse:
     def _changed_slices(self, old: DataFrame, new: DataFrame) -> tuple[list[int], int]:
         """The slices whose versions differ, and the rows that they hold in ``old``.
 
-        A digest is a count and two sums over hashes of whole rows, whatever their
-        order.  The time stamp of a row is left out: it changes nothing by itself.
+        A slice's digest is a count and two sums over hashes of whole rows,
+        whatever their order; ``old`` counts against ``new``, so equal slices come
+        to nothing.  The time stamp of a row is left out: it changes nothing by itself.
         """
-
-        def digests(df: DataFrame, side: str) -> DataFrame:
-            row = [F.col(c) for c in scd2.DIM_COLUMNS]
-            return df.groupBy(self.layout.slice_of().alias("slice")).agg(
-                F.count(F.lit(1)).alias(f"{side}_rows"),
-                F.sum(F.xxhash64(*row).cast("decimal(20,0)")).alias(f"{side}_sum"),
-                F.bit_xor(F.xxhash64(F.lit("xor"), *row)).alias(f"{side}_xor"),
+        row = [F.col(c) for c in scd2.DIM_COLUMNS]
+
+        def hashes(df: DataFrame, sign: int) -> DataFrame:
+            return df.select(
+                self.layout.slice_of().alias("slice"),
+                F.lit(sign).alias("sign"),
+                F.xxhash64(*row).alias("hash"),
+                F.xxhash64(F.lit("xor"), *row).alias("other"),
             )
 
-        both = digests(old, "old").join(digests(new, "new"), "slice", "full_outer")
-        same = F.lit(True)
-        for part in ("rows", "sum", "xor"):
-            same &= F.col(f"old_{part}").eqNullSafe(F.col(f"new_{part}"))
-        found = both.filter(~same).select("slice", "old_rows").collect()  # one row for each slice at most
-        return sorted(r["slice"] for r in found), sum(r["old_rows"] or 0 for r in found)
+        found = (
+            hashes(old, -1)
+            .unionByName(hashes(new, 1))
+            .groupBy("slice")
+            .agg(
+                F.count_if(F.col("sign") < 0).alias("old_rows"),
+                F.sum("sign").alias("more"),
+                F.sum(F.col("sign") * F.col("hash").cast("decimal(20,0)")).alias("sum"),
+                F.bit_xor("other").alias("xor"),
+            )
+            .filter("more <> 0 OR sum <> 0 OR xor <> 0")
+            .collect()  # one row for each slice at most
+        )
+        return sorted(r["slice"] for r in found), sum(r["old_rows"] for r in found)
 
     def _load_statements(self, stg: DataFrame, span: list[int]) -> None:
         """The statements of the months in ``span``; those of other months are carried."""
