@@ -83,6 +83,10 @@ def draw(doc_id: Column) -> Column:
     return F.md5(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary"))
 
 
+#: What ``mix`` adds to a row.
+COLUMNS = ("size", "source_size", "target", "rate", "copies")
+
+
 def mix(df: DataFrame, size: Column, source: str = "source", doc_id: str = "doc_id") -> DataFrame:
     """``df`` with size, source_size, target, rate and copies of each row.
 
@@ -91,8 +95,7 @@ def mix(df: DataFrame, size: Column, source: str = "source", doc_id: str = "doc_
     larger number of copies makes no difference.  An empty table stays empty.
     Columns of ``df`` with those names are replaced.
     """
-    own = ["size", "source_size", "target", "rate", "copies"]
-    df = df.drop(*[c for c in own if c not in (source, doc_id)])
+    df = df.drop(*[c for c in COLUMNS if c not in (source, doc_id)])
     key, place, bucket, rank, first, total, salt = fresh(df, "key", "place", "bucket", "rank", "first", "total", "salt")
     # A null source must meet itself in joins: a prefix tells it from any text.
     rows = (

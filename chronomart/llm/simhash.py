@@ -256,7 +256,11 @@ def near_duplicates(df: DataFrame, bits: int = MOST_BITS, doc_id: str = "doc_id"
 
 
 def keep_one(df: DataFrame, bits: int = MOST_BITS) -> DataFrame:
-    """One row of each component: the first by doc_id (null ids last), then by a hash of its text, once if it is repeated."""
+    """One row of each component: the first by doc_id (null ids last), then by a hash of its text, once if it is repeated.
+
+    Of rows with equal id and text the one with the least hash over its columns
+    stays; columns that hold maps, which have no order, are left out of that hash.
+    """
     key, a, b, place = fresh(df, "key", "a", "b", "place")
     # A row is known by its id (a prefix tells null from any text) and 128 bits of its text.
     body = F.col("text").cast("string")
@@ -268,7 +272,8 @@ def keep_one(df: DataFrame, bits: int = MOST_BITS) -> DataFrame:
     kept = narrow.join(grouped(narrow, bits), "fingerprint").groupBy("root").agg(first)
     kept = kept.select(F.col("first.key").alias(key), F.col("first.a").alias(a), F.col("first.b").alias(b))
     # Join and window share their keys, so texts are exchanged once.
-    once = Window.partitionBy(key, a, b).orderBy(F.xxhash64(*df.columns))
+    hashed = [f"`{f.name}`" for f in df.schema if "map<" not in f.dataType.simpleString()]
+    once = Window.partitionBy(key, a, b).orderBy(F.xxhash64(*hashed))
     return (
         rows.join(kept, [key, a, b], "left_semi")
         .withColumn(place, F.row_number().over(once))

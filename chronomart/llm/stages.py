@@ -37,10 +37,17 @@ def pseudonymize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated so that their sources have the wanted shares of words."""
-    (words,) = fresh(docs, "words")
-    counted = docs.withColumn(words, word_count(F.col("text")))
-    return mixing.repeat(mixing.mix(counted, F.col(words)), docs.columns)
+    """Documents repeated so that their sources have the wanted shares of words.
+
+    Columns of the documents that are named like the mixer's keep their values.
+    """
+    clashing = [c for c in docs.columns if c.lower() in mixing.COLUMNS]
+    aside = dict(zip(clashing, fresh(docs, *(f"own_{c}" for c in clashing)), strict=True))
+    kept = docs.withColumnsRenamed(aside)
+    (words,) = fresh(kept, "words")
+    counted = kept.withColumn(words, word_count(F.col("text")))
+    mixed = mixing.repeat(mixing.mix(counted, F.col(words)), kept.columns)
+    return mixed.withColumnsRenamed({new: old for old, new in aside.items()})
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

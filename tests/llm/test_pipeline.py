@@ -61,3 +61,17 @@ def test_stages_keep_other_columns_and_take_empty_tables(spark):
         assert stage(spark, docs, FOLDER).columns == docs.columns
         assert stage(spark, docs.limit(0), FOLDER).count() == 0
     assert stages.pseudonymize(spark, docs, FOLDER).filter("text like '%example%'").count() == 0
+
+
+def test_values_of_clashing_columns_and_maps_survive(spark):
+    """Columns named like the mixer's, in any case, and columns of maps."""
+    own = {"size": 7, "source_size": 8, "target": 0.5, "rate": "r", "Copies": [1, 2]}
+    docs = documents(spark, ["a b c", "d e f g", "h"], lambda i: "s").withColumns(
+        {name: F.lit(value) for name, value in own.items()} | {"tags": F.create_map(F.lit("k"), F.col("doc_id")), "own_size": F.lit("o")}
+    )
+    for _, stage in corpus_pipeline.STAGES[1:-1]:
+        rows = stage(spark, docs, FOLDER).collect()
+        assert rows
+        for r in rows:
+            assert {name: r[name] for name in own} == own
+            assert r["tags"] == {"k": r["doc_id"]} and r["own_size"] == "o"
