@@ -247,7 +247,7 @@ def lay_out(docs: DataFrame, old: Column, row: str) -> str:
     """
     to = f"{shared_folder(docs.sparkSession)}/shards-{uuid.uuid4().hex}"
     rows = docs.withColumns({"old_shard": old.cast("int"), row: F.monotonically_increasing_id()}).drop("shard", "slot")
-    rows.withColumnRenamed("old_shard", "shard").write.partitionBy("shard").parquet(to)
+    rows.withColumnRenamed("old_shard", "shard").write.option("compression", "zstd").partitionBy("shard").parquet(to)
     return to
 
 
@@ -304,5 +304,5 @@ def rewrite(
         rows = affected.withColumn(nth, F.row_number().over(Window.partitionBy(doc_id).orderBy(shard)))
         same = F.col(doc_id).eqNullSafe(F.col(t_id)) & (F.col(nth) == F.col(t_nth))
         rows = rows.join(target, same).drop(t_id, t_nth, nth)
-    rows.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(to)
+    rows.sortWithinPartitions("shard", "slot").write.option("compression", "zstd").partitionBy("shard").parquet(to)
     return {j: f"{to}/shard={j}" if j in changed else folders[j] for j in sorted(new)}
