@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from chronomart.llm.common import fresh
 
 ROUNDS = 5  # of two half rounds each
+LONG = 64  # characters
 #: Days from 1900-01-01 to 2099-12-31 are permuted among themselves.
 FIRST_DAY = "1900-01-01"
 DAYS = 73_049
@@ -32,7 +33,16 @@ SSN_AREAS, SSN_GROUPS, SSN_SERIALS = 898, 99, 9999
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _YEAR, _MONTH, _DAY = r"(?:19|20)\d\d", r"(?:0[1-9]|1[0-2])", r"(?:0[1-9]|[12]\d|3[01])"
 _M, _D = r"(?:0?[1-9]|1[0-2])", r"(?:0?[1-9]|[12]\d|3[01])"
-_SECRET = r"(?i:token|password|passwd|secret|api_?key)\s{0,4}[=:]\s{0,4}[\"']?"
+_QUOTE = r"(?:\\?[\"'])?"  # JSON within JSON escapes its quotes
+_SECRET = (
+    r"(?i:token|password|passwd|pwd|secret(?:[_-]?(?:access[_-]?)?key)?|(?:api|access|private|auth)[_-]?key)"
+    rf"{_QUOTE}\s{{0,4}}[=:]\s{{0,4}}{_QUOTE}"
+)
+_BEARER = r"(?i:bearer)\s{1,4}"
+_BASE64 = r"[0-9A-Za-z+/_~=-]++"
+#: Beginnings of keys that stay as they are; words joined by dashes have no digit.
+_ISSUER = r"(?:AKIA|ASIA|gh[pousr]_|github_pat_|sk-|xox[abprs]-|AIza|eyJ)"
+_URL64 = r"[A-Za-z0-9_-]"
 #: Lengths of IBANs by country; a spaced one ends there, and letters may follow.
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
@@ -46,19 +56,26 @@ _SPACED = "|".join(
 )
 #: Candidates in the order in which they are tried at a place of the text.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[A-Za-z0-9-]{1,63}+\.){1,32}+[A-Za-z]{2,24}(?![A-Za-z0-9])",
-    "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])",
-    "secret": rf"(?<![A-Za-z]){_SECRET}[0-9A-Za-z+/_-]{{8,}}+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++(?:'[\p{L}\p{N}._%+-]++){0,3}+@(?:[A-Za-z0-9-]{1,63}+\.){1,32}+[A-Za-z]{2,24}(?![A-Za-z0-9])",
+    "key": r"(?<![A-Za-z0-9])(?=[Agsxe])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|github_pat_[0-9A-Za-z_]{22,255}+"
+    rf"|sk-(?=[A-Za-z_-]{{0,64}}\d){_URL64}{{20,255}}+|xox[abprs]-(?=[A-Za-z-]{{0,64}}\d)[0-9A-Za-z-]{{10,255}}+|AIza{_URL64}{{35}}"
+    rf"|eyJ{_URL64}{{8,}}+\.{_URL64}{{8,}}+\.{_URL64}{{8,}}+)(?![A-Za-z0-9])",
+    "secret": rf"(?<![A-Za-z])(?=[tpsabTPSAB])(?:{_SECRET}[0-9A-Za-z+/_-]{{8,}}+"
+    rf"|{_BEARER}(?=[0-9A-Za-z+/_.~=-]{{16}})(?=[A-Za-z+/_.~-]{{0,64}}\d){_BASE64}(?:\.{_BASE64})*+)",
     "ip": rf"(?<![\d.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\d|\.\d)",
     "date": rf"(?<!\d){_YEAR}-{_MONTH}-{_DAY}(?!\d)|(?<!\d){_DAY}(?<dot>[./]){_MONTH}\k<dot>{_YEAR}(?!\d)"
-    rf"|(?<![\d./])(?:{_D}(?<short>[./]){_M}\k<short>|{_M}/{_D}/){_YEAR}(?!\d|[./]\d)|(?<![\d-]){_YEAR}-{_M}-{_D}(?![\d-])",
-    "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])",
+    rf"|(?<![\d./])(?:{_D}(?<short>[./]){_M}\k<short>|{_M}/{_D}/){_YEAR}(?!\d|[./]\d)|(?<![\d-]){_YEAR}-{_M}-{_D}(?![\d-])"
+    rf"|(?<![\d-])(?:{_D}-{_M}|{_M}-{_D})-{_YEAR}(?![\d-])",
+    "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])"
+    r"|(?<![\d-])(?<!\d )(?!000|666|9)\d{3} (?!00)\d\d (?!0000)\d{4}(?![\d-]| \d)",
     "phone": r"\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}(?!\d)"
     r"|\+\d{1,3}[ .-]?(?:\(\d\) ?)?\d(?:[ .-]\d{2,4}){2,4}(?!\d)"
+    r"|\+\d{1,3}[ .-]?\(0\) ?\d{1,5}(?:[ .-]?\d{2,8}){1,3}(?!\d)"
     r"|(?<![\d.-])1(?<long>[ .-])\d{3}\k<long>\d{3}\k<long>\d{4}(?![\d-])"
     r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}(?<mark>[.-])\d{3}\k<mark>\d{4}(?![\d-])",
-    "iban": rf"(?<![A-Za-z0-9])(?:{_SPACED}|[A-Z]{{2}}\d\d(?:[A-Z0-9]{{11,30}}+|(?: \d{{4}}){{3,7}}+(?: \d{{1,3}})?))(?![A-Za-z0-9])",
-    "card": r"(?<![\d-])(?:\d{13,19}|\d{4}(?<four>[ -])\d{4}\k<four>\d{4}\k<four>\d{1,7}|\d{4}(?<six>[ -])\d{6}\k<six>\d{5})(?!\d)",
+    "iban": r"(?<![A-Za-z0-9])(?=[A-Z]{2}\d\d|[a-z]{2}\d\d)"
+    rf"(?:{_SPACED}|[A-Z]{{2}}\d\d(?:[A-Z0-9]{{11,30}}+|(?: \d{{4}}){{3,7}}+(?: \d{{1,3}})?)|[a-z]{{2}}\d\d[a-z0-9]{{11,30}}+)(?![A-Za-z0-9])",
+    "card": r"(?<![\d-])(?:\d{13,19}|\d{4}(?<four>[ .-])\d{4}\k<four>\d{4}\k<four>\d{1,7}|\d{4}(?<six>[ -])\d{6}\k<six>\d{5})(?!\d)",
 }
 _LETTERS, _NUMBERS = ("email", "key", "secret", "iban"), ("ip", "date", "ssn", "phone", "card")
 #: All of them; inside a word two tests are enough to go on.
@@ -75,9 +92,9 @@ def let(value: Column, use) -> Column:  # noqa: ANN001
 # Permutations ---------------------------------------------------------------------------------------
 
 
-def keyed(key: str, kind: str, step: Column, value: Column) -> Column:
+def keyed(key: str, kind: str | Column, step: Column, value: Column) -> Column:
     """A keyed hash as a number below 2**60."""
-    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), step.cast("string"), value.cast("string")).cast("binary"), 256)
+    digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind) if isinstance(kind, str) else kind, step.cast("string"), value.cast("string")).cast("binary"), 256)
     return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
@@ -147,17 +164,17 @@ def foreign_letter(c: Column, moved: Column) -> Column:
     return F.when(c.rlike(r"^[\p{L}&&[^A-Za-z]]$"), F.coalesce(new, latin))
 
 
-def permute_letters(value: Column, key: str, kind: str, hexadecimal: bool = False) -> Column:
+def permute_letters(value: Column, key: str, kind: str | Column, hexadecimal: Column | None = None) -> Column:
     """A string whose digits and letters change within their alphabets; the rest stays.
 
-    With ``hexadecimal``, letters of a value that has none beyond f (in one case)
+    Where ``hexadecimal`` holds, letters of a value that has none beyond f (in one case)
     stay within a to f.  Two values can only meet there: one with and one without
     a letter beyond f.
     """
     small, large = F.lit("abcdefghijklmnopqrstuvwxyz"), F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-    if hexadecimal:
-        small = F.when(value.rlike("^[0-9a-f]+$"), "abcdef").otherwise(small)
-        large = F.when(value.rlike("^[0-9A-F]+$"), "ABCDEF").otherwise(large)
+    if hexadecimal is not None:
+        small = F.when(hexadecimal & value.rlike("^[0-9a-f]+$"), "abcdef").otherwise(small)
+        large = F.when(hexadecimal & value.rlike("^[0-9A-F]+$"), "ABCDEF").otherwise(large)
 
     def alphabet(c: Column) -> Column:
         own = F.when(c.rlike("^[0-9]$"), "0123456789")
@@ -172,6 +189,10 @@ def permute_letters(value: Column, key: str, kind: str, hexadecimal: bool = Fals
 
         return F.array_join(F.transform(F.split(part, ""), char), "")
 
+    def brief(other: Column) -> Column:
+        """Every character hashes the other half; of a long one a digest, else time grows with the square."""
+        return F.when(F.length(other) > LONG, F.sha2(other.cast("binary"), 256)).otherwise(other)
+
     head = F.floor(F.length(value) / 2).cast("int")
     start = F.struct(
         F.substring(value, F.lit(1), head).alias("left"),
@@ -180,8 +201,8 @@ def permute_letters(value: Column, key: str, kind: str, hexadecimal: bool = Fals
 
     def one(state: Column, i: Column) -> Column:
         return let(
-            F.struct(add(state.left, state.right, 2 * i).alias("left"), state.right.alias("right")),
-            lambda s: F.struct(s.left.alias("left"), add(s.right, s.left, 2 * i + 1).alias("right")),
+            F.struct(let(brief(state.right), lambda o: add(state.left, o, 2 * i)).alias("left"), state.right.alias("right")),
+            lambda s: F.struct(s.left.alias("left"), let(brief(s.left), lambda o: add(s.right, o, 2 * i + 1)).alias("right")),
         )
 
     return let(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, one), lambda s: F.concat(s.left, s.right))
@@ -237,7 +258,8 @@ def ssn(value: Column, key: str) -> Column:
 
     def new(s: Column) -> Column:
         a = F.floor(s.left / SSN_GROUPS) + 1
-        return F.concat_ws("-", pad(a + (a >= 666).cast("long"), 3), pad(s.left % SSN_GROUPS + 1, 2), pad(s.right + 1, 4))
+        mark = F.substring(value, 4, 1)
+        return F.concat(pad(a + (a >= 666).cast("long"), 3), mark, pad(s.left % SSN_GROUPS + 1, 2), mark, pad(s.right + 1, 4))
 
     return let(feistel(left, serial - 1, lefts, F.lit(SSN_SERIALS).cast("long"), key, "ssn"), new)
 
@@ -251,8 +273,9 @@ def ip(value: Column, key: str) -> Column:
 
 
 def date(value: Column, key: str) -> Column:
-    """Another day in the same form; with slashes the day comes first where that is a date."""
-    forms = [("-", 0, 1, 2, "yyyy-MM-dd"), (".", 2, 1, 0, "dd.MM.yyyy"), ("/", 2, 1, 0, "dd/MM/yyyy"), ("/", 2, 0, 1, "MM/dd/yyyy")]
+    """Another day in the same form; where the year is last the day comes first if that is a date."""
+    forms = [("-", 0, 1, 2, "yyyy-MM-dd"), ("-", 2, 1, 0, "dd-MM-yyyy"), ("-", 2, 0, 1, "MM-dd-yyyy"), ("/", 2, 1, 0, "dd/MM/yyyy")]
+    forms += [("/", 2, 0, 1, "MM/dd/yyyy"), (".", 2, 1, 0, "dd.MM.yyyy")]
     short = value.rlike(r"(?<!\d)\d(?!\d)")
     parts = F.split(value, "[-./]")
     result = F.lit(None).cast("string")
@@ -270,8 +293,8 @@ def date(value: Column, key: str) -> Column:
 
 
 def phone(value: Column, key: str) -> Column:
-    """The country code stays; the other digits are permuted."""
-    code = F.regexp_extract(value, r"^(\+\d{1,3}(?=[ .(-])|1(?=[ .-])|\+?)", 1)
+    """The country code stays, and a zero in brackets behind it; the other digits are permuted."""
+    code = F.regexp_extract(value, r"^(\+\d{1,3}(?=[ .(-])(?:[ .-]?\(0\))?|1(?=[ .-])|\+?)", 1)
     rest = F.substring(value, F.length(code) + 1, F.length(value))
     return F.concat(code, fill(rest, permute_digits(digits_of(rest), key, "phone")))
 
@@ -285,6 +308,8 @@ def mod97(value: Column) -> Column:
 
 
 def iban(value: Column, key: str) -> Column:
+    """In small letters it is the same number, and gets the same pseudonym."""
+
     def new(plain: Column) -> Column:
         country, check, body = F.substring(plain, 1, 2), F.substring(plain, 3, 2), F.substring(plain, F.lit(5), F.length(plain))
         valid = mod97(F.concat(body, country, check)) == 1
@@ -292,9 +317,10 @@ def iban(value: Column, key: str) -> Column:
             country, F.lpad((98 - mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b))
         # Spaces are only found between groups of four.
         spaced = F.rtrim(F.regexp_replace(made, "(.{4})", "$1 "))
-        return F.when(valid, F.when(F.contains(value, F.lit(" ")), spaced).otherwise(made))
+        shaped = F.when(F.contains(value, F.lit(" ")), spaced).when(value.rlike("[a-z]"), F.lower(made)).otherwise(made)
+        return F.when(valid, shaped)
 
-    return let(F.regexp_replace(value, " ", ""), new)
+    return let(F.upper(F.regexp_replace(value, " ", "")), new)
 
 
 def email(value: Column, key: str) -> Column:
@@ -304,13 +330,22 @@ def email(value: Column, key: str) -> Column:
 
 
 def secret(value: Column, key: str) -> Column:
-    """The name before the value stays."""
-    name = F.regexp_extract(value, f"^({_SECRET})", 1)
-    return F.concat(name, permute_letters(F.substring(value, F.length(name) + 1, F.length(value)), key, "secret", hexadecimal=True))
+    """The name before the value stays; a key that may stand elsewhere without a name changes as it does there."""
+    name = F.regexp_extract(value, f"^({_SECRET}|{_BEARER})", 1)
+
+    def new(rest: Column) -> Column:
+        known = rest.rlike(f"^(?:{PATTERNS['key']})$")
+        issuer = F.when(known, F.regexp_extract(rest, f"^({_ISSUER})", 1)).otherwise("")
+        body = F.substring(rest, F.length(issuer) + 1, F.length(rest))
+        return F.concat(name, issuer, permute_letters(body, key, F.when(known, "key").otherwise("secret"), ~known))
+
+    return let(F.substring(value, F.length(name) + 1, F.length(value)), new)
 
 
 def access_key(value: Column, key: str) -> Column:
-    return F.concat(F.substring(value, 1, 4), permute_letters(F.substring(value, F.lit(5), F.lit(16)), key, "key"))
+    """What tells the issuer stays."""
+    issuer = F.regexp_extract(value, f"^({_ISSUER})", 1)
+    return F.concat(issuer, permute_letters(F.substring(value, F.length(issuer) + 1, F.length(value)), key, "key"))
 
 
 FORMATS = {
@@ -321,34 +356,62 @@ FORMATS = {
 
 def kind_of(value: Column) -> Column:
     """Which pattern found a candidate."""
-    found = F.when(F.contains(value, F.lit("@")), "email").when(value.rlike(r"^A[KS]IA[0-9A-Z]{16}$"), "key")
-    found = found.when(value.rlike(f"^{_SECRET}"), "secret").when(value.rlike(f"^(?:{PATTERNS['ip']})$"), "ip")
+    found = F.when(F.contains(value, F.lit("@")), "email").when(value.rlike(f"^(?:{PATTERNS['key']})$"), "key")
+    found = found.when(value.rlike(f"^(?:{_SECRET}|{_BEARER})"), "secret").when(value.rlike(f"^(?:{PATTERNS['ip']})$"), "ip")
     for kind in ("date", "ssn", "phone", "iban"):
         found = found.when(value.rlike(f"^(?:{PATTERNS[kind]})$"), kind)
     return found.otherwise("card")
 
 
+def candidate(value: Column) -> Column:
+    """Struct (kind, before, value, after): a card number within what only looks like an IBAN stands for itself."""
+    plain = F.upper(F.regexp_replace(value, " ", ""))
+    valid = mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1
+
+    def found(before: Column, kind: Column, own: Column, after: Column) -> Column:
+        return F.struct(kind.alias("kind"), before.alias("before"), own.alias("value"), after.alias("after"))
+
+    def within(kind: Column) -> Column:
+        number = F.when((kind == "iban") & ~valid, F.regexp_extract(value, f"({PATTERNS['card']})", 1))
+
+        def split(n: Column) -> Column:
+            at = F.instr(value, n)
+            inside = found(F.substring(value, F.lit(1), at - 1), F.lit("card"), n, F.substring(value, at + F.length(n), F.length(value)))
+            return F.when(n != "", inside).otherwise(found(F.lit(""), kind, value, F.lit("")))
+
+        return let(number, split)
+
+    return let(kind_of(value), within)
+
+
 def pseudonymize(df: DataFrame, key: str, text: str = "text", spans: str | None = None) -> DataFrame:
     """``df`` with pseudonyms in its texts; ``spans`` names a new array column of what was replaced.
 
     A span has kind, pseudonym and start (the offset in the new text, from 0).
-    Candidates that are not valid stay as they are.  Null texts stay null and
-    have no spans.  Row order, repeated rows and other columns are kept.
+    Candidates that are not valid stay as they are; a card number within a
+    candidate for an IBAN is looked for again.  Null texts stay null and have no
+    spans.  Row order, repeated rows and other columns are kept.
     """
     (made,) = fresh(df, "made")
     body = F.col(text).cast("string")
     no_spans = F.array().cast("array<struct<kind:string,pseudonym:string,start:int>>")
 
     def replaced(value: Column) -> Column:
-        def by_kind(kind: Column) -> Column:
+        def by_kind(c: Column) -> Column:
             new = F.lit(None).cast("string")
             for name, permuted in FORMATS.items():
-                new = F.when(kind == name, permuted(value, key)).otherwise(new)
+                new = F.when(c["kind"] == name, permuted(c["value"], key)).otherwise(new)
             return let(
-                new, lambda n: F.struct(F.when(n.isNotNull(), kind).alias("kind"), F.coalesce(n, value).alias("text"))
+                new,
+                lambda n: F.struct(
+                    F.when(n.isNotNull(), c["kind"]).alias("kind"),
+                    F.concat(c["before"], F.coalesce(n, c["value"]), c["after"]).alias("text"),
+                    n.alias("pseudonym"),
+                    F.length(c["before"]).alias("lead"),
+                ),
             )
 
-        return let(kind_of(value), by_kind)
+        return let(candidate(value), by_kind)
 
     def joined(row: Column) -> Column:
         pieces = F.transform(row["parts"], lambda p, i: F.concat(p, F.coalesce(F.get(row["new"], i)["text"], F.lit(""))))
@@ -356,7 +419,7 @@ def pseudonymize(df: DataFrame, key: str, text: str = "text", spans: str | None
 
         def step(state: Column, new: Column) -> Column:
             at = state["at"] + F.length(F.get(row["parts"], state["i"]))
-            span = F.struct(new["kind"].alias("kind"), new["text"].alias("pseudonym"), at.alias("start"))
+            span = F.struct(new["kind"].alias("kind"), new["pseudonym"].alias("pseudonym"), (at + new["lead"]).alias("start"))
             grown = F.when(new["kind"].isNull(), state["spans"]).otherwise(F.array_append(state["spans"], span))
             return F.struct((at + F.length(new["text"])).alias("at"), (state["i"] + 1).alias("i"), grown.alias("spans"))
 

@@ -163,3 +163,61 @@ def test_other_usual_forms_are_replaced(spark):
             assert sum(a == b for a, b in zip(name, old, strict=True) if a.isalpha() and not a.isascii()) <= 1
     _, spans = replace(spark, texts)
     assert [[s["kind"] for s in found] for found in spans] == [[kind] for kind, _ in cases]
+
+
+def test_forms_of_configuration_files_and_other_separators(spark):
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.SflKxwRJSMeKKF2QT4"
+    cases = [
+        ("secret", 'password": "hunter2secret9', "hunter2secret9"), ("secret", 'api_key" : "zx81abcdef77', "zx81abcdef77"),
+        ("secret", 'token\\":\\"zx81abcdef77', "zx81abcdef77"), ("secret", "SECRET_KEY=q1w2e3r4t5", "q1w2e3r4t5"),
+        ("secret", "API-KEY: q1w2e3r4t5", "q1w2e3r4t5"), ("secret", "SECRET_ACCESS_KEY=q1w2/e3r4+t5", "q1w2/e3r4+t5"),
+        ("secret", f"Bearer {jwt}", jwt), ("key", jwt, jwt), ("key", "ghp_" + "a1B2" * 9, "a1B2" * 9),
+        ("key", "sk-proj-a1B2c3D4e5F6g7H8i9", "proj-a1B2c3D4e5F6g7H8i9"), ("key", "xoxb-1234567890-abcdef", "1234567890-abcdef"),
+        ("date", "25-03-2020", None), ("date", "3-25-2020", None), ("ssn", "123 45 6789", None),
+        ("phone", "+49 (0)30 1234567", None), ("phone", "+44 (0) 20 7946 0958", None), ("card", "4111.1111.1111.1111", None),
+        ("iban", "de89370400440532013000", None), ("iban", "gb82west12345698765432", None), ("email", "o'brien@example.org", "o'brien"),
+    ]
+    texts, spans = replace(spark, [f"Before {v} after" for _, v, _ in cases])
+    for (kind, value, hidden), text, found in zip(cases, texts, spans, strict=True):
+        new = text.removeprefix("Before ").removesuffix(" after")
+        assert [tuple(s) for s in found] == [(kind, new, 7)] and new != value
+        assert hidden is None or hidden not in new
+        if kind in ("ssn", "date"):
+            assert re.sub(r"\d", "", new) == re.sub(r"\d", "", value)
+        elif kind == "iban":
+            check_format(kind, value.upper(), new.upper())
+        elif kind in ("phone", "card"):
+            check_format(kind, value, new)
+    _, spans = replace(spark, texts)
+    kinds = [[s["kind"] for s in found] for found in spans]
+    assert kinds == [[kind] for kind, _, _ in cases]
+
+
+def test_values_stay_linked_across_forms(spark):
+    token = "ghp_" + "Zz91" * 9
+    texts, _ = replace(spark, [f"{token} token={token}", "DE89370400440532013000 de89370400440532013000"])
+    one, two = texts[0].split(" ")
+    assert two == f"token={one}" and one != token
+    large, small = texts[1].split(" ")
+    assert small == large.lower()
+
+
+def test_a_card_behind_a_false_iban_is_found(spark):
+    texts, spans = replace(spark, ["ref AB12 4111 1111 1111 1111", "ref AB12 4111 1111 1111 1112"])
+    assert texts[0].startswith("ref AB12 ") and "4111 1111" not in texts[0]
+    assert [tuple(s) for s in spans[0]] == [("card", texts[0][9:], 9)]
+    assert texts[1] == "ref AB12 4111 1111 1111 1112" and spans[1] == []
+
+
+def test_words_that_look_like_the_new_forms_stay(spark):
+    texts = [
+        "the bearer certificates were lost", "risk-averse sk-learn-and-other-libraries", "10 123 45 6789 11", "32-13-2020",
+        "don't'stop'me'now" * 50, "a'b" * 50_000, "eyJ is not a token", "de is german, gb12 is not",
+    ]
+    assert replace(spark, texts) == (texts, [[] for _ in texts])
+
+
+def test_a_very_long_secret_takes_linear_time(spark):
+    text = "token=" + "ab1" * 20_000
+    (new,), _ = replace(spark, [text])
+    assert len(new) == len(text) and new != text
