@@ -7,7 +7,9 @@ other are weighted and scattered into a dense score array, the best k of each
 row are selected by partition, and the blocks' results are merged by Spark.
 
 The queries are a stated set (a predicate); the work is queries times rows, and
-what is shuffled is each row once per block of the other side.
+what is shuffled is each row once per block of the other side.  Equal rows are
+counted before that, and a block is a hash of id and vector, so that neither a
+repeated row nor an id with many vectors fills a block.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SCALE = 256.0
-QUERY_ROWS = 1024
+QUERY_ROWS = 16_384
 CANDIDATE_ROWS = 16_384
-#: Candidates whose scores are accumulated at a time: the array stays in a core's cache.
+#: Queries and candidates whose scores are accumulated at a time: the array stays in a core's cache.
 STRIP = 1024
 
 
@@ -56,29 +58,14 @@ def best(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     kind = score_type(q_weight, weight, len(terms))
     exact = np.vectorize(int, otypes=[object]) if kind is object else (lambda x: x.astype(kind))
     q_weight, weight = (exact(w) if len(w) else w.astype(kind) for w in (q_weight, weight))
-    q_from, q_to = np.searchsorted(q_term, terms), np.searchsorted(q_term, terms, "right")
-    lowest = -(2**200) if kind is object else np.iinfo(kind).min
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for start in range(0, len(ids), STRIP):
-        strip = ids[start : start + STRIP]
-        inside = (row >= start) & (row < start + len(strip))
-        c_row, c_term, c_weight = row[inside] - start, term[inside], weight[inside]
-        c_from, c_to = np.searchsorted(c_term, terms), np.searchsorted(c_term, terms, "right")
-        scores = np.zeros((len(query_ids), len(strip)), dtype=kind)
-        for a, b, c, d in zip(q_from, q_to, c_from, c_to, strict=True):
-            part = np.multiply.outer(q_weight[a:b], c_weight[c:d])
-            if part.shape == scores.shape:
-                scores += part
-            else:
-                scores[np.ix_(q_row[a:b], c_row[c:d])] += part
-        scores[query_ids[:, None] == strip[None, :]] = lowest
-        if len(strip) > k:
-            edge = np.sort(scores, axis=1)[:, -k] if kind is object else np.partition(scores, len(strip) - k, axis=1)[:, -k]
-            chosen = scores >= edge[:, None]
-        else:
-            chosen = np.ones(scores.shape, dtype=bool)
-        q, c = np.nonzero(chosen & (query_ids[:, None] != strip[None, :]))
-        found.append((q, strip[c], scores[q, c]))
+    asking = strips(q_row, q_term, q_weight, len(query_ids), terms)
+    asked = strips(row, term, weight, len(ids), terms)
+    found = [
+        (q + start, strip[c], score)
+        for start, q_strip in enumerate_strips(query_ids)
+        for at, strip in enumerate_strips(ids)
+        for q, c, score in [chosen(asking[start], asked[at], q_strip, strip, k, kind)]
+    ]
     if not found:
         return RESULT.empty_table()
     q, c, score = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -95,6 +82,49 @@ def best(queries: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
     )
 
 
+#: (row within the strip, weight) of the postings, and where those of each term start and end.
+Postings = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def enumerate_strips(ids: np.ndarray) -> list[tuple[int, np.ndarray]]:
+    return [(start, ids[start : start + STRIP]) for start in range(0, len(ids), STRIP)]
+
+
+def strips(row: np.ndarray, term: np.ndarray, weight: np.ndarray, rows: int, terms: np.ndarray) -> dict[int, Postings]:
+    """The postings of each strip of rows, by its first row."""
+    found = {}
+    for start in range(0, rows, STRIP):
+        inside = (row >= start) & (row < start + STRIP)
+        own = term[inside]
+        found[start] = (
+            row[inside] - start, weight[inside], np.searchsorted(own, terms), np.searchsorted(own, terms, "right")
+        )
+    return found
+
+
+def chosen(asking: Postings, asked: Postings, query_ids: np.ndarray, ids: np.ndarray, k: int, kind: type) -> tuple[np.ndarray, ...]:
+    """(query, candidate, score) by place in their strips: at least the k best of each query, ties included."""
+    q_row, q_weight, q_from, q_to = asking
+    c_row, c_weight, c_from, c_to = asked
+    scores = np.zeros((len(query_ids), len(ids)), dtype=kind)
+    for a, b, c, d in zip(q_from, q_to, c_from, c_to, strict=True):
+        part = np.multiply.outer(q_weight[a:b], c_weight[c:d])
+        if part.shape == scores.shape:
+            scores += part
+        else:
+            scores[np.ix_(q_row[a:b], c_row[c:d])] += part
+    own = query_ids[:, None] == ids[None, :]
+    scores[own] = -(2**200) if kind is object else np.iinfo(kind).min
+    above = ~own
+    if len(ids) > k:
+        edge = np.sort(scores, axis=1)[:, -k] if kind is object else np.partition(scores, len(ids) - k, axis=1)[:, -k]
+        above &= scores >= edge[:, None]
+        # Candidates are in order of their ids, so of those at the edge the first k are enough.
+        above &= (np.cumsum(above & (scores == edge[:, None]), axis=1) <= k) | (scores > edge[:, None])
+    q, c = np.nonzero(above)
+    return q, c, scores[q, c]
+
+
 RESULT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -117,13 +147,16 @@ def top_k(df: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", v
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("vector"), is_query.alias("asks"))
     rows = rows.filter(F.col("id").isNotNull() & usable(F.col("vector")))
     queries = rows.filter("asks").groupBy("id").agg(F.min("vector").alias("vector"))
+    # No query takes more than k copies of an equal row, so no more need to meet it.
+    once = rows.groupBy("id", "vector").agg(F.count("*").alias("copies"))
+    candidates = once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k).cast("long")).cast("int"))))
     counted = rows.agg(F.count("*").alias("rows"), F.count_if("asks").alias("asking")).first()
     q_blocks = max(1, -(-counted["asking"] // QUERY_ROWS))
     c_blocks = max(1, -(-counted["rows"] // CANDIDATE_ROWS))
-    block = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("id", "vector"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     asking = queries.withColumn("q", block(q_blocks)).withColumn("c", every(c_blocks))
-    asked = rows.drop("asks").withColumn("c", block(c_blocks)).withColumn("q", every(q_blocks))
+    asked = candidates.drop("copies", "copy").withColumn("c", block(c_blocks)).withColumn("q", every(q_blocks))
     scored = (
         asking.groupBy("q", "c")
         .cogroup(asked.groupBy("q", "c"))

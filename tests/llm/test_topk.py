@@ -60,3 +60,28 @@ def test_scores_beyond_integers(spark):
 def test_empty_table_and_no_queries(spark):
     assert search(spark, []) == []
     assert search(spark, [(1, [1.0]), (2, [1.0])]) == []
+
+
+@pytest.mark.parametrize("equal", [True, False])
+def test_an_id_with_a_third_of_all_rows_fills_no_block(spark, vectors, monkeypatch, equal):
+    monkeypatch.setattr(topk, "CANDIDATE_ROWS", 100)
+    monkeypatch.setattr(topk, "STRIP", 32)
+    hot = [(7777, [9.0 if equal else 0.01 * i] * 16) for i in range(250)]
+    df = spark.createDataFrame(vectors + hot, "vec_id long, embedding array<float>").repartition(6)
+    once = topk.best
+
+    def watched(queries, candidates, k):
+        if candidates.num_rows > 200:
+            raise ValueError(f"a block of {candidates.num_rows} rows")
+        return once(queries, candidates, k)
+
+    monkeypatch.setattr(topk, "best", watched)
+    rows = topk.top_k(df, F.col("vec_id") % 50 == 0)
+    found = sorted(map(tuple, rows.select("query_id", "rank", "vec_id", "score").collect()))
+    scaled = [(i, [int(np.floor(256 * np.float64(np.float32(x)))) for x in v]) for i, v in vectors + hot]
+    want = []
+    for q, w in scaled:
+        if q % 50 == 0:
+            best = sorted((-sum(a * b for a, b in zip(w, v, strict=True)), i) for i, v in scaled if i != q)[:5]
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert found == sorted(want)
